@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The correction job and its report are scheduled batch jobs over snapshot
+tables; nothing in them reads a stream, keeps state across micro-batches or
+handles late data, so this package holds no streaming code.
+"""
