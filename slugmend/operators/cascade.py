@@ -1,12 +1,60 @@
-"""The status cascade: one log row per batch item, computed set-wise."""
+"""The status cascade: one log row per batch item, computed set-wise.
+
+Per item the sequential job would: look up the product (error), read its
+details (error), skip inactive products, normalise the slug, skip slugs
+that are already right, probe and remove a wrongful redirect on the
+current path (an observation, never an abort), resolve collisions, update
+the slug (error), create the redirects (error) and report success. Here
+each step is a join or an expression over the whole batch:
+
+* lookups and the gate are left joins plus a ``when`` chain;
+* collisions are settled level by level (``operators.collisions``);
+* redirect probes see earlier items' removals and creations through a
+  per-path timeline (``operators.redirects.redirect_timeline``);
+* the status is the first rule that fires in one ``when`` chain.
+
+A SKU listed several times runs several times in a row; the copies after
+the first find the state the first copy left behind. Copies are counted,
+not carried as rows, until the log rows are written.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slugmend.functions.text import template
-from slugmend.schemas import MSG_PUT_FAILED
+from slugmend.functions.slug import normalize_slug, numeric_order_key, product_path
+from slugmend.functions.text import join_messages, template
+from slugmend.operators import collisions as C
+from slugmend.operators.catalog import TREAT, catalog_lookup, empty_slug_message, gate_column, products
+from slugmend.operators.redirects import current_path, redirect_sources, redirect_timeline
+from slugmend.schemas import (
+    BAD_SUFFIX,
+    ERRO_API,
+    ERRO_COLISAO_IRRESOLVIVEL,
+    ERRO_PUT,
+    ERRO_REDIRECT,
+    MSG_IRRESOLVABLE,
+    MSG_PUT_FAILED,
+    MSG_REDIRECT_FAILED,
+    MSG_REDIRECT_SKIPPED,
+    MSG_UNHANDLED,
+    PULADO_INATIVO,
+    PULADO_JA_CORRIGIDO,
+    SUCESSO,
+)
+
+LOOKUP_FAILED = "LOOKUP_FAILED"
+
+# Rows per generated chunk when a SKU is listed many times.
+COPY_CHUNK = 100_000
+
+
+def order_key(sku: Column | str) -> Column:
+    """Sortable struct equal to the queue order (numeric SKU, then text)."""
+    c = F.col(sku) if isinstance(sku, str) else sku
+    num = numeric_order_key(c)
+    return F.struct(num.isNull().alias("nn"), num.alias("num"), c.alias("sku"))
 
 
 def update_outcome(items: DataFrame, put: DataFrame) -> DataFrame:
@@ -21,3 +69,224 @@ def update_outcome(items: DataFrame, put: DataFrame) -> DataFrame:
         (~failed).alias("put_confirmado"),
         F.when(failed, template(MSG_PUT_FAILED, F.col("_put_msg"))).alias("mensagem"),
     )
+
+
+def batch_items(batch: DataFrame, sku_col: str = "sku_id") -> DataFrame:
+    """Distinct SKUs of a batch with their copy count and order key.
+
+    Partial aggregation first, so a SKU listed millions of times costs one
+    row per map task in the shuffle.
+    """
+    return (
+        batch.filter(F.col(sku_col).isNotNull())
+        .groupBy(F.col(sku_col).cast("string").alias("sku_id"))
+        .agg(F.count(F.lit(1)).alias("n_copies"))
+        .withColumn("okey", order_key("sku_id"))
+    )
+
+
+def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None) -> DataFrame:
+    """Lookup, gate and update outcome per item (steps before any probe)."""
+    look = catalog_lookup(items, catalog)
+    norm = normalize_slug(F.col("link_id"))
+    gate = F.when(F.col("erro"), F.lit(LOOKUP_FAILED)).otherwise(
+        gate_column(F.col("link_id"), norm, F.col("is_active"))
+    )
+    out = look.select(
+        *items.columns,
+        "product_id",
+        "link_id",
+        "is_active",
+        F.col("mensagem").alias("lookup_msg"),
+        F.when(~F.col("erro") & F.coalesce(F.col("is_active"), F.lit(False)), norm).alias("slug_norm"),
+        gate.alias("gate"),
+    )
+    if put is None:
+        return out.withColumn("put_ok", F.lit(True)).withColumn("put_msg", F.lit(None).cast("string"))
+    p = put.select("product_id", F.col("erro").alias("_put_erro"), F.col("msg").alias("put_msg"))
+    return out.join(p, "product_id", "left").select(
+        *out.columns, (~F.coalesce(F.col("_put_erro"), F.lit(False))).alias("put_ok"), "put_msg"
+    )
+
+
+def claim_level_bounds(enriched: DataFrame) -> tuple[int, int] | None:
+    """Spread of slug levels among the items to treat (one small job)."""
+    from slugmend.functions.slug import slug_level
+
+    lvl = slug_level(F.col("slug_norm"))
+    row = enriched.filter(F.col("gate") == TREAT).agg(F.min(lvl).alias("lo"), F.max(lvl).alias("hi")).first()
+    if row is None or row["lo"] is None:
+        return None
+    return int(row["lo"]), int(row["hi"])
+
+
+def resolve(enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | None) -> DataFrame:
+    """Collision outcome per treated item (``collisions.RESOLUTION_COLUMNS``)."""
+    claims = enriched.filter(F.col("gate") == TREAT).select(
+        F.col("sku_id").alias("item_id"),
+        "okey",
+        "product_id",
+        F.col("sku_id").alias("sku"),
+        F.col("slug_norm").alias("slug"),
+        F.col("put_ok").alias("eligible"),
+    )
+    prepared = C.prepare_claims(claims, products(catalog))
+    return C.resolve_claims(prepared, bounds)
+
+
+def item_outcomes(
+    enriched: DataFrame,
+    decisions: DataFrame,
+    registry: DataFrame,
+    redirect_out: DataFrame | None,
+    removals: DataFrame | None,
+) -> DataFrame:
+    """First-copy log fields per item, before the row layout is applied."""
+    dec = decisions.withColumnRenamed("item_id", "sku_id")
+    items = enriched.join(dec, "sku_id", "left")
+
+    # The product's new slug, for items that come after its fix.
+    winners = dec.filter(F.col("outcome") == C.WIN).join(
+        enriched.select("sku_id", "product_id"), "sku_id"
+    ).select("product_id", F.col("slug_final").alias("fixed_slug"))
+    items = items.join(winners, "product_id", "left")
+
+    # Redirect attempts of items whose update went through, stopping at the first failure.
+    won = items.filter(F.col("outcome") == C.WIN)
+    attempts = won.select(
+        "sku_id",
+        "okey",
+        product_path(F.col("slug_final")).alias("to_path"),
+        F.posexplode(redirect_sources(F.col("link_id"), F.col("slug_final"))).alias("pos", "from_path"),
+    ).withColumn("seq", F.col("pos") + 1)
+    if redirect_out is not None:
+        ro = redirect_out.select(F.col("from_path"), F.col("erro").alias("_r_erro"), F.col("msg").alias("_r_msg"))
+        attempts = attempts.join(ro, "from_path", "left")
+    else:
+        attempts = attempts.withColumn("_r_erro", F.lit(None).cast("boolean")).withColumn(
+            "_r_msg", F.lit(None).cast("string")
+        )
+    per_item = Window.partitionBy("sku_id")  # at most two rows per item
+    attempts = attempts.withColumn(
+        "_fail_seq", F.min(F.when(F.coalesce(F.col("_r_erro"), F.lit(False)), F.col("seq"))).over(per_item)
+    )
+    creates = attempts.filter(F.col("_fail_seq").isNull() | (F.col("seq") < F.col("_fail_seq"))).select(
+        "okey", "seq", "from_path", "to_path"
+    )
+    red = attempts.groupBy("sku_id").agg(
+        F.count(F.lit(1)).alias("n_redirects"),
+        F.min(F.when(F.coalesce(F.col("_r_erro"), F.lit(False)), F.struct("seq", "from_path", "_r_msg"))).alias(
+            "red_fail"
+        ),
+    )
+    items = items.join(red, "sku_id", "left")
+
+    # Wrongful-redirect probe of every item that reaches it.
+    checks = items.filter(
+        (F.col("gate") == TREAT) & (F.col("outcome") != C.FIXED_BEFORE)
+    ).select(F.col("sku_id").alias("item_id"), "okey", current_path(F.col("link_id")).alias("path_atual"))
+    probes = redirect_timeline(checks, creates, registry, removals).withColumnRenamed("item_id", "sku_id")
+    return items.join(probes, "sku_id", "left")
+
+
+def first_copy_rows(items: DataFrame) -> DataFrame:
+    """Status cascade and log fields for the first copy of each item."""
+    gate = F.col("gate")
+    outcome = F.col("outcome")
+    obs = F.col("observacao")
+    fixed_before = (gate == TREAT) & (outcome == C.FIXED_BEFORE)
+    won = (gate == TREAT) & (outcome == C.WIN)
+    red_failed = won & F.col("red_fail").isNotNull()
+    no_redirects = won & (F.coalesce(F.col("n_redirects"), F.lit(0)) == 0)
+    probed = (gate == TREAT) & ~fixed_before
+
+    status = (
+        F.when(gate == LOOKUP_FAILED, F.lit(ERRO_API))
+        .when(gate == PULADO_INATIVO, F.lit(PULADO_INATIVO))
+        .when(gate == ERRO_API, F.lit(ERRO_API))
+        .when(gate == PULADO_JA_CORRIGIDO, F.lit(PULADO_JA_CORRIGIDO))
+        .when(fixed_before, F.lit(PULADO_JA_CORRIGIDO))
+        .when(outcome == C.BAD_SUFFIX, F.lit(ERRO_API))
+        .when(outcome == C.IRRESOLVABLE, F.lit(ERRO_COLISAO_IRRESOLVIVEL))
+        .when(outcome == C.PUT_FAIL, F.lit(ERRO_PUT))
+        .when(red_failed, F.lit(ERRO_REDIRECT))
+        .when(won, F.lit(SUCESSO))
+        .otherwise(F.lit(ERRO_API))
+    )
+    error_text = (
+        F.when(gate == LOOKUP_FAILED, F.col("lookup_msg"))
+        .when(gate == ERRO_API, empty_slug_message())
+        .when(outcome == C.BAD_SUFFIX, template(MSG_UNHANDLED, F.lit("ValueError"), F.lit(BAD_SUFFIX)))
+        .when(outcome == C.IRRESOLVABLE, template(MSG_IRRESOLVABLE, F.col("product_id_conflitante")))
+        .when(outcome == C.PUT_FAIL, template(MSG_PUT_FAILED, F.col("put_msg")))
+        .when(red_failed, template(MSG_REDIRECT_FAILED, F.col("red_fail.from_path"), F.col("red_fail._r_msg")))
+    )
+    message = join_messages(error_text, obs, F.when(no_redirects, F.lit(MSG_REDIRECT_SKIPPED)))
+    reached_details = gate != LOOKUP_FAILED
+    active = gate.isin(TREAT, ERRO_API, PULADO_JA_CORRIGIDO)
+    slug_orig = F.when(fixed_before, F.col("fixed_slug")).when(reached_details, F.col("link_id"))
+    slug_norm = F.when(fixed_before, F.col("fixed_slug")).when(active, F.col("slug_norm"))
+    return items.select(
+        "sku_id",
+        "okey",
+        "n_copies",
+        "product_id",
+        slug_orig.alias("slug_original"),
+        slug_norm.alias("slug_normalizado"),
+        F.when(gate == TREAT, F.col("slug_final")).alias("slug_final"),
+        F.coalesce(F.when(probed, F.col("houve_colisao")), F.lit(False)).alias("houve_colisao"),
+        F.when(probed, F.col("product_id_conflitante")).alias("product_id_conflitante"),
+        F.when(reached_details, F.col("is_active")).alias("is_active"),
+        status.alias("status"),
+        won.alias("put_confirmado"),
+        (won & ~red_failed).alias("redirect_confirmado"),
+        F.when(won, product_path(F.col("slug_final"))).alias("redirect_destino"),
+        message.alias("mensagem_erro"),
+        F.coalesce(F.col("removal_failed"), F.lit(False)).alias("_removal_failed"),
+        F.when(F.coalesce(F.col("removal_failed"), F.lit(False)), obs).alias("_repeat_obs"),
+        error_text.alias("_error_text"),
+    )
+
+
+def repeat_rows(first: DataFrame) -> DataFrame:
+    """Rows for copies 2..n of each SKU, as the state after copy 1 dictates.
+
+    After an update went through, the copies find the slug right. After a
+    failure before the update, the copies fail the same way; a wrongful
+    redirect is only seen again when its removal failed. Copies of other
+    outcomes repeat the first row. Large copy counts are cut into chunks
+    that are spread over tasks before they are expanded.
+    """
+    multi = first.filter(F.col("n_copies") > 1)
+    updated = F.col("put_confirmado")
+    failed_before_update = F.col("status").isin(ERRO_PUT, ERRO_COLISAO_IRRESOLVIVEL) | (
+        (F.col("status") == ERRO_API) & F.col("slug_final").isNull() & F.col("houve_colisao")
+    )
+    keep_all = ~updated
+    rows = multi.select(
+        "sku_id",
+        "n_copies",
+        "product_id",
+        F.when(updated, F.col("slug_final")).otherwise(F.col("slug_original")).alias("slug_original"),
+        F.when(updated, F.col("slug_final")).otherwise(F.col("slug_normalizado")).alias("slug_normalizado"),
+        F.when(keep_all, F.col("slug_final")).alias("slug_final"),
+        F.when(keep_all, F.col("houve_colisao")).otherwise(F.lit(False)).alias("houve_colisao"),
+        F.when(keep_all, F.col("product_id_conflitante")).alias("product_id_conflitante"),
+        "is_active",
+        F.when(updated, F.lit(PULADO_JA_CORRIGIDO)).otherwise(F.col("status")).alias("status"),
+        F.lit(False).alias("put_confirmado"),
+        F.lit(False).alias("redirect_confirmado"),
+        F.lit(None).cast("string").alias("redirect_destino"),
+        F.when(updated, F.lit(None).cast("string"))
+        .when(failed_before_update, join_messages(F.col("_error_text"), F.col("_repeat_obs")))
+        .otherwise(F.col("mensagem_erro"))
+        .alias("mensagem_erro"),
+    )
+    n_rep = F.col("n_copies") - 1
+    chunks = rows.select(
+        "*", F.explode(F.sequence(F.lit(0), F.floor((n_rep - 1) / COPY_CHUNK).cast("bigint"))).alias("_chunk")
+    ).withColumn("_cnt", F.least(F.lit(COPY_CHUNK).cast("bigint"), n_rep - F.col("_chunk") * COPY_CHUNK))
+    spread = chunks.repartition("sku_id", "_chunk")
+    return spread.select(
+        "*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cnt"))).alias("_copy")
+    ).drop("_chunk", "_cnt", "_copy", "n_copies")

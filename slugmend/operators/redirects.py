@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import product_path
@@ -120,3 +120,103 @@ def wrongful_redirects(items: DataFrame, registry: DataFrame, removals: DataFram
         (exists & ~rem_failed).alias("removido"),
         removal_note(exists, rem_failed, F.col("_rem_msg"), F.col("destino_antigo")).alias("observacao"),
     )
+
+
+# --- in-batch redirect timeline ---------------------------------------------------------
+#
+# Items run in queue order. Item k probes its current path (and removes a
+# redirect found there) before later items act, and after its update it
+# creates redirects from its old paths. So a probe can see a redirect that
+# an earlier item created, or miss one that an earlier item removed. Per
+# path, the events are ordered by (item order, phase): snapshot entries
+# first, then per item its probe (phase 0) and its creations (phase 1, 2).
+# A probe finds a redirect iff the latest snapshot/creation event before it
+# is later than the latest probe that removed (or could have removed) it.
+
+_SNAPSHOT, _ITEM = 0, 1
+
+
+def redirect_timeline(
+    checks: DataFrame,
+    creates: DataFrame,
+    registry: DataFrame,
+    removals: DataFrame | None,
+) -> DataFrame:
+    """Probe results for every check, given the in-batch creations.
+
+    ``checks``: ``(item_id, okey, path_atual)``; ``creates``:
+    ``(okey, seq, from_path, to_path)``; ``registry``: ``(from_path,
+    to_path)``; ``removals``: ``(from_path, erro, msg)`` or ``None``.
+    Returns ``(item_id, existe, destino_antigo, removal_failed, observacao)``.
+    """
+    cols = ["path", "flag", "okey", "phase", "to_path", "is_check", "item_id", "_rem_erro", "_rem_msg"]
+    probed = checks.select(F.col("path_atual").alias("path")).distinct()
+    snap = registry.select(F.col("from_path").alias("path"), "to_path").join(probed, "path", "left_semi")
+    snap = snap.select(
+        "path",
+        F.lit(_SNAPSHOT).alias("flag"),
+        F.lit(None).cast(checks.schema["okey"].dataType).alias("okey"),
+        F.lit(-1).alias("phase"),
+        "to_path",
+        F.lit(False).alias("is_check"),
+        F.lit(None).cast("string").alias("item_id"),
+        F.lit(None).cast("boolean").alias("_rem_erro"),
+        F.lit(None).cast("string").alias("_rem_msg"),
+    )
+    made = creates.select(F.col("from_path").alias("path"), "okey", "seq", "to_path").join(
+        probed, "path", "left_semi"
+    )
+    made = made.select(
+        "path",
+        F.lit(_ITEM).alias("flag"),
+        "okey",
+        F.col("seq").cast("int").alias("phase"),
+        "to_path",
+        F.lit(False).alias("is_check"),
+        F.lit(None).cast("string").alias("item_id"),
+        F.lit(None).cast("boolean").alias("_rem_erro"),
+        F.lit(None).cast("string").alias("_rem_msg"),
+    )
+    probes = checks.select(F.col("path_atual").alias("path"), "okey", F.col("item_id").cast("string"))
+    if removals is not None:
+        rem = removals.select(
+            F.col("from_path").alias("path"), F.col("erro").alias("_rem_erro"), F.col("msg").alias("_rem_msg")
+        )
+        probes = probes.join(rem, "path", "left")
+    else:
+        probes = probes.withColumn("_rem_erro", F.lit(None).cast("boolean")).withColumn(
+            "_rem_msg", F.lit(None).cast("string")
+        )
+    probes = probes.select(
+        "path",
+        F.lit(_ITEM).alias("flag"),
+        "okey",
+        F.lit(0).alias("phase"),
+        F.lit(None).cast("string").alias("to_path"),
+        F.lit(True).alias("is_check"),
+        "item_id",
+        "_rem_erro",
+        "_rem_msg",
+    )
+    events = snap.select(*cols).unionByName(made.select(*cols)).unionByName(probes.select(*cols))
+    rem_failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
+    key = F.struct("flag", "okey", "phase")
+    w = (
+        Window.partitionBy("path")
+        .orderBy(F.col("flag"), F.col("okey").asc_nulls_first(), F.col("phase"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    last_set = F.max(F.when(~F.col("is_check"), F.struct(key.alias("k"), F.col("to_path")))).over(w)
+    last_reset = F.max(F.when(F.col("is_check") & ~rem_failed, key)).over(w)
+    scanned = events.select(
+        "item_id", "is_check", "_rem_erro", "_rem_msg", last_set.alias("ls"), last_reset.alias("lr")
+    ).filter(F.col("is_check"))
+    exists = F.col("ls").isNotNull() & (F.col("lr").isNull() | (F.col("ls.k") > F.col("lr")))
+    failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
+    return scanned.select(
+        "item_id",
+        exists.alias("existe"),
+        F.when(exists, F.col("ls.to_path")).alias("destino_antigo"),
+        (exists & failed).alias("removal_failed"),
+        removal_note(exists, failed, F.col("_rem_msg"), F.col("ls.to_path")).alias("observacao"),
+    )

@@ -8,6 +8,7 @@ DuckDB SQL for the same results.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from slugmend.functions.slug import normalize_slug
 from slugmend.operators import catalog as cat_ops
 from slugmend.operators import collisions, queue, redirects, report
+from slugmend.plans import correction
 from slugmend.sources import fixtures as fx
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
@@ -173,3 +175,51 @@ QUERIES: dict[str, Query] = {
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The smoke-check query."""
     return q_queue_next(spark, d)
+
+
+# --- correction run (whole queue, replayed with the outcome tables) -----------------
+
+RUN_ID = "exec-2024-02-01"
+RUN_TS = dt.datetime(2024, 2, 1, 3, 0, 0)
+
+
+def correction_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    # The catalogue snapshot is a stored table in production; here it is
+    # derived once and written to the checkpoint folder.
+    cat = correction.materialise(fx.catalog(spark, d))
+    return dict(
+        batch=queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), None),
+        catalog=cat,
+        registry=fx.redirects(cat),
+        put=fx.put_outcome(cat),
+        redirect_out=fx.redirect_outcome(cat),
+        removals=fx.removal_outcome(cat),
+    )
+
+
+def q_slug_resolution(spark: SparkSession, d: str) -> DataFrame:
+    _, decisions = correction.cascade(**correction_inputs(spark, d))
+    return decisions.select(F.col("item_id").alias("sku_id"), "outcome", "houve_colisao",
+                            "product_id_conflitante", "slug_final")
+
+
+def q_status_cascade(spark: SparkSession, d: str) -> DataFrame:
+    rows, _ = correction.cascade(**correction_inputs(spark, d))
+    return rows.select(
+        F.col("sku_id").alias("sku_vtex"), "product_id", "status", "houve_colisao", "product_id_conflitante",
+        "slug_final", "put_confirmado", "redirect_confirmado", "redirect_destino",
+    )
+
+
+def q_run_log_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows, _ = correction.cascade(**correction_inputs(spark, d))
+    return correction.log_rows(rows, RUN_ID, RUN_TS)
+
+
+QUERIES.update(
+    {
+        "slug_resolution": q_slug_resolution,
+        "status_cascade": q_status_cascade,
+        "run_log_rows": q_run_log_rows,
+    }
+)
