@@ -142,8 +142,9 @@ def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> tuple[DataFrame
             sfx.select(
                 "item_id",
                 "outcome",
-                F.lit(True).alias("houve_colisao"),
-                F.col("conflict").alias("product_id_conflitante"),
+                # an item after its product's fix never probes
+                (F.col("outcome") != FIXED_BEFORE).alias("houve_colisao"),
+                F.when(F.col("outcome") != FIXED_BEFORE, F.col("conflict")).alias("product_id_conflitante"),
                 F.when(F.col("outcome").isin(WIN, PUT_FAIL), F.col("slug")).alias("slug_final"),
             )
         )

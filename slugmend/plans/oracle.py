@@ -278,6 +278,160 @@ SQL: dict[str, str] = {
 }
 
 
+# --- sequential replay of the correction run (recursive CTE) ------------------------
+#
+# The batch is processed one row at a time, in queue order, exactly like
+# the original loop: the state carried from row to row is the list of slugs
+# claimed in the batch, the products already fixed and the changes made to
+# the redirect registry. Everything that does not depend on that state is
+# looked up per row beforehand (``rs``).
+
+_BATCH_STATE = f"""
+, batch_rows AS MATERIALIZED (
+  SELECT sku_id, row_number() OVER (ORDER BY try_cast(sku_id AS BIGINT) NULLS LAST, sku_id) AS rn
+  FROM queue_cand
+),
+rs AS MATERIALIZED (
+  SELECT b.rn, b.sku_id, sp.product_id AS pid, p.link_id AS link0, p.is_active AS act,
+    {norm('p.link_id')} AS norm0,
+    '/' || lower(p.link_id) || '/p' AS path0,
+    '/' || p.link_id || '/p' AS exact0,
+    {norm('p.link_id')} || '-' || b.sku_id AS s2,
+    regexp_full_match(b.sku_id, '[0-9]+') AS sku_num,
+    reg.to_path AS snap_to,
+    coalesce(rm.erro, false) AS rem_fail, rm.msg AS rem_msg,
+    CASE WHEN h1.h_min <> sp.product_id THEN h1.h_min WHEN h1.h_max <> sp.product_id THEN h1.h_max END AS snap1,
+    CASE WHEN h2.h_min <> sp.product_id THEN h2.h_min WHEN h2.h_max <> sp.product_id THEN h2.h_max END AS snap2,
+    coalesce(po.erro, false) AS put_fail, po.msg AS put_msg,
+    coalesce(re.erro, false) AS ro_exact_fail, re.msg AS ro_exact_msg,
+    coalesce(rl.erro, false) AS ro_lower_fail, rl.msg AS ro_lower_msg
+  FROM batch_rows b
+  LEFT JOIN sku_products sp ON sp.sku_id = b.sku_id
+  LEFT JOIN products p ON p.product_id = sp.product_id
+  LEFT JOIN redirects reg ON reg.from_path = '/' || lower(p.link_id) || '/p'
+  LEFT JOIN removal_outcome rm ON rm.from_path = '/' || lower(p.link_id) || '/p'
+  LEFT JOIN holders h1 ON h1.slug = {norm('p.link_id')}
+  LEFT JOIN holders h2 ON h2.slug = {norm('p.link_id')} || '-' || b.sku_id
+  LEFT JOIN put_outcome po ON po.product_id = sp.product_id
+  LEFT JOIN redirect_outcome re ON re.from_path = '/' || p.link_id || '/p'
+  LEFT JOIN redirect_outcome rl ON rl.from_path = '/' || lower(p.link_id) || '/p'
+),
+sim(i, claims, fixed, regc, r) AS (
+  SELECT 0,
+    []::STRUCT(slug VARCHAR, pid BIGINT)[],
+    []::STRUCT(pid BIGINT, slug VARCHAR)[],
+    []::STRUCT(path VARCHAR, to_path VARCHAR)[],
+    NULL::STRUCT(rn BIGINT, sku_vtex VARCHAR, product_id BIGINT, slug_original VARCHAR,
+                 slug_normalizado VARCHAR, slug_final VARCHAR, houve_colisao BOOLEAN,
+                 product_id_conflitante BIGINT, is_active BOOLEAN, status VARCHAR,
+                 put_confirmado BOOLEAN, redirect_confirmado BOOLEAN, redirect_destino VARCHAR,
+                 mensagem_erro VARCHAR, treat0 BOOLEAN)
+  UNION ALL
+  SELECT i, claims, fixed, regc, r FROM (
+    SELECT s.i + 1 AS i, st.*,
+      list_filter(s.fixed, lambda x: x.pid = st.pid) AS fx,
+      CASE WHEN len(fx) > 0 THEN fx[-1].slug END AS fixed_slug,
+      coalesce(fixed_slug, st.link0) AS cur,
+      CASE WHEN st.pid IS NULL THEN 'LOOKUP'
+           WHEN NOT coalesce(st.act, false) THEN 'INATIVO'
+           WHEN fixed_slug IS NOT NULL THEN 'JA'
+           WHEN st.norm0 IS NULL OR st.norm0 = '' THEN 'EMPTY'
+           WHEN st.link0 = st.norm0 THEN 'JA'
+           ELSE 'TREAT' END AS g,
+      st.pid IS NOT NULL AND coalesce(st.act, false) AND coalesce(st.norm0, '') <> ''
+        AND st.link0 <> st.norm0 AS treat0,
+      list_filter(s.regc, lambda x: x.path = st.path0) AS rc,
+      CASE WHEN len(rc) > 0 THEN rc[-1].to_path ELSE st.snap_to END AS cur_to,
+      g = 'TREAT' AND cur_to IS NOT NULL AS found,
+      found AND NOT st.rem_fail AS removed,
+      CASE WHEN found THEN CASE WHEN st.rem_fail THEN {tmpl(S.MSG_REMOVAL_FAILED, 'st.rem_msg')}
+                                ELSE {tmpl(S.MSG_REMOVED, 'cur_to')} END END AS obs,
+      list_filter(s.claims, lambda x: x.slug = st.norm0 AND x.pid <> st.pid) AS c1,
+      coalesce(st.snap1, CASE WHEN len(c1) > 0 THEN c1[-1].pid END) AS h1,
+      g = 'TREAT' AND h1 IS NOT NULL AS collided,
+      collided AND NOT st.sku_num AS bad_suffix,
+      list_filter(s.claims, lambda x: x.slug = st.s2 AND x.pid <> st.pid) AS c2,
+      coalesce(st.snap2, CASE WHEN len(c2) > 0 THEN c2[-1].pid END) AS h2,
+      collided AND NOT bad_suffix AND h2 IS NOT NULL AS irres,
+      CASE WHEN g = 'TREAT' AND NOT bad_suffix AND NOT irres
+           THEN CASE WHEN collided THEN st.s2 ELSE st.norm0 END END AS final,
+      final IS NOT NULL AND st.put_fail AS putfail,
+      final IS NOT NULL AND NOT st.put_fail AS won,
+      '/' || final || '/p' AS dest,
+      won AND st.exact0 <> dest AS try1,
+      won AND st.path0 <> dest AND st.path0 <> st.exact0 AS try2,
+      try1 AND st.ro_exact_fail AS fail1,
+      try2 AND NOT fail1 AND st.ro_lower_fail AS fail2,
+      CASE g WHEN 'LOOKUP' THEN {lit(S.ERRO_API)} WHEN 'INATIVO' THEN {lit(S.PULADO_INATIVO)}
+             WHEN 'JA' THEN {lit(S.PULADO_JA_CORRIGIDO)} WHEN 'EMPTY' THEN {lit(S.ERRO_API)}
+             ELSE CASE WHEN bad_suffix THEN {lit(S.ERRO_API)}
+                       WHEN irres THEN {lit(S.ERRO_COLISAO_IRRESOLVIVEL)}
+                       WHEN putfail THEN {lit(S.ERRO_PUT)}
+                       WHEN fail1 OR fail2 THEN {lit(S.ERRO_REDIRECT)}
+                       ELSE {lit(S.SUCESSO)} END END AS status,
+      CASE WHEN g = 'LOOKUP' THEN {tmpl(S.MSG_LOOKUP_FAILED, lit(S.NOT_FOUND_SKU))}
+           WHEN g = 'EMPTY' THEN {tmpl(S.MSG_UNHANDLED, "'ValueError'", lit(S.EMPTY_SLUG))}
+           WHEN bad_suffix THEN {tmpl(S.MSG_UNHANDLED, "'ValueError'", lit(S.BAD_SUFFIX))}
+           WHEN irres THEN {tmpl(S.MSG_IRRESOLVABLE, 'h1')}
+           WHEN putfail THEN {tmpl(S.MSG_PUT_FAILED, 'st.put_msg')}
+           WHEN fail1 THEN {tmpl(S.MSG_REDIRECT_FAILED, 'st.exact0', 'st.ro_exact_msg')}
+           WHEN fail2 THEN {tmpl(S.MSG_REDIRECT_FAILED, 'st.path0', 'st.ro_lower_msg')} END AS err,
+      nullif(concat_ws({lit(S.MSG_SEPARATOR)}, err, obs,
+             CASE WHEN won AND NOT try1 AND NOT try2 THEN {lit(S.MSG_REDIRECT_SKIPPED)} END), '') AS msg,
+      list_concat(s.regc,
+        CASE WHEN removed THEN [{{'path': st.path0, 'to_path': NULL::VARCHAR}}] ELSE [] END,
+        CASE WHEN try1 AND NOT fail1 THEN [{{'path': st.exact0, 'to_path': dest}}] ELSE [] END,
+        CASE WHEN try2 AND NOT fail1 AND NOT fail2 THEN [{{'path': st.path0, 'to_path': dest}}] ELSE [] END
+      ) AS regc,
+      CASE WHEN won THEN list_append(s.claims, {{'slug': final, 'pid': st.pid}}) ELSE s.claims END AS claims,
+      CASE WHEN won THEN list_append(s.fixed, {{'pid': st.pid, 'slug': final}}) ELSE s.fixed END AS fixed,
+      {{'rn': st.rn, 'sku_vtex': st.sku_id, 'product_id': st.pid,
+        'slug_original': CASE WHEN g <> 'LOOKUP' THEN cur END,
+        'slug_normalizado': CASE WHEN g IN ('JA', 'EMPTY', 'TREAT') THEN coalesce(fixed_slug, st.norm0) END,
+        'slug_final': final,
+        'houve_colisao': coalesce(collided, false),
+        'product_id_conflitante': CASE WHEN collided THEN h1 END,
+        'is_active': CASE WHEN g <> 'LOOKUP' THEN st.act END,
+        'status': status,
+        'put_confirmado': coalesce(won, false),
+        'redirect_confirmado': coalesce(won AND NOT (fail1 OR fail2), false),
+        'redirect_destino': CASE WHEN won THEN dest END,
+        'mensagem_erro': msg,
+        'treat0': treat0}} AS r
+    FROM sim s JOIN rs st ON st.rn = s.i + 1
+  )
+),
+replay AS (SELECT unnest(r) FROM sim WHERE i > 0)"""
+
+
+def _replay(body: str) -> str:
+    return "WITH RECURSIVE " + FIXTURES.strip() + _BATCH_STATE + "\n" + body.strip()
+
+
+REPLAY_SQL: dict[str, str] = {
+    "status_cascade": """
+        SELECT sku_vtex, product_id, status, houve_colisao, product_id_conflitante, slug_final,
+               put_confirmado, redirect_confirmado, redirect_destino
+        FROM replay""",
+    "run_log_rows": f"""
+        SELECT 'exec-2024-02-01' AS execution_id, TIMESTAMP '2024-02-01 03:00:00' AS "timestamp",
+          sku_vtex, product_id, slug_original, slug_normalizado, slug_final, houve_colisao,
+          product_id_conflitante, is_active, status, put_confirmado, redirect_confirmado,
+          redirect_destino, mensagem_erro, CAST(NULL AS INTEGER) AS tempo_processamento_ms
+        FROM replay""",
+    "slug_resolution": f"""
+        SELECT sku_vtex AS sku_id,
+          CASE WHEN status = {lit(S.PULADO_JA_CORRIGIDO)} THEN 'FIXED_BEFORE'
+               WHEN status = {lit(S.ERRO_API)} THEN 'BAD_SUFFIX'
+               WHEN status = {lit(S.ERRO_COLISAO_IRRESOLVIVEL)} THEN 'IRRESOLVABLE'
+               WHEN status = {lit(S.ERRO_PUT)} THEN 'PUT_FAIL'
+               ELSE 'WIN' END AS outcome,
+          houve_colisao, product_id_conflitante, slug_final
+        FROM (SELECT *, row_number() OVER (PARTITION BY sku_vtex ORDER BY rn) AS copy FROM replay)
+        WHERE copy = 1 AND treat0""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in SQL.items():
@@ -287,4 +441,6 @@ def oracle_sql() -> dict[str, str]:
             out[name] = "WITH " + FIXTURES.strip() + body
         else:
             out[name] = with_fixtures(body)
+    for name, body in REPLAY_SQL.items():
+        out[name] = _replay(body)
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Settings every job in this package expects; a cluster may override sizes.
 _BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
