@@ -49,6 +49,9 @@ LOOKUP_FAILED = "LOOKUP_FAILED"
 # Rows per generated chunk when a SKU is listed many times.
 COPY_CHUNK = 100_000
 
+# Order buckets of the redirect timeline scan (see redirect_timeline).
+TIMELINE_BUCKETS = 1024
+
 
 def order_key(sku: Column | str) -> Column:
     """Sortable struct equal to the queue order (numeric SKU, then text)."""
@@ -109,15 +112,46 @@ def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None) -> DataF
     )
 
 
-def claim_level_bounds(enriched: DataFrame) -> tuple[int, int] | None:
-    """Spread of slug levels among the items to treat (one small job)."""
+def batch_stats(enriched: DataFrame) -> dict[str, int | None]:
+    """Slug-level and numeric-SKU spread of the batch (one small aggregate job).
+
+    The level spread bounds the collision loop; the SKU spread sizes the
+    order buckets of the redirect timeline.
+    """
     from slugmend.functions.slug import slug_level
 
-    lvl = slug_level(F.col("slug_norm"))
-    row = enriched.filter(F.col("gate") == TREAT).agg(F.min(lvl).alias("lo"), F.max(lvl).alias("hi")).first()
-    if row is None or row["lo"] is None:
+    treat = F.col("gate") == TREAT
+    lvl = F.when(treat, slug_level(F.col("slug_norm")))
+    row = enriched.agg(
+        F.min(lvl).alias("lvl_lo"),
+        F.max(lvl).alias("lvl_hi"),
+        F.min("okey.num").alias("num_lo"),
+        F.max("okey.num").alias("num_hi"),
+    ).first()
+    return {k: (None if row is None else row[k]) for k in ("lvl_lo", "lvl_hi", "num_lo", "num_hi")}
+
+
+def level_bounds(stats: dict[str, int | None]) -> tuple[int, int] | None:
+    if stats["lvl_lo"] is None:
         return None
-    return int(row["lo"]), int(row["hi"])
+    return int(stats["lvl_lo"]), int(stats["lvl_hi"])
+
+
+def order_buckets(stats: dict[str, int | None], n_buckets: int = TIMELINE_BUCKETS):
+    """Monotone map from order key to one of about ``n_buckets`` equal-width
+    ranges of the numeric SKU; non-numeric SKUs (which sort last) share the
+    last bucket."""
+    lo, hi = stats["num_lo"], stats["num_hi"]
+    if lo is None:
+        return lambda okey: F.lit(0)
+    width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
+
+    def bucket(okey: Column) -> Column:
+        return F.when(okey["nn"], F.lit(n_buckets + 1)).otherwise(
+            F.floor((okey["num"] - F.lit(int(lo))) / F.lit(width)).cast("int")
+        )
+
+    return bucket
 
 
 def resolve(enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | None) -> DataFrame:
@@ -140,6 +174,7 @@ def item_outcomes(
     registry: DataFrame,
     redirect_out: DataFrame | None,
     removals: DataFrame | None,
+    bucket=None,
 ) -> DataFrame:
     """First-copy log fields per item, before the row layout is applied."""
     dec = decisions.withColumnRenamed("item_id", "sku_id")
@@ -185,7 +220,7 @@ def item_outcomes(
     checks = items.filter(
         (F.col("gate") == TREAT) & (F.col("outcome") != C.FIXED_BEFORE)
     ).select(F.col("sku_id").alias("item_id"), "okey", current_path(F.col("link_id")).alias("path_atual"))
-    probes = redirect_timeline(checks, creates, registry, removals).withColumnRenamed("item_id", "sku_id")
+    probes = redirect_timeline(checks, creates, registry, removals, bucket).withColumnRenamed("item_id", "sku_id")
     return items.join(probes, "sku_id", "left")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,6 +143,7 @@ def redirect_timeline(
     creates: DataFrame,
     registry: DataFrame,
     removals: DataFrame | None,
+    bucket: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Probe results for every check, given the in-batch creations.
 
@@ -148,6 +151,13 @@ def redirect_timeline(
     ``(okey, seq, from_path, to_path)``; ``registry``: ``(from_path,
     to_path)``; ``removals``: ``(from_path, erro, msg)`` or ``None``.
     Returns ``(item_id, existe, destino_antigo, removal_failed, observacao)``.
+
+    ``bucket`` maps an order key to a non-negative integer that never
+    decreases along the queue order. The scan then runs in two levels, so
+    that a path shared by a large share of the batch is not one task:
+    per (path, bucket) maxima, a carry-in over the buckets of a path (few
+    rows per path), and ordered windows inside each (path, bucket).
+    Without ``bucket`` every path is one window partition.
     """
     cols = ["path", "flag", "okey", "phase", "to_path", "is_check", "item_id", "_rem_erro", "_rem_msg"]
     probed = checks.select(F.col("path_atual").alias("path")).distinct()
@@ -201,16 +211,36 @@ def redirect_timeline(
     events = snap.select(*cols).unionByName(made.select(*cols)).unionByName(probes.select(*cols))
     rem_failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
     key = F.struct("flag", "okey", "phase")
+    set_ev = F.when(~F.col("is_check"), F.struct(key.alias("k"), F.col("to_path")))
+    reset_ev = F.when(F.col("is_check") & ~rem_failed, key)
+    if bucket is None:
+        events = events.withColumn("b", F.lit(0))
+    else:
+        events = events.withColumn("b", F.when(F.col("flag") == _SNAPSHOT, F.lit(-1)).otherwise(bucket(F.col("okey"))))
+    # Level 1: what each (path, bucket) leaves behind, carried into later buckets.
+    per_bucket = events.groupBy("path", "b").agg(F.max(set_ev).alias("bs"), F.max(reset_ev).alias("br"))
+    over_buckets = Window.partitionBy("path").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(
+        "path", "b", F.max("bs").over(over_buckets).alias("cs"), F.max("br").over(over_buckets).alias("cr")
+    )
+    # Level 2: ordered scan inside each (path, bucket).
     w = (
-        Window.partitionBy("path")
+        Window.partitionBy("path", "b")
         .orderBy(F.col("flag"), F.col("okey").asc_nulls_first(), F.col("phase"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    last_set = F.max(F.when(~F.col("is_check"), F.struct(key.alias("k"), F.col("to_path")))).over(w)
-    last_reset = F.max(F.when(F.col("is_check") & ~rem_failed, key)).over(w)
-    scanned = events.select(
-        "item_id", "is_check", "_rem_erro", "_rem_msg", last_set.alias("ls"), last_reset.alias("lr")
-    ).filter(F.col("is_check"))
+    scanned = (
+        events.select(
+            "path", "b", "item_id", "is_check", "_rem_erro", "_rem_msg",
+            F.max(set_ev).over(w).alias("ls_in"), F.max(reset_ev).over(w).alias("lr_in"),
+        )
+        .filter(F.col("is_check"))
+        .join(carry, ["path", "b"], "left")
+        .select(
+            "item_id", "_rem_erro", "_rem_msg",
+            F.greatest("ls_in", "cs").alias("ls"), F.greatest("lr_in", "cr").alias("lr"),
+        )
+    )
     exists = F.col("ls").isNotNull() & (F.col("lr").isNull() | (F.col("ls.k") > F.col("lr")))
     failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
     return scanned.select(

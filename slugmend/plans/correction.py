@@ -41,6 +41,7 @@ def cascade(
     redirect_out: DataFrame | None = None,
     removals: DataFrame | None = None,
     sku_col: str = "sku_id",
+    timeline_buckets: int = K.TIMELINE_BUCKETS,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the cascade; returns (log rows without run columns, collision decisions).
 
@@ -52,10 +53,12 @@ def cascade(
     spark = batch.sparkSession
     items = K.batch_items(batch, sku_col)
     enriched = materialise(K.enrich(items, catalog, put))
-    bounds = K.claim_level_bounds(enriched)
-    decisions = materialise(K.resolve(enriched, catalog, bounds))
+    stats = K.batch_stats(enriched)
+    decisions = materialise(K.resolve(enriched, catalog, K.level_bounds(stats)))
     reg = registry if registry is not None else empty_registry(spark)
-    outcomes = K.item_outcomes(enriched, decisions, reg, redirect_out, removals)
+    outcomes = K.item_outcomes(
+        enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats, timeline_buckets)
+    )
     first = K.first_copy_rows(outcomes)
     cols = ["sku_id", *ROW_COLUMNS]
     rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
