@@ -27,6 +27,11 @@ from slugmend.schemas import (
 from slugmend.sources.runlog import effective_time
 
 
+def _optional(log: DataFrame, name: str, dtype: str):
+    """A column that older logs may lack: typed null when absent."""
+    return F.col(name) if name in log.columns else F.lit(None).cast(dtype)
+
+
 def with_effective_time(log: DataFrame) -> DataFrame:
     """Add ``effective_ts``: legacy time column if present and set, else ``timestamp``."""
     return log.withColumn("effective_ts", effective_time(log))
@@ -54,12 +59,13 @@ def run_summaries(log: DataFrame) -> DataFrame:
     time as text.
     """
     t = effective_time(log)
-    lat = F.col("tempo_processamento_ms")
+    lat = _optional(log, "tempo_processamento_ms", "int")
+    collided = _optional(log, "houve_colisao", "boolean")
     counts = [F.count_if(F.col("status") == s).alias(name) for name, s in STATUS_COUNTS]
     agg = log.groupBy("execution_id").agg(
         F.count(F.lit(1)).alias("total"),
         *counts,
-        F.count_if(F.col("houve_colisao")).alias("total_colisoes"),
+        F.count_if(collided).alias("total_colisoes"),
         F.sum(lat.cast("bigint")).alias("_lat_sum"),
         F.count(lat).alias("_lat_n"),
         F.min(t).alias("primeiro_ts"),

@@ -172,9 +172,6 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """The smoke-check query."""
-    return q_queue_next(spark, d)
 
 
 # --- correction run (whole queue, replayed with the outcome tables) -----------------
@@ -223,3 +220,8 @@ QUERIES.update(
         "run_log_rows": q_run_log_rows,
     }
 )
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """The smoke-check query: the whole correction run as log rows."""
+    return q_run_log_rows(spark, d)
