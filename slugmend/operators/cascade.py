@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 from slugmend.functions.slug import normalize_slug, numeric_order_key, product_path
 from slugmend.functions.text import join_messages, template
 from slugmend.operators import collisions as C
-from slugmend.operators.catalog import TREAT, catalog_lookup, empty_slug_message, gate_column, products
+from slugmend.operators.catalog import (
+    TREAT,
+    catalog_lookup,
+    empty_slug_message,
+    gate_column,
+    products,
+    rows_for_products,
+)
 from slugmend.operators.redirects import current_path, redirect_sources, redirect_timeline
 from slugmend.schemas import (
     BAD_SUFFIX,
@@ -88,9 +95,9 @@ def batch_items(batch: DataFrame, sku_col: str = "sku_id") -> DataFrame:
     )
 
 
-def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None) -> DataFrame:
+def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: bool = False) -> DataFrame:
     """Lookup, gate and update outcome per item (steps before any probe)."""
-    look = catalog_lookup(items, catalog)
+    look = catalog_lookup(items, catalog, prune=prune)
     norm = normalize_slug(F.col("link_id"))
     gate = F.when(F.col("erro"), F.lit(LOOKUP_FAILED)).otherwise(
         gate_column(F.col("link_id"), norm, F.col("is_active"))
@@ -154,8 +161,14 @@ def order_buckets(stats: dict[str, int | None], n_buckets: int = TIMELINE_BUCKET
     return bucket
 
 
-def resolve(enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | None) -> DataFrame:
-    """Collision outcome per treated item (``collisions.RESOLUTION_COLUMNS``)."""
+def resolve(
+    enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | None, prune: bool = False
+) -> DataFrame:
+    """Collision outcome per treated item (``collisions.RESOLUTION_COLUMNS``).
+
+    With ``prune`` only products holding a candidate slug are aggregated
+    (semi joins on the link, then on the product), not the whole catalogue.
+    """
     claims = enriched.filter(F.col("gate") == TREAT).select(
         F.col("sku_id").alias("item_id"),
         "okey",
@@ -164,7 +177,13 @@ def resolve(enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | N
         F.col("slug_norm").alias("slug"),
         F.col("put_ok").alias("eligible"),
     )
-    prepared = C.prepare_claims(claims, products(catalog))
+    if prune:
+        cands = C.candidate_slugs(claims)
+        holding = catalog.join(cands, catalog["link_id"] == cands["slug"], "left_semi")
+        prods = products(rows_for_products(catalog, holding))
+    else:
+        prods = products(catalog)
+    prepared = C.prepare_claims(claims, prods)
     return C.resolve_claims(prepared, bounds)
 
 
@@ -177,15 +196,11 @@ def item_outcomes(
     bucket=None,
 ) -> DataFrame:
     """First-copy log fields per item, before the row layout is applied."""
-    dec = decisions.withColumnRenamed("item_id", "sku_id")
+    dec = decisions.drop("product_id")
+    if "item_id" in dec.columns:
+        dec = dec.withColumnRenamed("item_id", "sku_id")
     items = enriched.join(dec, "sku_id", "left")
 
-    # The product's new slug, for items that come after its fix.
-    winners = dec.filter(F.col("outcome") == C.WIN).join(
-        enriched.select("sku_id", "product_id"), "sku_id"
-    ).select("product_id", F.col("slug_final").alias("fixed_slug"))
-    items = items.join(winners, "product_id", "left")
-
     # Redirect attempts of items whose update went through, stopping at the first failure.
     won = items.filter(F.col("outcome") == C.WIN)
     attempts = won.select(

@@ -36,13 +36,32 @@ def products(catalog: DataFrame) -> DataFrame:
     )
 
 
-def catalog_lookup(items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id") -> DataFrame:
+def rows_for_products(catalog: DataFrame, product_ids: DataFrame) -> DataFrame:
+    """Every catalogue row of the given products (a semi join)."""
+    return catalog.join(product_ids.select("product_id").distinct(), "product_id", "left_semi")
+
+
+def catalog_lookup(
+    items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id", prune: bool = False
+) -> DataFrame:
     """SKU -> product -> (link, active) for each item, with lookup errors.
 
     Two left joins; a miss at either step is an ``ERRO_API`` message.
+    With ``prune`` the catalogue is first cut to the items' SKUs and then to
+    all rows of their products (semi joins: a small batch is broadcast after
+    AQE measures it), so the per-SKU and per-product aggregates never shuffle
+    the whole catalogue.
     """
-    with_pid = items.join(sku_products(catalog), sku_col, "left")
-    full = with_pid.join(products(catalog), "product_id", "left")
+    keys = items.select(F.col(sku_col).cast("string").alias("sku_id"))
+    if prune:
+        sku_rows = catalog.join(keys.distinct(), "sku_id", "left_semi")
+        sku_map = sku_products(sku_rows)
+        prods = products(rows_for_products(catalog, sku_map))
+    else:
+        sku_map = sku_products(catalog)
+        prods = products(catalog)
+    with_pid = items.join(sku_map, items[sku_col].cast("string") == sku_map["sku_id"], "left").drop(sku_map["sku_id"])
+    full = with_pid.join(prods, "product_id", "left")
     sku_miss = F.col("product_id").isNull()
     det_miss = ~sku_miss & F.col("link_id").isNull() & F.col("is_active").isNull()
     return full.select(

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import is_numeric_sku, slug_level, suffixed_slug
+from slugmend.sources.cuts import materialise
 
 # claim outcomes
 WIN = "WIN"                    # took the slug; its update succeeds
@@ -36,10 +37,12 @@ BAD_SUFFIX = "BAD_SUFFIX"      # plain slug taken and the SKU cannot form a slug
 
 RESOLUTION_COLUMNS = (
     "item_id",
+    "product_id",
     "outcome",
     "houve_colisao",
     "product_id_conflitante",
     "slug_final",
+    "fixed_slug",
 )
 
 
@@ -71,12 +74,20 @@ def snapshot_collisions(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def candidate_slugs(claims: DataFrame) -> DataFrame:
+    """Every slug a claim may ask about: plain and suffixed candidates."""
+    plain = claims.select(F.col("slug").alias("slug"))
+    sfx = claims.filter(is_numeric_sku(F.col("sku"))).select(suffixed_slug(F.col("slug"), F.col("sku")).alias("slug"))
+    return plain.unionByName(sfx).distinct()
+
+
 def prepare_claims(claims: DataFrame, products: DataFrame) -> DataFrame:
     """Attach both candidates, their levels and snapshot holders to each claim.
 
     ``claims``: ``(item_id, okey, product_id, sku, slug, eligible)`` for the
     items that reach the collision check (one row per item). Holders are
     looked up once here for both candidates, not once per level.
+    ``products`` may already be cut to the products holding a candidate.
     """
     holders = snapshot_holders(products)
     base = claims.select(
@@ -113,16 +124,27 @@ def level_bounds(prepared: DataFrame) -> tuple[int, int] | None:
     return int(row["lo"]), int(row["hi"])
 
 
-def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Settle one level; return (terminal decisions, claims pushed one level up)."""
+_LEVEL_COLUMNS = [
+    "item_id", "product_id", "okey", "eligible", "outcome", "houve_colisao",
+    "product_id_conflitante", "slug_final", "slug", "snap",
+]
+PUSH = "PUSH"  # not settled at this level: claims its suffixed slug one level up
+
+
+def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> DataFrame:
+    """Settle one level.
+
+    Returns one frame: terminal decisions, plus rows with outcome ``PUSH``
+    that carry a blocked plain claim (``slug``, ``snap``) to the next level.
+    """
     # Earliest eligible plain claimant of each slug, with its product.
     first_plain = plain.groupBy(F.col("slug1").alias("slug")).agg(
         F.min(F.when(F.col("eligible"), F.struct("okey", "product_id"))).alias("wp")
     )
-    decisions: list[DataFrame] = []
+    parts: list[DataFrame] = []
     suffix_wins = None
     if pushed is not None:
-        sfx = pushed.join(first_plain, "slug", "left")
+        sfx = pushed.drop("wp").join(first_plain, "slug", "left")
         blocked = F.col("snap").isNotNull() | (F.col("wp").isNotNull() & (F.col("wp.okey") < F.col("okey")))
         sfx = sfx.withColumn("blocked", blocked)
         fix = (
@@ -138,14 +160,21 @@ def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> tuple[DataFrame
             .otherwise(F.lit(PUT_FAIL))
         )
         sfx = sfx.withColumn("outcome", outcome)
-        decisions.append(
+        parts.append(
             sfx.select(
                 "item_id",
+                "product_id",
+                "okey",
+                "eligible",
                 "outcome",
                 # an item after its product's fix never probes
                 (F.col("outcome") != FIXED_BEFORE).alias("houve_colisao"),
-                F.when(F.col("outcome") != FIXED_BEFORE, F.col("conflict")).alias("product_id_conflitante"),
+                F.when(F.col("outcome") != FIXED_BEFORE, F.col("product_id_conflitante")).alias(
+                    "product_id_conflitante"
+                ),
                 F.when(F.col("outcome").isin(WIN, PUT_FAIL), F.col("slug")).alias("slug_final"),
+                "slug",
+                F.lit(None).cast("bigint").alias("snap"),
             )
         )
         suffix_wins = sfx.filter(F.col("outcome") == WIN).select(
@@ -164,61 +193,70 @@ def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> tuple[DataFrame
     same_product = F.col("win.product_id") == F.col("product_id")
     blocked = snap | (before & ~same_product)
     conflict = F.when(snap, F.col("snap1")).when(blocked, F.col("win.product_id"))
-    p = p.withColumn(
-        "outcome",
+    outcome = (
         F.when(blocked & F.col("slug2").isNull(), F.lit(BAD_SUFFIX))
-        .when(blocked, F.lit("PUSH"))
+        .when(blocked, F.lit(PUSH))
         .when(before & same_product, F.lit(FIXED_BEFORE))
         .when(F.col("win.okey") == F.col("okey"), F.lit(WIN))
-        .otherwise(F.lit(PUT_FAIL)),
-    ).withColumn("conflict", conflict)
-    decisions.append(
-        p.filter(F.col("outcome") != "PUSH").select(
+        .otherwise(F.lit(PUT_FAIL))
+    )
+    p = p.withColumn("outcome", outcome)
+    pushing = F.col("outcome") == PUSH
+    parts.append(
+        p.select(
             "item_id",
+            "product_id",
+            "okey",
+            "eligible",
             "outcome",
-            (F.col("outcome") == BAD_SUFFIX).alias("houve_colisao"),
-            F.col("conflict").alias("product_id_conflitante"),
+            F.col("outcome").isin(BAD_SUFFIX, PUSH).alias("houve_colisao"),
+            conflict.alias("product_id_conflitante"),
             F.when(F.col("outcome").isin(WIN, PUT_FAIL), F.col("slug1")).alias("slug_final"),
+            F.when(pushing, F.col("slug2")).alias("slug"),
+            F.when(pushing, F.col("snap2")).alias("snap"),
         )
     )
-    up = p.filter(F.col("outcome") == "PUSH").select(
-        "item_id",
-        "okey",
-        "product_id",
-        "eligible",
-        F.col("slug2").alias("slug"),
-        F.col("snap2").alias("snap"),
-        "conflict",
-    )
-    out = decisions[0]
-    for d in decisions[1:]:
-        out = out.unionByName(d)
-    return out, up
+    out = parts[0].select(*_LEVEL_COLUMNS)
+    for part in parts[1:]:
+        out = out.unionByName(part.select(*_LEVEL_COLUMNS))
+    return out
 
 
 def resolve_claims(prepared: DataFrame, bounds: tuple[int, int] | None = None) -> DataFrame:
-    """Settle every claim; one row per item with ``RESOLUTION_COLUMNS``.
+    """Settle every claim; one row per item with ``RESOLUTION_COLUMNS``
+    (``fixed_slug``: the slug the item's product took in the batch, if any).
 
-    ``prepared`` comes from :func:`prepare_claims` and should be
-    materialised (it is read once per level). The number of levels is the
-    spread of trailing digit groups plus one, a small data-dependent bound.
+    ``prepared`` comes from :func:`prepare_claims`; it is materialised here
+    because every level reads it. The number of levels is the spread of
+    trailing digit groups plus one, a small data-dependent bound; each
+    level's output is written once (a lineage cut per level).
     """
     if bounds is None:
         bounds = level_bounds(prepared)
     if bounds is None:
         return prepared.select(
             "item_id",
+            "product_id",
             F.lit(None).cast("string").alias("outcome"),
             F.lit(None).cast("boolean").alias("houve_colisao"),
             F.lit(None).cast("bigint").alias("product_id_conflitante"),
             F.lit(None).cast("string").alias("slug_final"),
+            F.lit(None).cast("string").alias("fixed_slug"),
         ).limit(0)
     lo, hi = bounds
-    decided: DataFrame | None = None
+    # Each level reads the materialised claims and the previous level's
+    # pushed claims only, so the plan stays the same size at every level.
+    prepared = materialise(prepared, "claims")
+    settled: list[DataFrame] = []
     pushed: DataFrame | None = None
     for level in range(lo, hi + 2):
         plain = prepared.filter(F.col("lvl") == level)
-        dec, pushed = _settle_level(plain, pushed)
-        decided = dec if decided is None else decided.unionByName(dec)
-    assert decided is not None
-    return decided
+        out = materialise(_settle_level(plain, pushed), f"level{level}")
+        pushed = out.filter(F.col("outcome") == PUSH)
+        settled.append(out.filter(F.col("outcome") != PUSH))
+    decided = settled[0]
+    for part in settled[1:]:
+        decided = decided.unionByName(part)
+    # A product is fixed at most once; its items after the fix see that slug.
+    wins = decided.filter(F.col("outcome") == WIN).select("product_id", F.col("slug_final").alias("fixed_slug"))
+    return decided.join(wins, "product_id", "left").select(*RESOLUTION_COLUMNS)

@@ -9,7 +9,10 @@ tables every write is assumed to succeed (plan mode).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import logging
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +20,20 @@ from pyspark.sql import functions as F
 from slugmend.operators import cascade as K
 from slugmend.operators.queue import queue_next
 from slugmend.schemas import DEFAULT_BATCH_SIZE, LOG_COLUMNS
-from slugmend.session import checkpoint_dir
+from slugmend.sources.cuts import materialise
 from slugmend.sources.runlog import append_log, to_log_schema
 
+log = logging.getLogger("slugmend")
+
+
+@contextlib.contextmanager
+def phase(name: str):
+    """Log the wall time of one step of the run (INFO on the ``slugmend`` logger)."""
+    t0 = time.perf_counter()
+    yield
+    log.info("phase %s took %.2fs", name, time.perf_counter() - t0)
+
+
 ROW_COLUMNS = [c for c in LOG_COLUMNS if c not in ("execution_id", "timestamp", "sku_vtex", "tempo_processamento_ms")]
 
 
@@ -27,12 +41,6 @@ def empty_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "from_path string, to_path string")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing to the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def cascade(
     batch: DataFrame,
     catalog: DataFrame,
@@ -42,24 +50,35 @@ def cascade(
     removals: DataFrame | None = None,
     sku_col: str = "sku_id",
     timeline_buckets: int = K.TIMELINE_BUCKETS,
+    prune_catalog: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the cascade; returns (log rows without run columns, collision decisions).
 
-    Two cuts: the enriched batch (read by the level loop, the redirect
-    timeline and the row assembly) and the collision decisions (read by
-    every later step); both are small next to the catalogue and make a
-    lost executor cost one stage, not the whole lineage.
+    Cuts (checkpoints in the shared folder): the enriched batch (read by
+    the level loop, the redirect timeline and the row assembly), the
+    collision decisions and the first-copy rows; all are batch-sized, and
+    a lost executor then costs one stage, not the whole lineage.
+
+    ``prune_catalog`` cuts the catalogue to what the batch can touch before
+    any aggregation; worth it when the batch is small next to the catalogue
+    (the nightly batch), not when the batch is the whole queue.
     """
     spark = batch.sparkSession
-    items = K.batch_items(batch, sku_col)
-    enriched = materialise(K.enrich(items, catalog, put))
-    stats = K.batch_stats(enriched)
-    decisions = materialise(K.resolve(enriched, catalog, K.level_bounds(stats)))
-    reg = registry if registry is not None else empty_registry(spark)
-    outcomes = K.item_outcomes(
-        enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats, timeline_buckets)
-    )
-    first = K.first_copy_rows(outcomes)
+    with phase("enrich"):
+        items = K.batch_items(batch, sku_col)
+        enriched = materialise(K.enrich(items, catalog, put, prune_catalog), "enriched")
+    with phase("stats"):
+        stats = K.batch_stats(enriched)
+    with phase("collisions"):
+        resolved = K.resolve(enriched, catalog, K.level_bounds(stats), prune_catalog)
+        decisions = materialise(resolved.withColumnRenamed("item_id", "sku_id"), "decisions")
+    with phase("redirects"):
+        reg = registry if registry is not None else empty_registry(spark)
+        outcomes = K.item_outcomes(
+            enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats, timeline_buckets)
+        )
+        # Third cut: first-copy rows feed both the rows themselves and the repeats.
+        first = materialise(K.first_copy_rows(outcomes), "first")
     cols = ["sku_id", *ROW_COLUMNS]
     rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
     return rows, decisions
@@ -109,9 +128,11 @@ def run_correction(
 ) -> DataFrame:
     """Queue -> cascade -> log rows; appended to ``log_path`` when given."""
     batch = queue_next(source, log, batch_size)
-    rows, _ = cascade(batch, catalog, registry, put, redirect_out, removals)
+    rows, _ = cascade(
+        batch, catalog, registry, put, redirect_out, removals, prune_catalog=batch_size is not None
+    )
     out = log_rows(rows, execution_id, run_ts)
     if log_path is not None:
-        out = materialise(out)
+        out = materialise(out, "log_rows")
         append_log(out, log_path, log_format)
     return out

@@ -289,7 +289,7 @@ SQL: dict[str, str] = {
 _BATCH_STATE = f"""
 , batch_rows AS MATERIALIZED (
   SELECT sku_id, row_number() OVER (ORDER BY try_cast(sku_id AS BIGINT) NULLS LAST, sku_id) AS rn
-  FROM queue_cand
+  FROM {{batch_source}}
 ),
 rs AS MATERIALIZED (
   SELECT b.rn, b.sku_id, sp.product_id AS pid, p.link_id AS link0, p.is_active AS act,
@@ -404,8 +404,9 @@ sim(i, claims, fixed, regc, r) AS (
 replay AS (SELECT unnest(r) FROM sim WHERE i > 0)"""
 
 
-def _replay(body: str) -> str:
-    return "WITH RECURSIVE " + FIXTURES.strip() + _BATCH_STATE + "\n" + body.strip()
+def _replay(body: str, batch_source: str = "queue_cand") -> str:
+    state = _BATCH_STATE.replace("{batch_source}", batch_source)
+    return "WITH RECURSIVE " + FIXTURES.strip() + state + "\n" + body.strip()
 
 
 REPLAY_SQL: dict[str, str] = {
@@ -443,4 +444,6 @@ def oracle_sql() -> dict[str, str]:
             out[name] = with_fixtures(body)
     for name, body in REPLAY_SQL.items():
         out[name] = _replay(body)
+    # the nightly batch: the next DEFAULT_BATCH_SIZE SKUs only
+    out["correction_batch"] = _replay(REPLAY_SQL["run_log_rows"], "queue_batch")
     return out

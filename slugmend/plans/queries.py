@@ -18,6 +18,7 @@ from slugmend.functions.slug import normalize_slug
 from slugmend.operators import catalog as cat_ops
 from slugmend.operators import collisions, queue, redirects, report
 from slugmend.plans import correction
+from slugmend.sources.cuts import materialise
 from slugmend.sources import fixtures as fx
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
@@ -183,7 +184,7 @@ RUN_TS = dt.datetime(2024, 2, 1, 3, 0, 0)
 def correction_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     # The catalogue snapshot is a stored table in production; here it is
     # derived once and written to the checkpoint folder.
-    cat = correction.materialise(fx.catalog(spark, d))
+    cat = materialise(fx.catalog(spark, d))
     return dict(
         batch=queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), None),
         catalog=cat,
@@ -196,8 +197,7 @@ def correction_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 def q_slug_resolution(spark: SparkSession, d: str) -> DataFrame:
     _, decisions = correction.cascade(**correction_inputs(spark, d))
-    return decisions.select(F.col("item_id").alias("sku_id"), "outcome", "houve_colisao",
-                            "product_id_conflitante", "slug_final")
+    return decisions.select("sku_id", "outcome", "houve_colisao", "product_id_conflitante", "slug_final")
 
 
 def q_status_cascade(spark: SparkSession, d: str) -> DataFrame:
@@ -213,8 +213,19 @@ def q_run_log_rows(spark: SparkSession, d: str) -> DataFrame:
     return correction.log_rows(rows, RUN_ID, RUN_TS)
 
 
+def q_correction_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The nightly run: next 150 SKUs, catalogue cut to what they touch."""
+    cat = materialise(fx.catalog(spark, d))
+    return correction.run_correction(
+        fx.queue_src(spark, d), fx.run_log(spark, d), cat, RUN_ID,
+        registry=fx.redirects(cat), put=fx.put_outcome(cat), redirect_out=fx.redirect_outcome(cat),
+        removals=fx.removal_outcome(cat), batch_size=DEFAULT_BATCH_SIZE, run_ts=RUN_TS,
+    )
+
+
 QUERIES.update(
     {
+        "correction_batch": q_correction_batch,
         "slug_resolution": q_slug_resolution,
         "status_cascade": q_status_cascade,
         "run_log_rows": q_run_log_rows,

@@ -88,12 +88,12 @@ def _scenario(seed: int, n_products: int = 60):
     return batch, catalog, registry, put, red, rem
 
 
-@pytest.mark.parametrize("seed,buckets", [(1, 1024), (2, 3), (3, 1), (4, 16)])
-def test_random_catalogues_match_sequential_replay(spark, seed, buckets):
+@pytest.mark.parametrize("seed,buckets,prune", [(1, 1024, False), (2, 3, True), (3, 1, False), (4, 16, True)])
+def test_random_catalogues_match_sequential_replay(spark, seed, buckets, prune):
     batch, catalog, registry, put, red, rem = _scenario(seed)
     cat, reg, pu, ro, rm = _frames(spark, catalog, registry, put, red, rem)
     b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
-    rows, _ = correction.cascade(b, cat, reg, pu, ro, rm, timeline_buckets=buckets)
+    rows, _ = correction.cascade(b, cat, reg, pu, ro, rm, timeline_buckets=buckets, prune_catalog=prune)
     _assert_same(_spark_rows(rows), _model_rows(replay(batch, catalog, registry, put, red, rem)))
 
 
