@@ -20,6 +20,7 @@ from slugmend.session import get_session  # noqa: E402
 
 HEADLINE = [
     "run_log_rows",      # whole correction run over the queue (flagship)
+    "correction_batch",  # the nightly run: next 150 SKUs, catalogue pruned
     "queue_next",        # anti join + top-k batch selection
     "run_summary",       # per-run report aggregates
     "critical_alert",    # bounded top-k per run
