@@ -131,12 +131,25 @@ _LEVEL_COLUMNS = [
 PUSH = "PUSH"  # not settled at this level: claims its suffixed slug one level up
 
 
-def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> DataFrame:
-    """Settle one level.
+def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFrame:
+    """Settle one level (``plain`` or ``pushed`` may be absent).
 
     Returns one frame: terminal decisions, plus rows with outcome ``PUSH``
     that carry a blocked plain claim (``slug``, ``snap``) to the next level.
     """
+    if plain is None:
+        assert pushed is not None
+        # no plain claim at this level: a suffixed claim is blocked only by the snapshot
+        plain = pushed.select(
+            F.lit(None).cast("string").alias("slug1"),
+            F.lit(False).alias("eligible"),
+            "okey",
+            "product_id",
+            "item_id",
+        ).limit(0)
+        plain_empty = True
+    else:
+        plain_empty = False
     # Earliest eligible plain claimant of each slug, with its product.
     first_plain = plain.groupBy(F.col("slug1").alias("slug")).agg(
         F.min(F.when(F.col("eligible"), F.struct("okey", "product_id"))).alias("wp")
@@ -180,6 +193,8 @@ def _settle_level(plain: DataFrame, pushed: DataFrame | None) -> DataFrame:
         suffix_wins = sfx.filter(F.col("outcome") == WIN).select(
             "slug", F.struct("okey", "product_id").alias("sw")
         )
+        if plain_empty:
+            return parts[0].select(*_LEVEL_COLUMNS)
 
     p = plain.join(first_plain, plain["slug1"] == first_plain["slug"], "left").drop("slug")
     if suffix_wins is not None:
@@ -227,7 +242,7 @@ def resolve_claims(prepared: DataFrame, bounds: tuple[int, int] | None = None) -
     (``fixed_slug``: the slug the item's product took in the batch, if any).
 
     ``prepared`` comes from :func:`prepare_claims`; it is materialised here
-    because every level reads it. The number of levels is the spread of
+    when more than one level reads it. The number of levels is the spread of
     trailing digit groups plus one, a small data-dependent bound; each
     level's output is written once (a lineage cut per level).
     """
@@ -244,13 +259,15 @@ def resolve_claims(prepared: DataFrame, bounds: tuple[int, int] | None = None) -
             F.lit(None).cast("string").alias("fixed_slug"),
         ).limit(0)
     lo, hi = bounds
-    # Each level reads the materialised claims and the previous level's
-    # pushed claims only, so the plan stays the same size at every level.
-    prepared = materialise(prepared, "claims")
+    # Each level reads the claims and the previous level's pushed claims
+    # only, so the plan stays the same size at every level. The claims are
+    # written first when more than one level reads them.
+    if hi > lo:
+        prepared = materialise(prepared, "claims")
     settled: list[DataFrame] = []
     pushed: DataFrame | None = None
     for level in range(lo, hi + 2):
-        plain = prepared.filter(F.col("lvl") == level)
+        plain = prepared.filter(F.col("lvl") == level) if level <= hi else None
         out = materialise(_settle_level(plain, pushed), f"level{level}")
         pushed = out.filter(F.col("outcome") == PUSH)
         settled.append(out.filter(F.col("outcome") != PUSH))

@@ -54,10 +54,11 @@ def cascade(
 ) -> tuple[DataFrame, DataFrame]:
     """Run the cascade; returns (log rows without run columns, collision decisions).
 
-    Cuts (checkpoints in the shared folder): the enriched batch (read by
-    the level loop, the redirect timeline and the row assembly), the
-    collision decisions and the first-copy rows; all are batch-sized, and
-    a lost executor then costs one stage, not the whole lineage.
+    Cuts (Parquet in the shared checkpoint folder): the enriched batch
+    (read by the level loop, the redirect timeline and the row assembly)
+    the output of every collision level and the collision decisions; all
+    are batch-sized, and a lost executor then costs one stage, not the
+    whole lineage.
 
     ``prune_catalog`` cuts the catalogue to what the batch can touch before
     any aggregation; worth it when the batch is small next to the catalogue
@@ -77,8 +78,7 @@ def cascade(
         outcomes = K.item_outcomes(
             enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats, timeline_buckets)
         )
-        # Third cut: first-copy rows feed both the rows themselves and the repeats.
-        first = materialise(K.first_copy_rows(outcomes), "first")
+        first = K.first_copy_rows(outcomes)
     cols = ["sku_id", *ROW_COLUMNS]
     rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
     return rows, decisions
@@ -134,5 +134,5 @@ def run_correction(
     out = log_rows(rows, execution_id, run_ts)
     if log_path is not None:
         out = materialise(out, "log_rows")
-        append_log(out, log_path, log_format)
+        append_log(out, log_path, log_format, execution_id=execution_id)
     return out

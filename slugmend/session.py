@@ -47,16 +47,20 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a scratch folder is created and registered.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local session
+    (tests, benchmarks) falls back to a scratch folder when it is unset; on
+    a cluster an unset folder is an error, since a machine-local folder
+    would not survive the loss of that machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     local = tempfile.mkdtemp(prefix="slugmend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -9,6 +9,7 @@ changed schema does not, so the writer targets paths.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,21 +41,35 @@ def null_violations(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
+def _has_run(spark: SparkSession, path: str, fmt: str, execution_ids: list[str]) -> bool:
+    """Whether the log at ``path`` already holds rows of these runs (filter reaches the scan)."""
+    try:
+        existing = read_log(spark, path, fmt)
+    except AnalysisException:  # no log yet
+        return False
+    return not existing.filter(F.col("execution_id").isin(execution_ids)).select("execution_id").isEmpty()
+
+
 def append_log(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     skip_empty: bool = True,
+    execution_id: str | None = None,
 ) -> bool:
     """Append rows to the log at ``path``; returns whether anything was written.
 
-    ``skip_empty`` mirrors the reference guard (no write for an empty batch);
-    it costs one short job that stops at the first row.
+    ``skip_empty`` is the empty-batch guard (no write for an empty batch);
+    it costs one short job that stops at the first row. With
+    ``execution_id``, a run already present in the log is not appended
+    again, so a retried run cannot duplicate its rows.
     """
     out = to_log_schema(df)
     if skip_empty and out.isEmpty():
         return False
+    if execution_id is not None and _has_run(df.sparkSession, path, fmt, [execution_id]):
+        return False
     writer = out.write.mode("append").option("mergeSchema", "true").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -14,10 +14,6 @@ from slugmend.schemas import LOG_COLUMNS, LOG_SCHEMA
 from slugmend.sources import runlog
 
 
-def _row(exec_id, sku, status, ts):
-    return {"execution_id": exec_id, "timestamp": ts, "sku_vtex": sku, "status": status}
-
-
 def test_all_null_optional_columns_keep_their_types(spark):
     df = spark.createDataFrame(
         [("e1", dt.datetime(2024, 1, 1), "1")], "execution_id string, timestamp timestamp, sku_vtex string"
@@ -128,3 +124,32 @@ def test_refresh_then_read_sees_new_files(spark, scratch):
     assert runlog.read_log(spark, path).count() == 1
     runlog.append_log(one, path)
     assert runlog.read_log(spark, path).count() == 2
+
+
+def test_a_run_is_appended_once(spark, scratch):
+    path = os.path.join(scratch, "log")
+    rows = spark.createDataFrame(
+        [("e1", dt.datetime(2024, 1, 1), "1")], "execution_id string, timestamp timestamp, sku_vtex string"
+    )
+    assert runlog.append_log(rows, path, execution_id="e1")
+    assert not runlog.append_log(rows, path, execution_id="e1")
+    assert runlog.read_log(spark, path).count() == 1
+
+
+def test_correction_run_appends_to_the_log(spark, scratch):
+    from conftest import SF_SMALL
+
+    from slugmend.plans import correction
+    from slugmend.sources import fixtures as fx
+
+    path = os.path.join(scratch, "log")
+    cat = fx.catalog(spark, SF_SMALL)
+    out = correction.run_correction(
+        fx.queue_src(spark, SF_SMALL), fx.run_log(spark, SF_SMALL), cat, "run-1",
+        registry=fx.redirects(cat), batch_size=20, run_ts=dt.datetime(2024, 2, 1), log_path=path,
+    )
+    assert out.count() == 20
+    log = runlog.read_log(spark, path)
+    assert log.count() == 20 and log.filter(F.col("execution_id") != "run-1").count() == 0
+    rep = build_report(log)
+    assert rep.execution_id == "run-1" and rep.summary.first()["total"] == 20
