@@ -20,6 +20,7 @@ from slugmend.operators import collisions, queue, redirects, report
 from slugmend.plans import correction
 from slugmend.sources.cuts import materialise
 from slugmend.sources import fixtures as fx
+from slugmend.sources.tables import spread
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,7 +91,7 @@ def q_critical_alert(spark: SparkSession, d: str) -> DataFrame:
 # --- slugs and catalogue -------------------------------------------------------------
 
 def q_slug_normalize(spark: SparkSession, d: str) -> DataFrame:
-    texts = fx.slug_texts(spark, d)
+    texts = spread(fx.slug_texts(spark, d))
     return texts.select("src", "src_id", normalize_slug(F.col("text")).alias("slug"))
 
 

@@ -103,3 +103,31 @@ def test_plan_mode_assumes_every_write_succeeds(spark):
     b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
     rows, _ = correction.cascade(b, cat, reg)
     _assert_same(_spark_rows(rows), _model_rows(replay(batch, catalog, registry)))
+
+
+def _hot_scenario(n_hot: int = 300):
+    """A third-or-more of the batch shares one link: one slug, one probe path."""
+    catalog = []
+    for i in range(1, n_hot + 1):
+        catalog.append((str(10 * i), i, "Produto X", True))        # all normalise to produto-x
+    for i in range(n_hot + 1, n_hot + 101):
+        catalog.append((str(10 * i), i, f"item {i}", True))        # unrelated products
+    catalog.append(("5", 10_000, "produto-x-40", True))             # holds one hot suffix
+    batch = [c[0] for c in catalog] + ["10"] * 50                    # one SKU repeated 50 times
+    registry = {"/produto x/p": "/old/p", "/produto-x-40/p": "/older/p"}
+    put = {7: (True, "boom")}
+    red = {"/Produto X/p": (True, "quota")} if n_hot % 2 else {}
+    rem = {}
+    return batch, catalog, registry, put, red, rem
+
+
+@pytest.mark.parametrize("buckets", [2, 1024])
+def test_hot_slug_and_path_match_sequential_replay(spark, buckets):
+    batch, catalog, registry, put, red, rem = _hot_scenario()
+    cat, reg, pu, ro, rm = _frames(spark, catalog, registry, put, red, rem)
+    b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
+    rows, _ = correction.cascade(b, cat, reg, pu, ro, rm, timeline_buckets=buckets)
+    got = _spark_rows(rows)
+    _assert_same(got, _model_rows(replay(batch, catalog, registry, put, red, rem)))
+    statuses = Counter(k[COLS.index("status")] for k in got.elements())
+    assert statuses["SUCESSO"] >= 290 and sum(statuses.values()) == len(batch)

@@ -41,3 +41,21 @@ def test_alert_limit_is_applied_before_the_shuffle(spark):
 def test_no_cross_products(spark, name):
     plan = _plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_timeline_windows_are_bucketed(spark):
+    """The ordered scan over events is keyed by (path, bucket); only the
+    carry-in window is keyed by path, over one aggregated row per bucket."""
+    import re
+
+    from slugmend.operators.redirects import redirect_timeline
+
+    okey = "struct<nn:boolean,num:bigint,sku:string>"
+    checks = spark.createDataFrame([], f"item_id string, okey {okey}, path_atual string")
+    creates = spark.createDataFrame([], f"okey {okey}, seq int, from_path string, to_path string")
+    reg = spark.createDataFrame([], "from_path string, to_path string")
+    plan = _plan(redirect_timeline(checks, creates, reg, None, bucket=lambda k: k["num"] % 7))
+    assert re.search(r"windowspecdefinition\(path#\d+, b#\d+L?, flag#", plan)      # events: per (path, bucket)
+    assert re.search(r"windowspecdefinition\(path#\d+, b#\d+L? ASC", plan)         # carry: per path, by bucket
+    assert re.search(r"Aggregate\(key[s]?=\[path#\d+, b#\d+L?\]", plan)            # ... over (path, bucket) rows
+    assert not re.search(r"windowspecdefinition\(path#\d+, flag#", plan)           # never events per path alone
