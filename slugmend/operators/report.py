@@ -126,8 +126,14 @@ def run_header(summaries: DataFrame) -> DataFrame:
 
 
 def status_frequency(log: DataFrame) -> DataFrame:
-    """``(execution_id, status, n)``; display order is n desc, then status."""
-    return log.groupBy("execution_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    """``(execution_id, status, n, ordem)``: counts per status, ranked n desc, then status.
+
+    The rank window runs over the aggregated rows (at most one per status
+    and run), so its partitions are bounded however large a run is.
+    """
+    counts = log.groupBy("execution_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("execution_id").orderBy(F.col("n").desc(), F.col("status").asc_nulls_last())
+    return counts.withColumn("ordem", F.row_number().over(w))
 
 
 def critical_skus(log: DataFrame) -> DataFrame:

@@ -204,7 +204,10 @@ SQL: dict[str, str] = {
           run_ts,
           concat_ws('/', CAST(sucesso AS VARCHAR), CAST(total AS VARCHAR)) AS placar
         FROM summaries""",
-    "status_frequency": "SELECT execution_id, status, count(*) AS n FROM run_log GROUP BY execution_id, status",
+    "status_frequency": """
+        SELECT execution_id, status, n,
+               row_number() OVER (PARTITION BY execution_id ORDER BY n DESC, status NULLS LAST) AS ordem
+        FROM (SELECT execution_id, status, count(*) AS n FROM run_log GROUP BY execution_id, status)""",
     "critical_skus": "SELECT execution_id, sku_vtex FROM run_log WHERE status = 'ERRO_REDIRECT'",
     "critical_alert": f"""
         , crit AS (SELECT execution_id, sku_vtex FROM run_log WHERE status = 'ERRO_REDIRECT'),
