@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from slugmend.functions.slug import normalize_slug, numeric_order_key, product_path
 from slugmend.functions.text import join_messages, template
 from slugmend.operators import collisions as C
+from slugmend.operators.counts import expand_counts
 from slugmend.operators.catalog import (
     TREAT,
     catalog_lookup,
@@ -53,9 +54,6 @@ from slugmend.schemas import (
 
 LOOKUP_FAILED = "LOOKUP_FAILED"
 
-# Rows per generated chunk when a SKU is listed many times.
-COPY_CHUNK = 100_000
-
 # Order buckets of the redirect timeline scan (see redirect_timeline).
 TIMELINE_BUCKETS = 1024
 
@@ -85,12 +83,14 @@ def batch_items(batch: DataFrame, sku_col: str = "sku_id") -> DataFrame:
     """Distinct SKUs of a batch with their copy count and order key.
 
     Partial aggregation first, so a SKU listed millions of times costs one
-    row per map task in the shuffle.
+    row per map task in the shuffle. A batch that is already counted (an
+    ``n_copies`` column, as from ``queue.queue_head``) is summed instead.
     """
+    copies = F.sum("n_copies") if "n_copies" in batch.columns else F.count(F.lit(1))
     return (
         batch.filter(F.col(sku_col).isNotNull())
         .groupBy(F.col(sku_col).cast("string").alias("sku_id"))
-        .agg(F.count(F.lit(1)).alias("n_copies"))
+        .agg(copies.cast("bigint").alias("n_copies"))
         .withColumn("okey", order_key("sku_id"))
     )
 
@@ -138,7 +138,8 @@ def batch_stats(enriched: DataFrame) -> dict[str, int | None]:
     return {k: (None if row is None else row[k]) for k in ("lvl_lo", "lvl_hi", "num_lo", "num_hi")}
 
 
-def level_bounds(stats: dict[str, int | None]) -> tuple[int, int] | None:
+def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
+    """Lowest and highest plain slug level, or None when nothing is treated."""
     if stats["lvl_lo"] is None:
         return None
     return int(stats["lvl_lo"]), int(stats["lvl_hi"])
@@ -332,11 +333,4 @@ def repeat_rows(first: DataFrame) -> DataFrame:
         .otherwise(F.col("mensagem_erro"))
         .alias("mensagem_erro"),
     )
-    n_rep = F.col("n_copies") - 1
-    chunks = rows.select(
-        "*", F.explode(F.sequence(F.lit(0), F.floor((n_rep - 1) / COPY_CHUNK).cast("bigint"))).alias("_chunk")
-    ).withColumn("_cnt", F.least(F.lit(COPY_CHUNK).cast("bigint"), n_rep - F.col("_chunk") * COPY_CHUNK))
-    spread = chunks.repartition("sku_id", "_chunk")
-    return spread.select(
-        "*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cnt"))).alias("_copy")
-    ).drop("_chunk", "_cnt", "_copy", "n_copies")
+    return expand_counts(rows.withColumn("_repeats", F.col("n_copies") - 1).drop("n_copies"), "_repeats", ["sku_id"])

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import numeric_order_key
+from slugmend.operators.counts import expand_counts
 from slugmend.schemas import FINAL_STATUSES
 
 
@@ -44,22 +45,84 @@ def queue_candidates(
     return items.join(done, items["sku_id"] == done["sku_vtex"], "left_anti")
 
 
+# Up to this batch size the head is a per-task top-k heap; beyond it, a
+# range-partitioned count (see queue_head).
+TOPK_MAX = 100_000
+
+
+def queue_head(
+    src: DataFrame,
+    log: DataFrame,
+    batch_size: int | None,
+    sku_col: str = "sku_id",
+    final_statuses: Sequence[str] = FINAL_STATUSES,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The next ``batch_size`` listings as ``(sku_id, n_copies)``, for any size.
+
+    Copies of a SKU are counted first (partial aggregation, so a SKU listed
+    millions of times is one row). The distinct SKUs are range-partitioned
+    in queue order and written once; the per-partition totals (one row per
+    partition) locate the partition where the head ends. Partitions before
+    it are taken whole; inside it a running sum picks the SKUs (and how
+    many copies of the last one) still needed. No step holds the head in
+    one task or on the driver.
+    """
+    from slugmend.sources.cuts import materialise
+
+    cand = queue_candidates(src, log, sku_col, final_statuses)
+    counted = cand.groupBy("sku_id").agg(F.count(F.lit(1)).alias("n_copies"))
+    if batch_size is None:
+        return counted
+    spark = cand.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(
+        counted.repartitionByRange(parts, *queue_order("sku_id")).withColumn("_part", F.spark_partition_id()),
+        "queue_head",
+    )
+    totals = sorted((r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.sum("n_copies").alias("n")).collect())
+    need, before, cut = int(batch_size), 0, None
+    for part, n in totals:
+        if before + n >= need:
+            cut = part
+            break
+        before += n
+    if cut is None:  # the whole queue is shorter than the batch
+        return ranged.select("sku_id", "n_copies")
+    whole = ranged.filter(F.col("_part") < cut).select("sku_id", "n_copies")
+    w = Window.partitionBy("_part").orderBy(*queue_order("sku_id")).rowsBetween(Window.unboundedPreceding, 0)
+    edge = (
+        ranged.filter(F.col("_part") == cut)
+        .withColumn("_upto", F.sum("n_copies").over(w))
+        .withColumn("_left", F.lit(need - before) - (F.col("_upto") - F.col("n_copies")))
+        .filter(F.col("_left") > 0)
+        .select("sku_id", F.least(F.col("n_copies"), F.col("_left")).alias("n_copies"))
+    )
+    return whole.unionByName(edge)
+
+
 def queue_next(
     src: DataFrame,
     log: DataFrame,
     batch_size: int | None,
     sku_col: str = "sku_id",
     final_statuses: Sequence[str] = FINAL_STATUSES,
+    topk_max: int = TOPK_MAX,
 ) -> DataFrame:
     """The next ``batch_size`` SKUs in queue order (``None``: the whole queue).
 
-    With a size, Spark runs a per-partition top-k and merges the heaps
-    (``TakeOrderedAndProject``); the sizes used are small batches.
+    Small batches (the nightly 150) use Spark's per-partition top-k with a
+    merge of the heaps (``TakeOrderedAndProject``). Batches above
+    ``topk_max`` would make every task hold that many rows, so they go
+    through :func:`queue_head` and are expanded back to one row per listing.
     """
     cand = queue_candidates(src, log, sku_col, final_statuses)
     if batch_size is None:
         return cand
-    return cand.orderBy(*queue_order("sku_id")).limit(int(batch_size))
+    if batch_size <= topk_max:
+        return cand.orderBy(*queue_order("sku_id")).limit(int(batch_size))
+    head = queue_head(src, log, batch_size, sku_col, final_statuses)
+    return expand_counts(head, "n_copies", ["sku_id"])
 
 
 def queue_shortfall(batch: DataFrame, batch_size: int) -> DataFrame:

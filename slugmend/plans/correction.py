@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slugmend.operators import cascade as K
-from slugmend.operators.queue import queue_next
+from slugmend.operators.queue import TOPK_MAX, queue_head, queue_next
 from slugmend.schemas import DEFAULT_BATCH_SIZE, LOG_COLUMNS
 from slugmend.sources.cuts import materialise
 from slugmend.sources.runlog import append_log, to_log_schema
@@ -71,7 +71,7 @@ def cascade(
     with phase("stats"):
         stats = K.batch_stats(enriched)
     with phase("collisions"):
-        resolved = K.resolve(enriched, catalog, K.level_bounds(stats), prune_catalog)
+        resolved = K.resolve(enriched, catalog, K.stats_levels(stats), prune_catalog)
         decisions = materialise(resolved.withColumnRenamed("item_id", "sku_id"), "decisions")
     with phase("redirects"):
         reg = registry if registry is not None else empty_registry(spark)
@@ -127,7 +127,10 @@ def run_correction(
     log_format: str = "parquet",
 ) -> DataFrame:
     """Queue -> cascade -> log rows; appended to ``log_path`` when given."""
-    batch = queue_next(source, log, batch_size)
+    if batch_size is not None and batch_size > TOPK_MAX:
+        batch = queue_head(source, log, batch_size)  # counted; the cascade reads n_copies
+    else:
+        batch = queue_next(source, log, batch_size)
     rows, _ = cascade(
         batch, catalog, registry, put, redirect_out, removals, prune_catalog=batch_size is not None
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from slugmend.functions.slug import normalize_slug
 from slugmend.operators import catalog as cat_ops
 from slugmend.operators import collisions, queue, redirects, report
+from slugmend.operators.cascade import update_outcome
 from slugmend.plans import correction
 from slugmend.sources.cuts import materialise
 from slugmend.sources import fixtures as fx
@@ -119,10 +120,7 @@ def q_slug_collisions(spark: SparkSession, d: str) -> DataFrame:
 def q_update_outcome(spark: SparkSession, d: str) -> DataFrame:
     cat = fx.catalog(spark, d)
     items = _treated(spark, d).select("sku_id", "product_id")
-    put = fx.put_outcome(cat)
-    from slugmend.operators.cascade import update_outcome
-
-    return update_outcome(items, put)
+    return update_outcome(items, fx.put_outcome(cat))
 
 
 def _treated_products(spark: SparkSession, d: str) -> DataFrame:
