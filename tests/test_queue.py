@@ -58,3 +58,17 @@ def test_expand_counts_spreads_large_counts(spark):
     assert Counter(r["k"] for r in out.collect()) == Counter({"a": 7, "b": 1})
     assert out.columns == ["k"]
     assert out.filter(F.col("k") == "a").count() == 7
+
+
+def test_cascade_reads_a_counted_batch(spark):
+    from conftest import SF_SMALL
+
+    from slugmend.plans import correction
+
+    src, log = fx.queue_src(spark, SF_SMALL), fx.run_log(spark, SF_SMALL)
+    cat = fx.catalog(spark, SF_SMALL)
+    rows_a, _ = correction.cascade(queue.queue_next(src, log, 120), cat, fx.redirects(cat), fx.put_outcome(cat))
+    rows_b, _ = correction.cascade(queue.queue_head(src, log, 120), cat, fx.redirects(cat), fx.put_outcome(cat))
+    a = Counter(tuple(r) for r in rows_a.collect())
+    b = Counter(tuple(r) for r in rows_b.collect())
+    assert a == b and sum(a.values()) == 120
