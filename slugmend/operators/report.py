@@ -133,7 +133,7 @@ def status_frequency(log: DataFrame) -> DataFrame:
     """
     counts = log.groupBy("execution_id", "status").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("execution_id").orderBy(F.col("n").desc(), F.col("status").asc_nulls_last())
-    return counts.withColumn("ordem", F.row_number().over(w))
+    return counts.withColumn("ordem", F.row_number().over(w).cast("bigint"))
 
 
 def critical_skus(log: DataFrame) -> DataFrame:

@@ -21,8 +21,19 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+# Spark type -> DuckDB type name, for the schema half of the check
+TYPES = {
+    "StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER", "BooleanType()": "BOOLEAN",
+    "DoubleType()": "DOUBLE", "TimestampNTZType()": "TIMESTAMP", "TimestampType()": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    got = spark_rows(QUERIES[name](spark, SF_CHECK))
+    df = QUERIES[name](spark, SF_CHECK)
+    spark_types = {f.name: TYPES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert spark_types == duck_types
+    got = spark_rows(df)
     exp = duck_rows(con, SQL[name])
     assert diff(got, exp) is None, diff(got, exp)
