@@ -180,17 +180,27 @@ RUN_ID = "exec-2024-02-01"
 RUN_TS = dt.datetime(2024, 2, 1, 3, 0, 0)
 
 
+def snapshot_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Catalogue, registry and outcome snapshots, written once.
+
+    In production these are stored tables; here they are derived from the
+    generated data and written to the checkpoint folder, so the correction
+    plans read them like tables instead of re-deriving them.
+    """
+    cat = materialise(fx.catalog(spark, d), "catalog")
+    return dict(
+        catalog=cat,
+        registry=materialise(fx.redirects(cat), "registry"),
+        put=materialise(fx.put_outcome(cat), "put"),
+        redirect_out=materialise(fx.redirect_outcome(cat), "redirect_out"),
+        removals=materialise(fx.removal_outcome(cat), "removals"),
+    )
+
+
 def correction_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    # The catalogue snapshot is a stored table in production; here it is
-    # derived once and written to the checkpoint folder.
-    cat = materialise(fx.catalog(spark, d))
     return dict(
         batch=queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), None),
-        catalog=cat,
-        registry=fx.redirects(cat),
-        put=fx.put_outcome(cat),
-        redirect_out=fx.redirect_outcome(cat),
-        removals=fx.removal_outcome(cat),
+        **snapshot_inputs(spark, d),
     )
 
 
@@ -214,11 +224,10 @@ def q_run_log_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def q_correction_batch(spark: SparkSession, d: str) -> DataFrame:
     """The nightly run: next 150 SKUs, catalogue cut to what they touch."""
-    cat = materialise(fx.catalog(spark, d))
+    snap = snapshot_inputs(spark, d)
     return correction.run_correction(
-        fx.queue_src(spark, d), fx.run_log(spark, d), cat, RUN_ID,
-        registry=fx.redirects(cat), put=fx.put_outcome(cat), redirect_out=fx.redirect_outcome(cat),
-        removals=fx.removal_outcome(cat), batch_size=DEFAULT_BATCH_SIZE, run_ts=RUN_TS,
+        fx.queue_src(spark, d), fx.run_log(spark, d), snap.pop("catalog"), RUN_ID,
+        batch_size=DEFAULT_BATCH_SIZE, run_ts=RUN_TS, **snap,
     )
 
 
