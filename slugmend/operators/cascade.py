@@ -293,7 +293,6 @@ def first_copy_rows(items: DataFrame) -> DataFrame:
         (won & ~red_failed).alias("redirect_confirmado"),
         F.when(won, product_path(F.col("slug_final"))).alias("redirect_destino"),
         message.alias("mensagem_erro"),
-        F.coalesce(F.col("removal_failed"), F.lit(False)).alias("_removal_failed"),
         F.when(F.coalesce(F.col("removal_failed"), F.lit(False)), obs).alias("_repeat_obs"),
         error_text.alias("_error_text"),
     )
