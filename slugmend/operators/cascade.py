@@ -120,22 +120,13 @@ def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: b
 
 
 def batch_stats(enriched: DataFrame) -> dict[str, int | None]:
-    """Slug-level and numeric-SKU spread of the batch (one small aggregate job).
-
-    The level spread bounds the collision loop; the SKU spread sizes the
-    order buckets of the redirect timeline.
-    """
+    """Slug-level spread of the items to treat (one small aggregate job);
+    it bounds the collision level loop."""
     from slugmend.functions.slug import slug_level
 
-    treat = F.col("gate") == TREAT
-    lvl = F.when(treat, slug_level(F.col("slug_norm")))
-    row = enriched.agg(
-        F.min(lvl).alias("lvl_lo"),
-        F.max(lvl).alias("lvl_hi"),
-        F.min("okey.num").alias("num_lo"),
-        F.max("okey.num").alias("num_hi"),
-    ).first()
-    return {k: (None if row is None else row[k]) for k in ("lvl_lo", "lvl_hi", "num_lo", "num_hi")}
+    lvl = F.when(F.col("gate") == TREAT, slug_level(F.col("slug_norm")))
+    row = enriched.agg(F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")).first()
+    return {k: (None if row is None else row[k]) for k in ("lvl_lo", "lvl_hi")}
 
 
 def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
@@ -145,21 +136,33 @@ def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
     return int(stats["lvl_lo"]), int(stats["lvl_hi"])
 
 
-def order_buckets(stats: dict[str, int | None], n_buckets: int = TIMELINE_BUCKETS):
-    """Monotone map from order key to one of about ``n_buckets`` equal-width
-    ranges of the numeric SKU; non-numeric SKUs (which sort last) share the
-    last bucket."""
-    lo, hi = stats["num_lo"], stats["num_hi"]
-    if lo is None:
-        return lambda okey: F.lit(0)
-    width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
+def order_buckets(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS):
+    """Equal-count buckets of the queue order, as a DataFrame transform.
 
-    def bucket(okey: Column) -> Column:
-        return F.when(okey["nn"], F.lit(n_buckets + 1)).otherwise(
-            F.floor((okey["num"] - F.lit(int(lo))) / F.lit(width)).cast("int")
-        )
-
-    return bucket
+    Approximate quantiles of the numeric SKU (one small job; at most
+    ``n_buckets`` numbers reach the driver) become the splits of a
+    ``Bucketizer`` (a binary search per row, on the JVM). A range where
+    many items sit gets proportionally many buckets, so a path shared by a
+    large share of the batch is cut into many buckets whatever the SKU
+    distribution. Non-numeric SKUs (which sort last) share the last bucket.
+    The transform adds ``b`` from ``okey`` and keeps everything else.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    nums = enriched.select(F.col("okey.num").cast("double").alias("num")).dropna()
+    cuts = nums.approxQuantile("num", probs, 1.0 / (4 * n_buckets)) if probs else []
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    last = len(splits)
+    if last < 3:  # one bucket for the numeric SKUs
+        return lambda df: df.withColumn("b", F.when(F.col("okey.num").isNull(), F.lit(1)).otherwise(F.lit(0)))
+    buck = Bucketizer(splits=splits, inputCol="_num", outputCol="_b", handleInvalid="keep")
+
+    def apply(df: DataFrame) -> DataFrame:
+        out = buck.transform(df.withColumn("_num", F.col("okey.num").cast("double")))
+        return out.withColumn("b", F.coalesce(F.col("_b").cast("int"), F.lit(last))).drop("_num", "_b")
+
+    return apply
 
 
 def resolve(

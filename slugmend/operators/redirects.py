@@ -143,7 +143,7 @@ def redirect_timeline(
     creates: DataFrame,
     registry: DataFrame,
     removals: DataFrame | None,
-    bucket: Callable[[Column], Column] | None = None,
+    bucket: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Probe results for every check, given the in-batch creations.
 
@@ -152,8 +152,8 @@ def redirect_timeline(
     to_path)``; ``removals``: ``(from_path, erro, msg)`` or ``None``.
     Returns ``(item_id, existe, destino_antigo, removal_failed, observacao)``.
 
-    ``bucket`` maps an order key to a non-negative integer that never
-    decreases along the queue order. The scan then runs in two levels, so
+    ``bucket`` adds a column ``b`` computed from ``okey``: a non-negative
+    integer that never decreases along the queue order. The scan then runs in two levels, so
     that a path shared by a large share of the batch is not one task:
     per (path, bucket) maxima, a carry-in over the buckets of a path (few
     rows per path), and ordered windows inside each (path, bucket).
@@ -213,10 +213,8 @@ def redirect_timeline(
     key = F.struct("flag", "okey", "phase")
     set_ev = F.when(~F.col("is_check"), F.struct(key.alias("k"), F.col("to_path")))
     reset_ev = F.when(F.col("is_check") & ~rem_failed, key)
-    if bucket is None:
-        events = events.withColumn("b", F.lit(0))
-    else:
-        events = events.withColumn("b", F.when(F.col("flag") == _SNAPSHOT, F.lit(-1)).otherwise(bucket(F.col("okey"))))
+    events = events.withColumn("b", F.lit(0)) if bucket is None else bucket(events)
+    events = events.withColumn("b", F.when(F.col("flag") == _SNAPSHOT, F.lit(-1)).otherwise(F.col("b")))
     # Level 1: what each (path, bucket) leaves behind, carried into later buckets.
     per_bucket = events.groupBy("path", "b").agg(F.max(set_ev).alias("bs"), F.max(reset_ev).alias("br"))
     over_buckets = Window.partitionBy("path").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)

@@ -76,7 +76,7 @@ def cascade(
     with phase("redirects"):
         reg = registry if registry is not None else empty_registry(spark)
         outcomes = K.item_outcomes(
-            enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats, timeline_buckets)
+            enriched, decisions, reg, redirect_out, removals, K.order_buckets(enriched, timeline_buckets)
         )
         first = K.first_copy_rows(outcomes)
     cols = ["sku_id", *ROW_COLUMNS]

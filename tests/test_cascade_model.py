@@ -131,3 +131,21 @@ def test_hot_slug_and_path_match_sequential_replay(spark, buckets):
     _assert_same(got, _model_rows(replay(batch, catalog, registry, put, red, rem)))
     statuses = Counter(k[COLS.index("status")] for k in got.elements())
     assert statuses["SUCESSO"] >= 290 and sum(statuses.values()) == len(batch)
+
+
+def test_order_buckets_follow_the_rows_not_the_range(spark):
+    """A dense run of SKUs inside a wide SKU range is cut into many buckets."""
+    from slugmend.operators.cascade import order_buckets, order_key
+
+    hot = [(str(i),) for i in range(1, 1001)]                        # 1000 SKUs in [1, 1000]
+    wide = [(str(10_000_000 * i),) for i in range(1, 101)]           # 100 SKUs up to 1e9
+    odd = [("x-1",), ("y-2",)]                                       # non-numeric: last bucket
+    df = spark.createDataFrame(hot + wide + odd, "sku_id string").withColumn("okey", order_key("sku_id"))
+    out = order_buckets(df, 64)(df)
+    rows = out.select("sku_id", "b").collect()
+    hot_buckets = {r["b"] for r in rows if r["sku_id"].isdigit() and int(r["sku_id"]) <= 1000}
+    assert len(hot_buckets) >= 40
+    # monotone in the queue order
+    num = sorted(((int(r["sku_id"]), r["b"]) for r in rows if r["sku_id"].isdigit()))
+    assert all(a[1] <= b[1] for a, b in zip(num, num[1:]))
+    assert {r["b"] for r in rows if not r["sku_id"].isdigit()} == {max(r["b"] for r in rows)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF_CHECK
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from slugmend.plans import queries as Q
@@ -54,7 +55,7 @@ def test_timeline_windows_are_bucketed(spark):
     checks = spark.createDataFrame([], f"item_id string, okey {okey}, path_atual string")
     creates = spark.createDataFrame([], f"okey {okey}, seq int, from_path string, to_path string")
     reg = spark.createDataFrame([], "from_path string, to_path string")
-    plan = _plan(redirect_timeline(checks, creates, reg, None, bucket=lambda k: k["num"] % 7))
+    plan = _plan(redirect_timeline(checks, creates, reg, None, bucket=lambda df: df.withColumn("b", F.lit(1))))
     assert re.search(r"windowspecdefinition\(path#\d+, b#\d+L?, flag#", plan)      # events: per (path, bucket)
     assert re.search(r"windowspecdefinition\(path#\d+, b#\d+L? ASC", plan)         # carry: per path, by bucket
     assert re.search(r"Aggregate\(key[s]?=\[path#\d+, b#\d+L?\]", plan)            # ... over (path, bucket) rows
