@@ -119,14 +119,26 @@ def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: b
     )
 
 
-def batch_stats(enriched: DataFrame) -> dict[str, int | None]:
-    """Slug-level spread of the items to treat (one small aggregate job);
-    it bounds the collision level loop."""
+def batch_stats(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS) -> dict:
+    """One small aggregate job over the batch: the slug-level spread of the
+    items to treat (bounds the collision level loop) and approximate
+    quantiles of the numeric SKU (the timeline's bucket splits; at most
+    ``n_buckets`` numbers)."""
     from slugmend.functions.slug import slug_level
 
     lvl = F.when(F.col("gate") == TREAT, slug_level(F.col("slug_norm")))
-    row = enriched.agg(F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")).first()
-    return {k: (None if row is None else row[k]) for k in ("lvl_lo", "lvl_hi")}
+    aggs = [F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")]
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    if probs:
+        num = F.col("okey.num").cast("double")
+        aggs.append(F.percentile_approx(num, F.array(*[F.lit(p) for p in probs]), 4 * n_buckets).alias("cuts"))
+    row = enriched.agg(*aggs).first()
+    cuts = list(row["cuts"] or []) if probs and row is not None else []
+    return {
+        "lvl_lo": None if row is None else row["lvl_lo"],
+        "lvl_hi": None if row is None else row["lvl_hi"],
+        "cuts": cuts,
+    }
 
 
 def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
@@ -136,23 +148,19 @@ def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
     return int(stats["lvl_lo"]), int(stats["lvl_hi"])
 
 
-def order_buckets(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS):
+def order_buckets(stats: dict):
     """Equal-count buckets of the queue order, as a DataFrame transform.
 
-    Approximate quantiles of the numeric SKU (one small job; at most
-    ``n_buckets`` numbers reach the driver) become the splits of a
-    ``Bucketizer`` (a binary search per row, on the JVM). A range where
-    many items sit gets proportionally many buckets, so a path shared by a
-    large share of the batch is cut into many buckets whatever the SKU
-    distribution. Non-numeric SKUs (which sort last) share the last bucket.
-    The transform adds ``b`` from ``okey`` and keeps everything else.
+    The approximate quantiles of the numeric SKU from :func:`batch_stats`
+    become the splits of a ``Bucketizer`` (a binary search per row, on the
+    JVM). A range where many items sit gets proportionally many buckets, so
+    a path shared by a large share of the batch is cut into many buckets
+    whatever the SKU distribution. Non-numeric SKUs (which sort last) share
+    the last bucket. The transform adds ``b`` from ``okey``.
     """
     from pyspark.ml.feature import Bucketizer
 
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    nums = enriched.select(F.col("okey.num").cast("double").alias("num")).dropna()
-    cuts = nums.approxQuantile("num", probs, 1.0 / (4 * n_buckets)) if probs else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted(set(stats.get("cuts") or [])), float("inf")]
     last = len(splits)
     if last < 3:  # one bucket for the numeric SKUs
         return lambda df: df.withColumn("b", F.when(F.col("okey.num").isNull(), F.lit(1)).otherwise(F.lit(0)))

@@ -69,14 +69,14 @@ def cascade(
         items = K.batch_items(batch, sku_col)
         enriched = materialise(K.enrich(items, catalog, put, prune_catalog), "enriched")
     with phase("stats"):
-        stats = K.batch_stats(enriched)
+        stats = K.batch_stats(enriched, timeline_buckets)
     with phase("collisions"):
         resolved = K.resolve(enriched, catalog, K.stats_levels(stats), prune_catalog)
         decisions = materialise(resolved.withColumnRenamed("item_id", "sku_id"), "decisions")
     with phase("redirects"):
         reg = registry if registry is not None else empty_registry(spark)
         outcomes = K.item_outcomes(
-            enriched, decisions, reg, redirect_out, removals, K.order_buckets(enriched, timeline_buckets)
+            enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats)
         )
         first = K.first_copy_rows(outcomes)
     cols = ["sku_id", *ROW_COLUMNS]

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import SF_CHECK
 from model import replay
 
@@ -135,13 +136,14 @@ def test_hot_slug_and_path_match_sequential_replay(spark, buckets):
 
 def test_order_buckets_follow_the_rows_not_the_range(spark):
     """A dense run of SKUs inside a wide SKU range is cut into many buckets."""
-    from slugmend.operators.cascade import order_buckets, order_key
+    from slugmend.operators.cascade import batch_stats, order_buckets, order_key
 
     hot = [(str(i),) for i in range(1, 1001)]                        # 1000 SKUs in [1, 1000]
     wide = [(str(10_000_000 * i),) for i in range(1, 101)]           # 100 SKUs up to 1e9
     odd = [("x-1",), ("y-2",)]                                       # non-numeric: last bucket
     df = spark.createDataFrame(hot + wide + odd, "sku_id string").withColumn("okey", order_key("sku_id"))
-    out = order_buckets(df, 64)(df)
+    stats = batch_stats(df.withColumn("gate", F.lit("x")).withColumn("slug_norm", F.lit("a")), 64)
+    out = order_buckets(stats)(df)
     rows = out.select("sku_id", "b").collect()
     hot_buckets = {r["b"] for r in rows if r["sku_id"].isdigit() and int(r["sku_id"]) <= 1000}
     assert len(hot_buckets) >= 40
