@@ -120,20 +120,17 @@ def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: b
 
 
 def batch_stats(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS) -> dict:
-    """One small aggregate job over the batch: the slug-level spread of the
-    items to treat (bounds the collision level loop) and approximate
-    quantiles of the numeric SKU (the timeline's bucket splits; at most
-    ``n_buckets`` numbers)."""
+    """Two small jobs over the batch: the slug-level spread of the items to
+    treat (bounds the collision level loop) and approximate quantiles of the
+    numeric SKU (the timeline's bucket splits; at most ``n_buckets - 1``
+    numbers reach the driver)."""
     from slugmend.functions.slug import slug_level
 
     lvl = F.when(F.col("gate") == TREAT, slug_level(F.col("slug_norm")))
-    aggs = [F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")]
+    row = enriched.agg(F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")).first()
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    if probs:
-        num = F.col("okey.num").cast("double")
-        aggs.append(F.percentile_approx(num, F.array(*[F.lit(p) for p in probs]), 4 * n_buckets).alias("cuts"))
-    row = enriched.agg(*aggs).first()
-    cuts = list(row["cuts"] or []) if probs and row is not None else []
+    nums = enriched.select(F.col("okey.num").cast("double").alias("num")).dropna()
+    cuts = nums.approxQuantile("num", probs, 1.0 / (4 * n_buckets)) if probs else []
     return {
         "lvl_lo": None if row is None else row["lvl_lo"],
         "lvl_hi": None if row is None else row["lvl_hi"],
