@@ -9,6 +9,7 @@ the Spark code. Message texts and labels are spliced in from
 from __future__ import annotations
 
 from slugmend import schemas as S
+from slugmend.plans.queries import HEAD_BATCH
 
 
 def lit(text: str) -> str:
@@ -169,6 +170,13 @@ _METRICS = "\nUNION ALL\n".join(
 
 SQL: dict[str, str] = {
     "queue_next": "SELECT sku_id FROM queue_batch",
+    "queue_head": f"""
+        SELECT sku_id, count(*) AS n_copies
+        FROM (SELECT sku_id,
+                     row_number() OVER (ORDER BY try_cast(sku_id AS BIGINT) NULLS LAST, sku_id) AS rn
+              FROM queue_cand)
+        WHERE rn <= {HEAD_BATCH}
+        GROUP BY sku_id""",
     "finalized_skus": f"SELECT sku_vtex, status FROM run_log WHERE status IN {FINAL_IN}",
     "queue_shortfall": f"""
         SELECT count(*) AS n_selected, CAST({S.DEFAULT_BATCH_SIZE} AS BIGINT) AS batch_size,

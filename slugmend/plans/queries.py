@@ -37,6 +37,16 @@ def q_finalized_skus(spark: SparkSession, d: str) -> DataFrame:
     return queue.finalized_skus(fx.run_log(spark, d))
 
 
+# A batch size that ends between the two copies of SKU 1100 at sf0.01, so
+# the head takes one copy of it.
+HEAD_BATCH = 1010
+
+
+def q_queue_head(spark: SparkSession, d: str) -> DataFrame:
+    """The large-batch path of queue selection: counted head of the queue."""
+    return queue.queue_head(fx.queue_src(spark, d), fx.run_log(spark, d), HEAD_BATCH)
+
+
 def q_queue_shortfall(spark: SparkSession, d: str) -> DataFrame:
     batch = queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), DEFAULT_BATCH_SIZE)
     return queue.queue_shortfall(batch, DEFAULT_BATCH_SIZE)
@@ -148,6 +158,7 @@ def q_wrongful_redirects(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "queue_next": q_queue_next,
+    "queue_head": q_queue_head,
     "finalized_skus": q_finalized_skus,
     "queue_shortfall": q_queue_shortfall,
     "retryable_skus": q_retryable_skus,
