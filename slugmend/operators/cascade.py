@@ -196,20 +196,22 @@ def resolve(
     return C.resolve_claims(prepared, bounds)
 
 
+def join_decisions(enriched: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The enriched batch with each item's collision outcome (left join on the item)."""
+    dec = decisions.drop("product_id")
+    if "item_id" in dec.columns:
+        dec = dec.withColumnRenamed("item_id", "sku_id")
+    return enriched.join(dec, "sku_id", "left")
+
+
 def item_outcomes(
-    enriched: DataFrame,
-    decisions: DataFrame,
+    items: DataFrame,
     registry: DataFrame,
     redirect_out: DataFrame | None,
     removals: DataFrame | None,
     bucket=None,
 ) -> DataFrame:
-    """First-copy log fields per item, before the row layout is applied."""
-    dec = decisions.drop("product_id")
-    if "item_id" in dec.columns:
-        dec = dec.withColumnRenamed("item_id", "sku_id")
-    items = enriched.join(dec, "sku_id", "left")
-
+    """First-copy log fields per item (``items`` from :func:`join_decisions`)."""
     # Redirect attempts of items whose update went through, stopping at the first failure.
     won = items.filter(F.col("outcome") == C.WIN)
     attempts = won.select(

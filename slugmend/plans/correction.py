@@ -66,19 +66,20 @@ def cascade(
     """
     spark = batch.sparkSession
     with phase("enrich"):
-        items = K.batch_items(batch, sku_col)
+        # the run's batch, counted per SKU: selected once, read by every later step
+        items = materialise(K.batch_items(batch, sku_col), "batch")
         enriched = materialise(K.enrich(items, catalog, put, prune_catalog), "enriched")
     with phase("stats"):
         stats = K.batch_stats(enriched, timeline_buckets)
     with phase("collisions"):
         resolved = K.resolve(enriched, catalog, K.stats_levels(stats), prune_catalog)
-        decisions = materialise(resolved.withColumnRenamed("item_id", "sku_id"), "decisions")
+        decisions = resolved.withColumnRenamed("item_id", "sku_id")
+        items = materialise(K.join_decisions(enriched, decisions), "items")
     with phase("redirects"):
         reg = registry if registry is not None else empty_registry(spark)
-        outcomes = K.item_outcomes(
-            enriched, decisions, reg, redirect_out, removals, K.order_buckets(stats)
-        )
-        first = K.first_copy_rows(outcomes)
+        outcomes = K.item_outcomes(items, reg, redirect_out, removals, K.order_buckets(stats))
+        # first-copy rows feed both the rows themselves and the repeats
+        first = materialise(K.first_copy_rows(outcomes), "first")
     cols = ["sku_id", *ROW_COLUMNS]
     rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
     return rows, decisions

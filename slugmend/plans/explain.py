@@ -1,0 +1,53 @@
+"""Summaries of physical plans, for review of shuffles, joins and scans."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from pyspark.sql import DataFrame
+
+_OPERATORS = (
+    "Exchange",
+    "BroadcastExchange",
+    "BroadcastHashJoin",
+    "SortMergeJoin",
+    "ShuffledHashJoin",
+    "BroadcastNestedLoopJoin",
+    "CartesianProduct",
+    "HashAggregate",
+    "SortAggregate",
+    "ObjectHashAggregate",
+    "Window",
+    "WindowGroupLimit",
+    "TakeOrderedAndProject",
+    "Generate",
+)
+
+
+def plan_summary(df: DataFrame) -> dict:
+    """Operator counts and scan details of the plan Spark would execute.
+
+    ``operators`` counts physical operators (an ``Exchange`` is a shuffle);
+    ``scans`` lists each file scan's columns, pushed filters and location.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    ops: Counter = Counter()
+    scans = []
+    for line in plan.splitlines():
+        body = line.strip().lstrip(":+- ").strip()
+        name = re.split(r"[ (\[]", body, maxsplit=1)[0]
+        if name in _OPERATORS:
+            ops[name] += 1
+        if body.startswith("FileScan"):
+            read = re.search(r"ReadSchema: (struct<[^>]*>?)", body)
+            pushed = re.search(r"PushedFilters: (\[[^\]]*\])", body)
+            where = re.search(r"Location: \w+\(\d+ paths?\)\[([^\],]*)", body)
+            scans.append(
+                {
+                    "location": where.group(1).rsplit("/", 1)[-1] if where else "?",
+                    "read_schema": read.group(1) if read else "?",
+                    "pushed_filters": pushed.group(1) if pushed else "[]",
+                }
+            )
+    return {"operators": dict(sorted(ops.items())), "scans": scans}
