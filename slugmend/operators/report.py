@@ -84,6 +84,17 @@ def run_summaries(log: DataFrame) -> DataFrame:
     )
 
 
+def latest_run_summary(log: DataFrame) -> DataFrame:
+    """Summary of the latest run only, with its last-seen time.
+
+    The latest run is a one-row top-1 (``latest_run``), so the semi join
+    against it has a proven size bound; the summary aggregates only that
+    run's rows.
+    """
+    latest = latest_run(log).select("execution_id")
+    return run_summaries(log.join(latest, "execution_id", "left_semi"))
+
+
 def summary_for(log: DataFrame, execution_id: str) -> DataFrame:
     """Summary of one run; the literal filter reaches the scan."""
     return run_summaries(log.filter(F.col("execution_id") == F.lit(execution_id)))

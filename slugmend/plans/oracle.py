@@ -199,6 +199,11 @@ SQL: dict[str, str] = {
         FROM run_log GROUP BY execution_id
         ORDER BY max_t DESC NULLS LAST, execution_id LIMIT 1""",
     "run_summary": "SELECT * FROM summaries",
+    "latest_run_summary": """
+        SELECT * FROM summaries
+        WHERE execution_id = (
+          SELECT execution_id FROM run_log GROUP BY execution_id
+          ORDER BY max(coalesce(data_execucao, "timestamp")) DESC NULLS LAST, execution_id LIMIT 1)""",
     "run_severity": f"""
         SELECT execution_id,
           {_severity(S.SEVERITY_CRITICAL, S.SEVERITY_RETRY, S.SEVERITY_CLEAN)} AS severity,

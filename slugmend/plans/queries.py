@@ -75,6 +75,10 @@ def q_run_summary(spark: SparkSession, d: str) -> DataFrame:
     return report.run_summaries(fx.run_log(spark, d))
 
 
+def q_latest_run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return report.latest_run_summary(fx.run_log(spark, d))
+
+
 def q_run_severity(spark: SparkSession, d: str) -> DataFrame:
     return report.run_severity(report.run_summaries(fx.run_log(spark, d)))
 
@@ -166,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "run_last_seen": q_run_last_seen,
     "latest_run": q_latest_run,
     "run_summary": q_run_summary,
+    "latest_run_summary": q_latest_run_summary,
     "run_severity": q_run_severity,
     "report_metrics": q_report_metrics,
     "run_header": q_run_header,
