@@ -72,3 +72,15 @@ def test_cascade_reads_a_counted_batch(spark):
     a = Counter(tuple(r) for r in rows_a.collect())
     b = Counter(tuple(r) for r in rows_b.collect())
     assert a == b and sum(a.values()) == 120
+
+
+def test_head_cuts_inside_a_hot_sku(spark):
+    """One SKU listed 1000 times (most of the queue): the head takes part of its copies."""
+    rows = [("5",)] * 1000 + [(str(i),) for i in range(1, 200)]
+    src = spark.createDataFrame(rows, "sku_id string")
+    log = spark.createDataFrame([("3", "SUCESSO")], "sku_vtex string, status string")
+    head = {r["sku_id"]: r["n_copies"] for r in queue.queue_head(src, log, 503, partitions=4).collect()}
+    # queue order: 1, 2, 4 (3 is final), then the 1001 copies of 5, then 6, ...
+    assert head == {"1": 1, "2": 1, "4": 1, "5": 500}
+    rows_out = queue.queue_next(src, log, 503, topk_max=0).collect()
+    assert len(rows_out) == 503 and sum(r["sku_id"] == "5" for r in rows_out) == 500
