@@ -74,12 +74,14 @@ def queue_head(
     counted = cand.groupBy("sku_id").agg(F.count(F.lit(1)).alias("n_copies"))
     if batch_size is None:
         return counted
-    spark = cand.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(
-        counted.repartitionByRange(parts, *queue_order("sku_id")).withColumn("_part", F.spark_partition_id()),
-        "queue_head",
+    # Without an explicit count, AQE sizes the range shuffle; it only merges
+    # adjacent partitions, so partition ids stay in queue order.
+    ranged_plan = (
+        counted.repartitionByRange(partitions, *queue_order("sku_id"))
+        if partitions
+        else counted.repartitionByRange(*queue_order("sku_id"))
     )
+    ranged = materialise(ranged_plan.withColumn("_part", F.spark_partition_id()), "queue_head")
     totals = sorted((r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.sum("n_copies").alias("n")).collect())
     need, before, cut = int(batch_size), 0, None
     for part, n in totals:

@@ -84,3 +84,10 @@ def test_head_cuts_inside_a_hot_sku(spark):
     assert head == {"1": 1, "2": 1, "4": 1, "5": 500}
     rows_out = queue.queue_next(src, log, 503, topk_max=0).collect()
     assert len(rows_out) == 503 and sum(r["sku_id"] == "5" for r in rows_out) == 500
+
+
+def test_head_with_adaptive_range_partitions(spark, inputs, ordered):
+    src, log = inputs
+    n = _sizes(ordered)[3]
+    head = queue.queue_head(src, log, n)
+    assert Counter({r["sku_id"]: r["n_copies"] for r in head.collect()}) == Counter(ordered[:n])
