@@ -25,12 +25,12 @@ LINE_DEDUP = (
     + r""",
 firsts AS (SELECT w, n, min(place) AS first FROM lines GROUP BY w, n),
 deleted AS (
-    SELECT w, first, at, list_concat(w[1:at - 1], w[at + 1:]) AS v
-    FROM (SELECT w, first, unnest(range(1, n + 1)) AS at FROM firsts WHERE n >= 8)
+    SELECT w, first, pos, list_concat(w[1:pos - 1], w[pos + 1:]) AS v
+    FROM (SELECT w, first, unnest(range(1, n + 1)) AS pos FROM firsts WHERE n >= 8)
 ),
 near AS (
     SELECT w, min(other) AS near FROM (
-        SELECT a.w, b.first AS other FROM deleted a JOIN deleted b ON a.v = b.v AND a.at = b.at WHERE b.first < a.first
+        SELECT a.w, b.first AS other FROM deleted a JOIN deleted b ON a.v = b.v AND a.pos = b.pos WHERE b.first < a.first
         UNION ALL
         SELECT a.w, b.first FROM deleted a JOIN firsts b ON a.v = b.w AND b.n >= 8 WHERE b.first < a.first
         UNION ALL
