@@ -78,10 +78,6 @@ def product_path(slug: Column | str) -> Column:
     return F.concat(F.lit("/"), _col(slug), F.lit("/p"))
 
 
-def stringify_sku(c: Column | str) -> Column:
-    return _col(c).cast("string")
-
-
 def numeric_order_key(sku: Column | str) -> Column:
     """First sort key of a SKU: its numeric value, null for non-numeric."""
     return _col(sku).try_cast("bigint")

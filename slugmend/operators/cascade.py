@@ -20,7 +20,7 @@ not carried as rows, until the log rows are written.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import normalize_slug, numeric_order_key, product_path
@@ -35,22 +35,24 @@ from slugmend.operators.catalog import (
     products,
     rows_for_products,
 )
-from slugmend.operators.redirects import current_path, redirect_sources, redirect_timeline
+from slugmend.operators.outcomes import outcome_per
+from slugmend.operators.redirects import current_path, redirect_outcome, redirect_plan, redirect_timeline
 from slugmend.schemas import (
     BAD_SUFFIX,
     ERRO_API,
     ERRO_COLISAO_IRRESOLVIVEL,
     ERRO_PUT,
     ERRO_REDIRECT,
+    MSG_COLLISION_PROBE_FAILED,
     MSG_IRRESOLVABLE,
     MSG_PUT_FAILED,
-    MSG_REDIRECT_FAILED,
-    MSG_REDIRECT_SKIPPED,
+    MSG_SUFFIX_PROBE_FAILED,
     MSG_UNHANDLED,
     PULADO_INATIVO,
     PULADO_JA_CORRIGIDO,
     SUCESSO,
 )
+from slugmend.sources.cuts import materialise
 
 LOOKUP_FAILED = "LOOKUP_FAILED"
 
@@ -68,11 +70,15 @@ def order_key(sku: Column | str) -> Column:
 def update_outcome(items: DataFrame, put: DataFrame) -> DataFrame:
     """Join the slug-update outcome per product (absent means it worked).
 
-    Adds ``put_confirmado`` and ``mensagem`` (the ``ERRO_PUT`` text).
+    Adds ``put_confirmado`` and ``mensagem`` (the ``ERRO_PUT`` text). Products
+    are compared as text, and items without one are spread by their own value.
     """
-    p = put.select("product_id", F.col("erro").alias("_put_erro"), F.col("msg").alias("_put_msg"))
+    p = outcome_per(put, "product_id").select(
+        F.col("product_id").cast("string").alias("_put_key"), F.col("erro").alias("_put_erro"), F.col("msg").alias("_put_msg")
+    )
     failed = F.coalesce(F.col("_put_erro"), F.lit(False))
-    return items.join(p, "product_id", "left").select(
+    key = F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("no product: "), F.col("sku_id").cast("string")))
+    return items.withColumn("_put_key", key).join(p, "_put_key", "left").select(
         *items.columns,
         (~failed).alias("put_confirmado"),
         F.when(failed, template(MSG_PUT_FAILED, F.col("_put_msg"))).alias("mensagem"),
@@ -95,9 +101,11 @@ def batch_items(batch: DataFrame, sku_col: str = "sku_id") -> DataFrame:
     )
 
 
-def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: bool = False) -> DataFrame:
+def enrich(
+    items: DataFrame, catalog: DataFrame, put: DataFrame | None, failures: DataFrame | None = None
+) -> DataFrame:
     """Lookup, gate and update outcome per item (steps before any probe)."""
-    look = catalog_lookup(items, catalog, prune=prune)
+    look = catalog_lookup(items, catalog, failures=failures)
     norm = normalize_slug(F.col("link_id"))
     gate = F.when(F.col("erro"), F.lit(LOOKUP_FAILED)).otherwise(
         gate_column(F.col("link_id"), norm, F.col("is_active"))
@@ -112,71 +120,71 @@ def enrich(items: DataFrame, catalog: DataFrame, put: DataFrame | None, prune: b
         gate.alias("gate"),
     )
     if put is None:
-        return out.withColumn("put_ok", F.lit(True)).withColumn("put_msg", F.lit(None).cast("string"))
-    p = put.select("product_id", F.col("erro").alias("_put_erro"), F.col("msg").alias("put_msg"))
-    return out.join(p, "product_id", "left").select(
-        *out.columns, (~F.coalesce(F.col("_put_erro"), F.lit(False))).alias("put_ok"), "put_msg"
-    )
+        return out.withColumn("put_ok", F.lit(True)).withColumn("put_text", F.lit(None).cast("string"))
+    return update_outcome(out, put).withColumnsRenamed({"put_confirmado": "put_ok", "mensagem": "put_text"})
 
 
-def batch_stats(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS) -> dict:
-    """Two small jobs over the batch: the slug-level spread of the items to
-    treat (bounds the collision level loop) and approximate quantiles of the
-    numeric SKU (the timeline's bucket splits; at most ``n_buckets - 1``
-    numbers reach the driver)."""
-    from slugmend.functions.slug import slug_level
+def batch_cuts(enriched: DataFrame, n_buckets: int = TIMELINE_BUCKETS) -> dict[str, list[float]]:
+    """Approximate quantiles of the queue position, the timeline's bucket splits.
 
-    lvl = F.when(F.col("gate") == TREAT, slug_level(F.col("slug_norm")))
-    row = enriched.agg(F.min(lvl).alias("lvl_lo"), F.max(lvl).alias("lvl_hi")).first()
+    Numeric SKUs are placed by their value; the others, which come after them in
+    text order, by the start of their text read as a number (``text_rank``). At
+    most ``n_buckets - 1`` numbers of either kind reach the driver.
+    """
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    nums = enriched.select(F.col("okey.num").cast("double").alias("num")).dropna()
-    cuts = nums.approxQuantile("num", probs, 1.0 / (4 * n_buckets)) if probs else []
-    return {
-        "lvl_lo": None if row is None else row["lvl_lo"],
-        "lvl_hi": None if row is None else row["lvl_hi"],
-        "cuts": cuts,
-    }
+    if not probs:
+        return {"num": [], "text": []}
+    placed = enriched.select(
+        F.col("okey.num").cast("double").alias("num"), F.when(F.col("okey.num").isNull(), text_rank("okey.sku")).alias("text")
+    )
+    num, text = placed.approxQuantile(["num", "text"], probs, 1.0 / (4 * n_buckets))
+    return {"num": num, "text": text}
 
 
-def stats_levels(stats: dict[str, int | None]) -> tuple[int, int] | None:
-    """Lowest and highest plain slug level, or None when nothing is treated."""
-    if stats["lvl_lo"] is None:
-        return None
-    return int(stats["lvl_lo"]), int(stats["lvl_hi"])
+def text_rank(sku: str) -> Column:
+    """A number that never decreases along the text order: the first six bytes of the UTF-8 text."""
+    head = F.rpad(F.substring(F.hex(F.encode(F.col(sku), "UTF-8")), 1, 12), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
 
 
-def order_buckets(stats: dict):
+def order_buckets(cuts: dict[str, list[float]]):
     """Equal-count buckets of the queue order, as a DataFrame transform.
 
-    The approximate quantiles of the numeric SKU from :func:`batch_stats`
-    become the splits of a ``Bucketizer`` (a binary search per row, on the
-    JVM). A range where many items sit gets proportionally many buckets, so
-    a path shared by a large share of the batch is cut into many buckets
-    whatever the SKU distribution. Non-numeric SKUs (which sort last) share
-    the last bucket. The transform adds ``b`` from ``okey``.
+    The approximate quantiles of :func:`batch_cuts` become the splits of a
+    ``Bucketizer`` (a binary search per row, on the JVM). A range where many
+    items sit gets proportionally many buckets, so a path shared by a large
+    share of the batch is cut into many buckets whatever the SKU distribution.
+    Buckets of non-numeric SKUs (which sort last) follow those of the numeric
+    ones. The transform adds ``b`` from ``okey``.
     """
     from pyspark.ml.feature import Bucketizer
 
-    splits = [float("-inf"), *sorted(set(stats.get("cuts") or [])), float("inf")]
-    last = len(splits)
-    if last < 3:  # one bucket for the numeric SKUs
-        return lambda df: df.withColumn("b", F.when(F.col("okey.num").isNull(), F.lit(1)).otherwise(F.lit(0)))
-    buck = Bucketizer(splits=splits, inputCol="_num", outputCol="_b", handleInvalid="keep")
+    def splits(kind: str) -> list[float]:
+        return [float("-inf"), *sorted(set(cuts.get(kind) or [])), float("inf")]
+
+    def placed(df: DataFrame, kind: str, value: Column) -> DataFrame:
+        at = splits(kind)
+        if len(at) < 3:  # one bucket
+            return df.withColumn(f"_b_{kind}", F.when(value.isNotNull(), F.lit(0.0)))
+        bucketizer = Bucketizer(splits=at, inputCol=f"_{kind}", outputCol=f"_b_{kind}", handleInvalid="keep")
+        return bucketizer.transform(df.withColumn(f"_{kind}", value)).drop(f"_{kind}")
+
+    after = len(splits("num"))
 
     def apply(df: DataFrame) -> DataFrame:
-        out = buck.transform(df.withColumn("_num", F.col("okey.num").cast("double")))
-        return out.withColumn("b", F.coalesce(F.col("_b").cast("int"), F.lit(last))).drop("_num", "_b")
+        num = F.col("okey.num").cast("double")
+        out = placed(placed(df, "num", num), "text", F.when(num.isNull(), text_rank("okey.sku")))
+        numeric, text = F.col("_b_num").cast("int"), F.col("_b_text").cast("int") + after
+        return out.withColumn("b", F.when(num.isNotNull(), numeric).otherwise(F.coalesce(text, F.lit(after)))).drop("_b_num", "_b_text")
 
     return apply
 
 
-def resolve(
-    enriched: DataFrame, catalog: DataFrame, bounds: tuple[int, int] | None, prune: bool = False
-) -> DataFrame:
+def resolve(enriched: DataFrame, catalog: DataFrame, failures: DataFrame | None = None) -> DataFrame:
     """Collision outcome per treated item (``collisions.RESOLUTION_COLUMNS``).
 
-    With ``prune`` only products holding a candidate slug are aggregated
-    (semi joins on the link, then on the product), not the whole catalogue.
+    Only products holding a candidate slug are aggregated (semi joins on the
+    link, then on the product), not the whole catalogue.
     """
     claims = enriched.filter(F.col("gate") == TREAT).select(
         F.col("sku_id").alias("item_id"),
@@ -186,14 +194,10 @@ def resolve(
         F.col("slug_norm").alias("slug"),
         F.col("put_ok").alias("eligible"),
     )
-    if prune:
-        cands = C.candidate_slugs(claims)
-        holding = catalog.join(cands, catalog["link_id"] == cands["slug"], "left_semi")
-        prods = products(rows_for_products(catalog, holding))
-    else:
-        prods = products(catalog)
-    prepared = C.prepare_claims(claims, prods)
-    return C.resolve_claims(prepared, bounds)
+    cands = C.candidate_slugs(claims)
+    holding = catalog.join(cands, catalog["link_id"] == cands["slug"], "left_semi")
+    prods = products(rows_for_products(catalog, holding))
+    return C.resolve_claims(C.prepare_claims(claims, prods, failures))
 
 
 def join_decisions(enriched: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -210,44 +214,27 @@ def item_outcomes(
     redirect_out: DataFrame | None,
     removals: DataFrame | None,
     bucket=None,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """First-copy log fields per item (``items`` from :func:`join_decisions`)."""
-    # Redirect attempts of items whose update went through, stopping at the first failure.
     won = items.filter(F.col("outcome") == C.WIN)
-    attempts = won.select(
-        "sku_id",
-        "okey",
-        product_path(F.col("slug_final")).alias("to_path"),
-        F.posexplode(redirect_sources(F.col("link_id"), F.col("slug_final"))).alias("pos", "from_path"),
-    ).withColumn("seq", F.col("pos") + 1)
-    if redirect_out is not None:
-        ro = redirect_out.select(F.col("from_path"), F.col("erro").alias("_r_erro"), F.col("msg").alias("_r_msg"))
-        attempts = attempts.join(ro, "from_path", "left")
-    else:
-        attempts = attempts.withColumn("_r_erro", F.lit(None).cast("boolean")).withColumn(
-            "_r_msg", F.lit(None).cast("string")
-        )
-    per_item = Window.partitionBy("sku_id")  # at most two rows per item
-    attempts = attempts.withColumn(
-        "_fail_seq", F.min(F.when(F.coalesce(F.col("_r_erro"), F.lit(False)), F.col("seq"))).over(per_item)
+    if redirect_out is None:
+        redirect_out = items.sparkSession.createDataFrame([], "from_path string, erro boolean, msg string")
+    # Redirects stop at the first that fails; those before it exist for later items.
+    outcome = redirect_outcome(won, redirect_out, key="sku_id").select(
+        "sku_id", "n_criados", "redirect_confirmado", F.col("mensagem").alias("redirect_msg")
     )
-    creates = attempts.filter(F.col("_fail_seq").isNull() | (F.col("seq") < F.col("_fail_seq"))).select(
+    items = materialise(items.join(outcome, "sku_id", "left"), "redirected")
+    done = items.filter(F.col("outcome") == C.WIN)
+    creates = redirect_plan(done, "okey", "n_criados").filter(F.col("seq") <= F.col("n_criados")).select(
         "okey", "seq", "from_path", "to_path"
     )
-    red = attempts.groupBy("sku_id").agg(
-        F.count(F.lit(1)).alias("n_redirects"),
-        F.min(F.when(F.coalesce(F.col("_r_erro"), F.lit(False)), F.struct("seq", "from_path", "_r_msg"))).alias(
-            "red_fail"
-        ),
-    )
-    items = items.join(red, "sku_id", "left")
-
     # Wrongful-redirect probe of every item that reaches it.
     checks = items.filter(
         (F.col("gate") == TREAT) & (F.col("outcome") != C.FIXED_BEFORE)
     ).select(F.col("sku_id").alias("item_id"), "okey", current_path(F.col("link_id")).alias("path_atual"))
-    probes = redirect_timeline(checks, creates, registry, removals, bucket).withColumnRenamed("item_id", "sku_id")
-    return items.join(probes, "sku_id", "left")
+    probes = redirect_timeline(checks, creates, registry, removals, bucket, failures)
+    return items.join(probes.withColumnRenamed("item_id", "sku_id"), "sku_id", "left")
 
 
 def first_copy_rows(items: DataFrame) -> DataFrame:
@@ -257,8 +244,7 @@ def first_copy_rows(items: DataFrame) -> DataFrame:
     obs = F.col("observacao")
     fixed_before = (gate == TREAT) & (outcome == C.FIXED_BEFORE)
     won = (gate == TREAT) & (outcome == C.WIN)
-    red_failed = won & F.col("red_fail").isNotNull()
-    no_redirects = won & (F.coalesce(F.col("n_redirects"), F.lit(0)) == 0)
+    red_failed = won & ~F.col("redirect_confirmado")
     probed = (gate == TREAT) & ~fixed_before
 
     status = (
@@ -267,7 +253,7 @@ def first_copy_rows(items: DataFrame) -> DataFrame:
         .when(gate == ERRO_API, F.lit(ERRO_API))
         .when(gate == PULADO_JA_CORRIGIDO, F.lit(PULADO_JA_CORRIGIDO))
         .when(fixed_before, F.lit(PULADO_JA_CORRIGIDO))
-        .when(outcome == C.BAD_SUFFIX, F.lit(ERRO_API))
+        .when(outcome.isin(C.BAD_SUFFIX, C.PROBE_FAILED, C.SUFFIX_PROBE_FAILED), F.lit(ERRO_API))
         .when(outcome == C.IRRESOLVABLE, F.lit(ERRO_COLISAO_IRRESOLVIVEL))
         .when(outcome == C.PUT_FAIL, F.lit(ERRO_PUT))
         .when(red_failed, F.lit(ERRO_REDIRECT))
@@ -279,10 +265,13 @@ def first_copy_rows(items: DataFrame) -> DataFrame:
         .when(gate == ERRO_API, empty_slug_message())
         .when(outcome == C.BAD_SUFFIX, template(MSG_UNHANDLED, F.lit("ValueError"), F.lit(BAD_SUFFIX)))
         .when(outcome == C.IRRESOLVABLE, template(MSG_IRRESOLVABLE, F.col("product_id_conflitante")))
-        .when(outcome == C.PUT_FAIL, template(MSG_PUT_FAILED, F.col("put_msg")))
-        .when(red_failed, template(MSG_REDIRECT_FAILED, F.col("red_fail.from_path"), F.col("red_fail._r_msg")))
+        .when(outcome == C.PROBE_FAILED, template(MSG_COLLISION_PROBE_FAILED, F.col("probe_msg")))
+        .when(outcome == C.SUFFIX_PROBE_FAILED, template(MSG_SUFFIX_PROBE_FAILED, F.col("probe_msg")))
+        .when(outcome == C.PUT_FAIL, F.col("put_text"))
+        .when(red_failed, F.col("redirect_msg"))
     )
-    message = join_messages(error_text, obs, F.when(no_redirects, F.lit(MSG_REDIRECT_SKIPPED)))
+    # Without a path to redirect, the redirect step leaves its note after the observations.
+    message = join_messages(error_text, obs, F.when(won & ~red_failed, F.col("redirect_msg")))
     reached_details = gate != LOOKUP_FAILED
     active = gate.isin(TREAT, ERRO_API, PULADO_JA_CORRIGIDO)
     slug_orig = F.when(fixed_before, F.col("fixed_slug")).when(reached_details, F.col("link_id"))
@@ -303,8 +292,9 @@ def first_copy_rows(items: DataFrame) -> DataFrame:
         (won & ~red_failed).alias("redirect_confirmado"),
         F.when(won, product_path(F.col("slug_final"))).alias("redirect_destino"),
         message.alias("mensagem_erro"),
-        F.when(F.coalesce(F.col("removal_failed"), F.lit(False)), obs).alias("_repeat_obs"),
+        F.when(F.coalesce(F.col("removal_failed") | F.col("nao_verificado"), F.lit(False)), obs).alias("_repeat_obs"),
         error_text.alias("_error_text"),
+        probed.alias("_probed"),
     )
 
 
@@ -320,7 +310,7 @@ def repeat_rows(first: DataFrame) -> DataFrame:
     multi = first.filter(F.col("n_copies") > 1)
     updated = F.col("put_confirmado")
     failed_before_update = F.col("status").isin(ERRO_PUT, ERRO_COLISAO_IRRESOLVIVEL) | (
-        (F.col("status") == ERRO_API) & F.col("slug_final").isNull() & F.col("houve_colisao")
+        (F.col("status") == ERRO_API) & F.col("slug_final").isNull() & F.col("_probed")
     )
     keep_all = ~updated
     rows = multi.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slugmend.functions.slug import normalize_slug
 from slugmend.functions.text import template
+from slugmend.operators.outcomes import failures_of
 from slugmend.schemas import (
     EMPTY_SLUG,
     ERRO_API,
@@ -17,6 +18,8 @@ from slugmend.schemas import (
     NOT_FOUND_SKU,
     PULADO_INATIVO,
     PULADO_JA_CORRIGIDO,
+    READ_PRODUCT,
+    READ_SKU,
 )
 
 TREAT = "TRATAR"
@@ -30,9 +33,16 @@ def sku_products(catalog: DataFrame) -> DataFrame:
 
 
 def products(catalog: DataFrame) -> DataFrame:
-    """Product details ``(product_id, link_id, is_active)``, one row per product."""
-    return catalog.groupBy("product_id").agg(
-        F.min("link_id").alias("link_id"), F.min("is_active").alias("is_active")
+    """Product details ``(product_id, link_id, is_active)``, one row per product.
+
+    Where a product's rows disagree, link and flag come from one row: the one
+    with the smallest link (null last), then an inactive flag before an active one.
+    """
+    row = F.struct(
+        F.col("link_id").isNull().alias("no_link"), "link_id", F.col("is_active").isNull().alias("no_flag"), "is_active"
+    )
+    return catalog.groupBy("product_id").agg(F.min(row).alias("_row")).select(
+        "product_id", "_row.link_id", "_row.is_active"
     )
 
 
@@ -42,36 +52,43 @@ def rows_for_products(catalog: DataFrame, product_ids: DataFrame) -> DataFrame:
 
 
 def catalog_lookup(
-    items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id", prune: bool = False
+    items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id", failures: DataFrame | None = None
 ) -> DataFrame:
     """SKU -> product -> (link, active) for each item, with lookup errors.
 
-    Two left joins; a miss at either step is an ``ERRO_API`` message.
-    With ``prune`` the catalogue is first cut to the items' SKUs and then to
-    all rows of their products (semi joins: a small batch is broadcast after
-    AQE measures it), so the per-SKU and per-product aggregates never shuffle
-    the whole catalogue.
+    The catalogue is first cut to the items' SKUs and then to all rows of
+    their products (semi joins), so the per-SKU and per-product aggregates
+    shuffle what the items touch. SKUs are compared as text on both sides. A
+    miss or a failed read (``failures``: kind, key, msg) at either step is an
+    ``ERRO_API`` message. Items without a product meet no details and are
+    spread over tasks by their SKU instead of sharing the null key.
     """
-    keys = items.select(F.col(sku_col).cast("string").alias("sku_id"))
-    if prune:
-        sku_rows = catalog.join(keys.distinct(), "sku_id", "left_semi")
-        sku_map = sku_products(sku_rows)
-        prods = products(rows_for_products(catalog, sku_map))
-    else:
-        sku_map = sku_products(catalog)
-        prods = products(catalog)
-    with_pid = items.join(sku_map, items[sku_col].cast("string") == sku_map["sku_id"], "left").drop(sku_map["sku_id"])
-    full = with_pid.join(prods, "product_id", "left")
+    own = items.withColumn("_sku", F.col(sku_col).cast("string"))
+    cat = catalog.withColumn("sku_id", F.col("sku_id").cast("string"))
+    wanted = own.select(F.col("_sku").alias("sku_id")).distinct()
+    sku_map = sku_products(cat.join(wanted, "sku_id", "left_semi"))
+    details = products(rows_for_products(cat, sku_map)).select(
+        F.col("product_id").cast("string").alias("_pkey"), "link_id", "is_active", F.lit(True).alias("_known")
+    )
+    sku_failed = failures_of(failures, READ_SKU, "_sku", "_sku_failed", items)
+    product_failed = failures_of(failures, READ_PRODUCT, "_pkey", "_product_failed", items)
+    mapped = own.join(sku_map.withColumnRenamed("sku_id", "_sku"), "_sku", "left").join(sku_failed, "_sku", "left")
+    mapped = mapped.withColumn("product_id", F.when(F.col("_sku_failed").isNull(), F.col("product_id")))
+    mapped = mapped.withColumn(
+        "_pkey", F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("no product: "), F.col("_sku")))
+    )
+    full = mapped.join(details, "_pkey", "left").join(product_failed, "_pkey", "left")
     sku_miss = F.col("product_id").isNull()
-    det_miss = ~sku_miss & F.col("link_id").isNull() & F.col("is_active").isNull()
+    unread = F.col("_product_failed").isNotNull() | F.col("_known").isNull()
+    read = ~sku_miss & ~unread
     return full.select(
         *items.columns,
         "product_id",
-        "link_id",
-        "is_active",
-        (sku_miss | det_miss).alias("erro"),
-        F.when(sku_miss, template(MSG_LOOKUP_FAILED, F.lit(NOT_FOUND_SKU)))
-        .when(det_miss, template(MSG_DETAILS_FAILED, F.lit(NOT_FOUND_PRODUCT)))
+        F.when(read, F.col("link_id")).alias("link_id"),
+        F.when(read, F.col("is_active")).alias("is_active"),
+        (~read).alias("erro"),
+        F.when(sku_miss, template(MSG_LOOKUP_FAILED, F.coalesce("_sku_failed", F.lit(NOT_FOUND_SKU))))
+        .when(unread, template(MSG_DETAILS_FAILED, F.coalesce("_product_failed", F.lit(NOT_FOUND_PRODUCT))))
         .alias("mensagem"),
     )
 

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import is_numeric_sku, slug_level, suffixed_slug
+from slugmend.operators.outcomes import failures_of
+from slugmend.schemas import PROBE_SLUG
 from slugmend.sources.cuts import materialise
 
 # claim outcomes
@@ -34,6 +36,8 @@ PUT_FAIL = "PUT_FAIL"          # slug free, but the update fails
 FIXED_BEFORE = "FIXED_BEFORE"  # an earlier item of the product already fixed it
 IRRESOLVABLE = "IRRESOLVABLE"  # plain and suffixed slug both taken
 BAD_SUFFIX = "BAD_SUFFIX"      # plain slug taken and the SKU cannot form a slug suffix
+PROBE_FAILED = "PROBE_FAILED"  # the plain slug could not be probed
+SUFFIX_PROBE_FAILED = "SUFFIX_PROBE_FAILED"  # plain slug taken, the suffixed one could not be probed
 
 RESOLUTION_COLUMNS = (
     "item_id",
@@ -43,6 +47,7 @@ RESOLUTION_COLUMNS = (
     "product_id_conflitante",
     "slug_final",
     "fixed_slug",
+    "probe_msg",
 )
 
 
@@ -81,15 +86,15 @@ def candidate_slugs(claims: DataFrame) -> DataFrame:
     return plain.unionByName(sfx).distinct()
 
 
-def prepare_claims(claims: DataFrame, products: DataFrame) -> DataFrame:
-    """Attach both candidates, their levels and snapshot holders to each claim.
+def prepare_claims(claims: DataFrame, products: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """Attach both candidates, their levels, snapshot holders and failed probes to each claim.
 
     ``claims``: ``(item_id, okey, product_id, sku, slug, eligible)`` for the
-    items that reach the collision check (one row per item). Holders are
-    looked up once here for both candidates, not once per level.
-    ``products`` may already be cut to the products holding a candidate.
+    items that reach the collision check (one row per item). Both candidates
+    go through one lookup of ``(slug)``, as two rows, and come back as columns:
+    the catalogue's holders are derived and joined once. ``products`` may
+    already be cut to the products holding a candidate.
     """
-    holders = snapshot_holders(products)
     base = claims.select(
         "item_id",
         "okey",
@@ -99,34 +104,24 @@ def prepare_claims(claims: DataFrame, products: DataFrame) -> DataFrame:
         slug_level(F.col("slug")).alias("lvl"),
         F.when(is_numeric_sku(F.col("sku")), suffixed_slug(F.col("slug"), F.col("sku"))).alias("slug2"),
     )
-    h1 = holders.select(F.col("slug").alias("slug1"), F.col("h_min").alias("h1_min"), F.col("h_max").alias("h1_max"))
-    h2 = holders.select(F.col("slug").alias("slug2"), F.col("h_min").alias("h2_min"), F.col("h_max").alias("h2_max"))
-    joined = base.join(h1, "slug1", "left").join(h2, "slug2", "left")
-    own = F.col("product_id")
-    return joined.select(
-        "item_id",
-        "okey",
-        "product_id",
-        "eligible",
-        "slug1",
-        "lvl",
-        "slug2",
-        other_holder(F.col("h1_min"), F.col("h1_max"), own).alias("snap1"),
-        other_holder(F.col("h2_min"), F.col("h2_max"), own).alias("snap2"),
+    kept = ["item_id", "okey", "product_id", "eligible", "slug1", "lvl", "slug2"]
+    asked = base.select(*kept, F.explode(F.filter(F.array("slug1", "slug2"), lambda s: s.isNotNull())).alias("slug"))
+    probed = asked.join(snapshot_holders(products), "slug", "left").join(
+        failures_of(failures, PROBE_SLUG, "slug", "failed", claims), "slug", "left"
+    )
+    holder = other_holder(F.col("h_min"), F.col("h_max"), F.col("product_id"))
+    plain = F.col("slug") == F.col("slug1")
+    return probed.groupBy(*kept).agg(
+        F.max(F.when(plain, holder)).alias("snap1"),
+        F.max(F.when(~plain, holder)).alias("snap2"),
+        F.max(F.when(plain, F.col("failed"))).alias("failed1"),
+        F.max(F.when(~plain, F.col("failed"))).alias("failed2"),
     )
-
-
-def level_bounds(prepared: DataFrame) -> tuple[int, int] | None:
-    """Lowest and highest plain level present (one small aggregate job)."""
-    row = prepared.agg(F.min("lvl").alias("lo"), F.max("lvl").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    return int(row["lo"]), int(row["hi"])
 
 
 _LEVEL_COLUMNS = [
     "item_id", "product_id", "okey", "eligible", "outcome", "houve_colisao",
-    "product_id_conflitante", "slug_final", "slug", "snap",
+    "product_id_conflitante", "slug_final", "slug", "snap", "probe_msg",
 ]
 PUSH = "PUSH"  # not settled at this level: claims its suffixed slug one level up
 
@@ -157,9 +152,14 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
     parts: list[DataFrame] = []
     suffix_wins = None
     if pushed is not None:
-        sfx = pushed.drop("wp").join(first_plain, "slug", "left")
-        blocked = F.col("snap").isNotNull() | (F.col("wp").isNotNull() & (F.col("wp.okey") < F.col("okey")))
-        sfx = sfx.withColumn("blocked", blocked)
+        # A claim without a probed suffix (no numeric SKU, or a failed probe) takes nothing,
+        # but still learns whether an earlier item fixed its product. It has no key to meet.
+        open_ = pushed.filter(F.col("slug").isNotNull()).join(first_plain, "slug", "left")
+        no_winner = F.lit(None).cast(first_plain.schema["wp"].dataType)
+        shut = pushed.filter(F.col("slug").isNull()).withColumn("wp", no_winner)
+        sfx = open_.unionByName(shut.select(*open_.columns))
+        taken = F.col("snap").isNotNull() | (F.col("wp").isNotNull() & (F.col("wp.okey") < F.col("okey")))
+        sfx = sfx.withColumn("blocked", F.col("slug").isNull() | taken)
         fix = (
             sfx.filter(F.col("eligible") & ~F.col("blocked"))
             .groupBy("product_id")
@@ -169,6 +169,8 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
         outcome = (
             F.when(F.col("fix_okey").isNotNull() & (F.col("okey") > F.col("fix_okey")), F.lit(FIXED_BEFORE))
             .when(F.col("fix_okey").isNotNull() & (F.col("okey") == F.col("fix_okey")), F.lit(WIN))
+            .when(F.col("slug").isNull() & F.col("probe_msg").isNotNull(), F.lit(SUFFIX_PROBE_FAILED))
+            .when(F.col("slug").isNull(), F.lit(BAD_SUFFIX))
             .when(F.col("blocked"), F.lit(IRRESOLVABLE))
             .otherwise(F.lit(PUT_FAIL))
         )
@@ -188,6 +190,7 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
                 F.when(F.col("outcome").isin(WIN, PUT_FAIL), F.col("slug")).alias("slug_final"),
                 "slug",
                 F.lit(None).cast("bigint").alias("snap"),
+                F.when(F.col("outcome") == SUFFIX_PROBE_FAILED, F.col("probe_msg")).alias("probe_msg"),
             )
         )
         suffix_wins = sfx.filter(F.col("outcome") == WIN).select(
@@ -209,8 +212,7 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
     blocked = snap | (before & ~same_product)
     conflict = F.when(snap, F.col("snap1")).when(blocked, F.col("win.product_id"))
     outcome = (
-        F.when(blocked & F.col("slug2").isNull(), F.lit(BAD_SUFFIX))
-        .when(blocked, F.lit(PUSH))
+        F.when(blocked, F.lit(PUSH))
         .when(before & same_product, F.lit(FIXED_BEFORE))
         .when(F.col("win.okey") == F.col("okey"), F.lit(WIN))
         .otherwise(F.lit(PUT_FAIL))
@@ -224,11 +226,12 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
             "okey",
             "eligible",
             "outcome",
-            F.col("outcome").isin(BAD_SUFFIX, PUSH).alias("houve_colisao"),
+            pushing.alias("houve_colisao"),
             conflict.alias("product_id_conflitante"),
             F.when(F.col("outcome").isin(WIN, PUT_FAIL), F.col("slug1")).alias("slug_final"),
-            F.when(pushing, F.col("slug2")).alias("slug"),
+            F.when(pushing & F.col("failed2").isNull(), F.col("slug2")).alias("slug"),
             F.when(pushing, F.col("snap2")).alias("snap"),
+            F.when(pushing, F.col("failed2")).alias("probe_msg"),
         )
     )
     out = parts[0].select(*_LEVEL_COLUMNS)
@@ -237,40 +240,44 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
     return out
 
 
-def resolve_claims(prepared: DataFrame, bounds: tuple[int, int] | None = None) -> DataFrame:
+def resolve_claims(prepared: DataFrame) -> DataFrame:
     """Settle every claim; one row per item with ``RESOLUTION_COLUMNS``
     (``fixed_slug``: the slug the item's product took in the batch, if any).
 
-    ``prepared`` comes from :func:`prepare_claims`; it is materialised here
-    when more than one level reads it. The number of levels is the spread of
-    trailing digit groups plus one, a small data-dependent bound; each
-    level's output is written once (a lineage cut per level).
+    ``prepared`` comes from :func:`prepare_claims` and is written here once.
+    Only levels that have claims, and the levels that blocked claims move up
+    to, are settled; each level's output is written once (a lineage cut per
+    level), so the plan does not grow with the number of levels. A slug whose
+    own probe fails stops every item of its products, and settles none.
     """
-    if bounds is None:
-        bounds = level_bounds(prepared)
-    if bounds is None:
-        return prepared.select(
-            "item_id",
-            "product_id",
-            F.lit(None).cast("string").alias("outcome"),
-            F.lit(None).cast("boolean").alias("houve_colisao"),
-            F.lit(None).cast("bigint").alias("product_id_conflitante"),
-            F.lit(None).cast("string").alias("slug_final"),
-            F.lit(None).cast("string").alias("fixed_slug"),
-        ).limit(0)
-    lo, hi = bounds
-    # Each level reads the claims and the previous level's pushed claims
-    # only, so the plan stays the same size at every level. The claims are
-    # written first when more than one level reads them.
-    if hi > lo:
-        prepared = materialise(prepared, "claims")
-    settled: list[DataFrame] = []
+    prepared = materialise(prepared, "claims")
+    unprobed = prepared.filter(F.col("failed1").isNotNull()).select(
+        "item_id", "product_id", "okey", "eligible", F.lit(PROBE_FAILED).alias("outcome"),
+        F.lit(False).alias("houve_colisao"), F.lit(None).cast("bigint").alias("product_id_conflitante"),
+        F.lit(None).cast("string").alias("slug_final"), F.lit(None).cast("string").alias("slug"),
+        F.lit(None).cast("bigint").alias("snap"), F.col("failed1").alias("probe_msg"),
+    )
+    open_ = prepared.filter(F.col("failed1").isNull())
+    levels = sorted(r["lvl"] for r in open_.select("lvl").distinct().collect())
+    settled: list[DataFrame] = [unprobed]
     pushed: DataFrame | None = None
-    for level in range(lo, hi + 2):
-        plain = prepared.filter(F.col("lvl") == level) if level <= hi else None
-        out = materialise(_settle_level(plain, pushed), f"level{level}")
-        pushed = out.filter(F.col("outcome") == PUSH)
+    pushed_level = None
+
+    def settle(plain: DataFrame | None, blocked: DataFrame | None, level: int) -> DataFrame | None:
+        """Settle one level; returns the claims that move up, if any."""
+        out = materialise(_settle_level(plain, blocked), f"level{level}")
         settled.append(out.filter(F.col("outcome") != PUSH))
+        up = out.filter(F.col("outcome") == PUSH)
+        return None if plain is None or up.isEmpty() else up
+
+    for level in levels:
+        if pushed is not None and pushed_level != level:
+            settle(None, pushed, pushed_level)
+            pushed = None
+        pushed = settle(open_.filter(F.col("lvl") == level), pushed, level)
+        pushed_level = level + 1
+    if pushed is not None:
+        settle(None, pushed, pushed_level)
     decided = settled[0]
     for part in settled[1:]:
         decided = decided.unionByName(part)

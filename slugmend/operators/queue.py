@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slugmend.functions.slug import numeric_order_key
 from slugmend.operators.counts import expand_counts
-from slugmend.schemas import FINAL_STATUSES
+from slugmend.schemas import ERRO_REDIRECT, FINAL_STATUSES
 from slugmend.sources.cuts import materialise
 
 
@@ -29,26 +29,36 @@ def finalized_skus(log: DataFrame, final_statuses: Sequence[str] = FINAL_STATUSE
     )
 
 
-def queue_candidates(
+def queue_counts(
     src: DataFrame,
     log: DataFrame,
     sku_col: str = "sku_id",
     final_statuses: Sequence[str] = FINAL_STATUSES,
 ) -> DataFrame:
-    """Non-null source SKUs without a final log row; duplicates are kept.
+    """``(sku_id, n_copies)`` of the non-null source SKUs without a final log row.
 
-    A left anti join; the final side is de-duplicated first (map-side), so a
-    SKU logged many times costs one row in the shuffle. Both keys are
-    compared as strings.
+    Listings are counted per SKU and final rows are de-duplicated (both map-side
+    first), so the left anti join has one row per SKU on either side and no hot
+    key, however often a SKU is listed or logged. Keys are compared as strings.
     """
     done = finalized_skus(log, final_statuses).select("sku_vtex").distinct()
-    items = src.select(F.col(sku_col).cast("string").alias("sku_id")).filter(F.col("sku_id").isNotNull())
-    return items.join(done, items["sku_id"] == done["sku_vtex"], "left_anti")
+    listed = (
+        src.select(F.col(sku_col).cast("string").alias("sku_id"))
+        .filter(F.col("sku_id").isNotNull())
+        .groupBy("sku_id")
+        .agg(F.count(F.lit(1)).alias("n_copies"))
+    )
+    return listed.join(done, listed["sku_id"] == done["sku_vtex"], "left_anti")
 
 
-# Up to this batch size the head is a per-task top-k heap; beyond it, a
-# range-partitioned count (see queue_head).
-TOPK_MAX = 100_000
+def queue_candidates(
+    src: DataFrame,
+    log: DataFrame,
+    sku_col: str = "sku_id",
+    final_statuses: Sequence[str] = FINAL_STATUSES,
+) -> DataFrame:
+    """One row per listing of a SKU without a final log row (see :func:`queue_counts`)."""
+    return expand_counts(queue_counts(src, log, sku_col, final_statuses), "n_copies", ["sku_id"])
 
 
 def queue_head(
@@ -61,25 +71,19 @@ def queue_head(
 ) -> DataFrame:
     """The next ``batch_size`` listings as ``(sku_id, n_copies)``, for any size.
 
-    Copies of a SKU are counted first (partial aggregation, so a SKU listed
-    millions of times is one row). The distinct SKUs are range-partitioned
-    in queue order and written once; the per-partition totals (one row per
-    partition) locate the partition where the head ends. Partitions before
-    it are taken whole; inside it a running sum picks the SKUs (and how
-    many copies of the last one) still needed. No step holds the head in
-    one task or on the driver.
+    The counted SKUs are range-partitioned in queue order and written once;
+    the per-partition totals (one row per partition) locate the partition
+    where the head ends. Partitions before it are taken whole; inside it a
+    running sum picks the SKUs (and how many copies of the last one) still
+    needed. No step holds the head in one task or on the driver.
     """
-    cand = queue_candidates(src, log, sku_col, final_statuses)
-    counted = cand.groupBy("sku_id").agg(F.count(F.lit(1)).alias("n_copies"))
+    counted = queue_counts(src, log, sku_col, final_statuses)
     if batch_size is None:
         return counted
     # Without an explicit count, AQE sizes the range shuffle; it only merges
     # adjacent partitions, so partition ids stay in queue order.
-    ranged_plan = (
-        counted.repartitionByRange(partitions, *queue_order("sku_id"))
-        if partitions
-        else counted.repartitionByRange(*queue_order("sku_id"))
-    )
+    order = queue_order("sku_id")
+    ranged_plan = counted.repartitionByRange(*([partitions] if partitions else []), *order)
     ranged = materialise(ranged_plan.withColumn("_part", F.spark_partition_id()), "queue_head")
     totals = sorted((r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.sum("n_copies").alias("n")).collect())
     need, before, cut = int(batch_size), 0, None
@@ -91,7 +95,7 @@ def queue_head(
     if cut is None:  # the whole queue is shorter than the batch
         return ranged.select("sku_id", "n_copies")
     whole = ranged.filter(F.col("_part") < cut).select("sku_id", "n_copies")
-    w = Window.partitionBy("_part").orderBy(*queue_order("sku_id")).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     edge = (
         ranged.filter(F.col("_part") == cut)
         .withColumn("_upto", F.sum("n_copies").over(w))
@@ -108,22 +112,9 @@ def queue_next(
     batch_size: int | None,
     sku_col: str = "sku_id",
     final_statuses: Sequence[str] = FINAL_STATUSES,
-    topk_max: int = TOPK_MAX,
 ) -> DataFrame:
-    """The next ``batch_size`` SKUs in queue order (``None``: the whole queue).
-
-    Small batches (the nightly 150) use Spark's per-partition top-k with a
-    merge of the heaps (``TakeOrderedAndProject``). Batches above
-    ``topk_max`` would make every task hold that many rows, so they go
-    through :func:`queue_head` and are expanded back to one row per listing.
-    """
-    cand = queue_candidates(src, log, sku_col, final_statuses)
-    if batch_size is None:
-        return cand
-    if batch_size <= topk_max:
-        return cand.orderBy(*queue_order("sku_id")).limit(int(batch_size))
-    head = queue_head(src, log, batch_size, sku_col, final_statuses)
-    return expand_counts(head, "n_copies", ["sku_id"])
+    """The next ``batch_size`` SKUs in queue order (``None``: the whole queue), one row per listing."""
+    return expand_counts(queue_head(src, log, batch_size, sku_col, final_statuses), "n_copies", ["sku_id"])
 
 
 def queue_shortfall(batch: DataFrame, batch_size: int) -> DataFrame:
@@ -148,7 +139,7 @@ def retryable_skus(log: DataFrame, final_statuses: Sequence[str] = FINAL_STATUSE
         .agg(
             F.count(F.lit(1)).alias("attempts"),
             F.coalesce(F.max(is_final), F.lit(False)).alias("is_final"),
-            F.count_if(F.col("status") == "ERRO_REDIRECT").alias("redirect_failures"),
+            F.count_if(F.col("status") == ERRO_REDIRECT).alias("redirect_failures"),
         )
         .select(
             "sku_vtex",

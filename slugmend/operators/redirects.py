@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from slugmend.functions.slug import product_path
 from slugmend.functions.text import template
+from slugmend.operators.outcomes import failures_of, outcome_per, registry_per_path
 from slugmend.schemas import (
+    MSG_PROBE_FAILED,
     MSG_REDIRECT_FAILED,
     MSG_REDIRECT_SKIPPED,
     MSG_REMOVAL_FAILED,
     MSG_REMOVED,
+    PROBE_REDIRECT,
     REDIRECT_HTTP_STATUS,
 )
 
+from slugmend.sources.cuts import materialise
+
 
 def current_path(link: Column) -> Column:
     """Path probed for a wrongful redirect: the lower-cased current slug."""
@@ -41,17 +46,19 @@ def redirect_sources(link: Column, slug_final: Column) -> Column:
     )
 
 
-def redirect_plan(df: DataFrame, key: str = "product_id") -> DataFrame:
-    """One row per redirect to create: ``(key, seq, from_path, to_path, http_status)``.
+def redirect_plan(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per redirect to create: ``(keys, seq, from_path, to_path, http_status)``.
 
-    ``df`` has ``link_id`` (current slug) and ``slug_final``; 0-2 rows each.
+    ``df`` has the keys (default ``product_id``), ``link_id`` (current slug) and
+    ``slug_final``; 0-2 rows each.
     """
+    keys = keys or ("product_id",)
     return df.select(
-        key,
+        *keys,
         product_path(F.col("slug_final")).alias("to_path"),
         F.posexplode(redirect_sources(F.col("link_id"), F.col("slug_final"))).alias("pos", "from_path"),
     ).select(
-        key,
+        *keys,
         (F.col("pos") + 1).alias("seq"),
         "from_path",
         "to_path",
@@ -67,7 +74,7 @@ def redirect_outcome(plan_input: DataFrame, outcomes: DataFrame, key: str = "pro
     without an outcome row succeeds.
     """
     plan = redirect_plan(plan_input, key)
-    tried = plan.join(outcomes.select("from_path", "erro", "msg"), "from_path", "left")
+    tried = plan.join(outcome_per(outcomes, "from_path"), "from_path", "left")
     first_fail = tried.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_planned"),
         F.min(F.when(F.coalesce("erro", F.lit(False)), F.struct("seq", "from_path", "msg"))).alias("fail"),
@@ -107,8 +114,10 @@ def wrongful_redirects(items: DataFrame, registry: DataFrame, removals: DataFram
     ``existe``, ``destino_antigo``, ``removido`` and ``observacao``.
     """
     probe = items.withColumn("path_atual", current_path(F.col("link_id")))
-    reg = registry.select(F.col("from_path").alias("path_atual"), F.col("to_path").alias("destino_antigo"))
-    rem = removals.select(
+    reg = registry_per_path(registry).select(
+        F.col("from_path").alias("path_atual"), F.col("to_path").alias("destino_antigo")
+    )
+    rem = outcome_per(removals, "from_path").select(
         F.col("from_path").alias("path_atual"), F.col("erro").alias("_rem_erro"), F.col("msg").alias("_rem_msg")
     )
     joined = probe.join(reg, "path_atual", "left").join(rem, "path_atual", "left")
@@ -144,12 +153,15 @@ def redirect_timeline(
     registry: DataFrame,
     removals: DataFrame | None,
     bucket: Callable[[DataFrame], DataFrame] | None = None,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Probe results for every check, given the in-batch creations.
 
     ``checks``: ``(item_id, okey, path_atual)``; ``creates``:
     ``(okey, seq, from_path, to_path)``; ``registry``: ``(from_path,
-    to_path)``; ``removals``: ``(from_path, erro, msg)`` or ``None``.
+    to_path)``; ``removals``: ``(from_path, erro, msg)`` or ``None``;
+    ``failures``: ``(kind, key, msg)``, paths whose probe fails: such a check
+    sees nothing, removes nothing and leaves an observation.
     Returns ``(item_id, existe, destino_antigo, removal_failed, observacao)``.
 
     ``bucket`` adds a column ``b`` computed from ``okey``: a non-negative
@@ -159,9 +171,9 @@ def redirect_timeline(
     rows per path), and ordered windows inside each (path, bucket).
     Without ``bucket`` every path is one window partition.
     """
-    cols = ["path", "flag", "okey", "phase", "to_path", "is_check", "item_id", "_rem_erro", "_rem_msg"]
+    cols = ["path", "flag", "okey", "phase", "to_path", "is_check", "item_id", "_rem_erro", "_rem_msg", "_unprobed"]
     probed = checks.select(F.col("path_atual").alias("path")).distinct()
-    snap = registry.select(F.col("from_path").alias("path"), "to_path").join(probed, "path", "left_semi")
+    snap = registry_per_path(registry).select(F.col("from_path").alias("path"), "to_path").join(probed, "path", "left_semi")
     snap = snap.select(
         "path",
         F.lit(_SNAPSHOT).alias("flag"),
@@ -172,6 +184,7 @@ def redirect_timeline(
         F.lit(None).cast("string").alias("item_id"),
         F.lit(None).cast("boolean").alias("_rem_erro"),
         F.lit(None).cast("string").alias("_rem_msg"),
+        F.lit(None).cast("string").alias("_unprobed"),
     )
     made = creates.select(F.col("from_path").alias("path"), "okey", "seq", "to_path").join(
         probed, "path", "left_semi"
@@ -186,10 +199,11 @@ def redirect_timeline(
         F.lit(None).cast("string").alias("item_id"),
         F.lit(None).cast("boolean").alias("_rem_erro"),
         F.lit(None).cast("string").alias("_rem_msg"),
+        F.lit(None).cast("string").alias("_unprobed"),
     )
     probes = checks.select(F.col("path_atual").alias("path"), "okey", F.col("item_id").cast("string"))
     if removals is not None:
-        rem = removals.select(
+        rem = outcome_per(removals, "from_path").select(
             F.col("from_path").alias("path"), F.col("erro").alias("_rem_erro"), F.col("msg").alias("_rem_msg")
         )
         probes = probes.join(rem, "path", "left")
@@ -197,7 +211,8 @@ def redirect_timeline(
         probes = probes.withColumn("_rem_erro", F.lit(None).cast("boolean")).withColumn(
             "_rem_msg", F.lit(None).cast("string")
         )
-    probes = probes.select(
+    unprobed = failures_of(failures, PROBE_REDIRECT, "path", "_unprobed", checks)
+    probes = probes.join(unprobed, "path", "left").select(
         "path",
         F.lit(_ITEM).alias("flag"),
         "okey",
@@ -207,14 +222,17 @@ def redirect_timeline(
         "item_id",
         "_rem_erro",
         "_rem_msg",
+        "_unprobed",
     )
     events = snap.select(*cols).unionByName(made.select(*cols)).unionByName(probes.select(*cols))
     rem_failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
     key = F.struct("flag", "okey", "phase")
     set_ev = F.when(~F.col("is_check"), F.struct(key.alias("k"), F.col("to_path")))
-    reset_ev = F.when(F.col("is_check") & ~rem_failed, key)
+    reset_ev = F.when(F.col("is_check") & ~rem_failed & F.col("_unprobed").isNull(), key)
     events = events.withColumn("b", F.lit(0)) if bucket is None else bucket(events)
     events = events.withColumn("b", F.when(F.col("flag") == _SNAPSHOT, F.lit(-1)).otherwise(F.col("b")))
+    # Both levels read the events: written once, not derived twice.
+    events = materialise(events, "events")
     # Level 1: what each (path, bucket) leaves behind, carried into later buckets.
     per_bucket = events.groupBy("path", "b").agg(F.max(set_ev).alias("bs"), F.max(reset_ev).alias("br"))
     over_buckets = Window.partitionBy("path").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -229,22 +247,27 @@ def redirect_timeline(
     )
     scanned = (
         events.select(
-            "path", "b", "item_id", "is_check", "_rem_erro", "_rem_msg",
+            "path", "b", "item_id", "is_check", "_rem_erro", "_rem_msg", "_unprobed",
             F.max(set_ev).over(w).alias("ls_in"), F.max(reset_ev).over(w).alias("lr_in"),
         )
         .filter(F.col("is_check"))
         .join(carry, ["path", "b"], "left")
         .select(
-            "item_id", "_rem_erro", "_rem_msg",
+            "item_id", "_rem_erro", "_rem_msg", "_unprobed",
             F.greatest("ls_in", "cs").alias("ls"), F.greatest("lr_in", "cr").alias("lr"),
         )
     )
-    exists = F.col("ls").isNotNull() & (F.col("lr").isNull() | (F.col("ls.k") > F.col("lr")))
+    seen = F.col("ls").isNotNull() & (F.col("lr").isNull() | (F.col("ls.k") > F.col("lr")))
+    exists = seen & F.col("_unprobed").isNull()
     failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
     return scanned.select(
         "item_id",
         exists.alias("existe"),
         F.when(exists, F.col("ls.to_path")).alias("destino_antigo"),
         (exists & failed).alias("removal_failed"),
-        removal_note(exists, failed, F.col("_rem_msg"), F.col("ls.to_path")).alias("observacao"),
+        F.coalesce(
+            F.when(F.col("_unprobed").isNotNull(), template(MSG_PROBE_FAILED, F.col("_unprobed"))),
+            removal_note(exists, failed, F.col("_rem_msg"), F.col("ls.to_path")),
+        ).alias("observacao"),
+        F.col("_unprobed").isNotNull().alias("nao_verificado"),
     )

@@ -52,7 +52,12 @@ def latest_run(log: DataFrame) -> DataFrame:
 
 
 def run_summaries(log: DataFrame) -> DataFrame:
-    """One summary row per run.
+    """One summary row per run (see :func:`_timed_summaries`)."""
+    return _timed_summaries(log).drop("ultimo_ts")
+
+
+def _timed_summaries(log: DataFrame) -> DataFrame:
+    """One summary row per run, with its last time.
 
     Counts per status, collisions (null is not a collision), mean latency
     (0 when unknown), first/last time, elapsed whole seconds and the last
@@ -81,23 +86,14 @@ def run_summaries(log: DataFrame) -> DataFrame:
         .alias("tempo_medio_ms"),
         elapsed_seconds(F.col("primeiro_ts"), F.col("ultimo_ts")).alias("elapsed_sec"),
         format_run_ts(F.col("ultimo_ts")).alias("run_ts"),
+        "ultimo_ts",
     )
 
 
 def latest_run_summary(log: DataFrame) -> DataFrame:
-    """Summary of the latest run only, with its last-seen time.
-
-    The latest run is a one-row top-1 (``latest_run``), so the semi join
-    against it has a proven size bound; the summary aggregates only that
-    run's rows.
-    """
-    latest = latest_run(log).select("execution_id")
-    return run_summaries(log.join(latest, "execution_id", "left_semi"))
-
-
-def summary_for(log: DataFrame, execution_id: str) -> DataFrame:
-    """Summary of one run; the literal filter reaches the scan."""
-    return run_summaries(log.filter(F.col("execution_id") == F.lit(execution_id)))
+    """Summary of the latest run only: one pass over the log, then the top row of the summaries."""
+    order = (F.col("ultimo_ts").desc_nulls_last(), F.col("execution_id").asc())
+    return _timed_summaries(log).orderBy(*order).limit(1).drop("ultimo_ts")
 
 
 def run_severity(summaries: DataFrame) -> DataFrame:
@@ -148,8 +144,12 @@ def status_frequency(log: DataFrame) -> DataFrame:
 
 
 def critical_skus(log: DataFrame) -> DataFrame:
-    """SKUs whose slug changed but whose redirect failed (manual action)."""
-    return log.filter(F.col("status") == ERRO_REDIRECT).select("execution_id", "sku_vtex")
+    """SKUs whose slug changed but whose redirect failed, with product and message (manual action)."""
+    return log.filter(F.col("status") == ERRO_REDIRECT).select(
+        "execution_id", "sku_vtex",
+        _optional(log, "product_id", "bigint").alias("product_id"),
+        _optional(log, "mensagem_erro", "string").alias("mensagem_erro"),
+    )
 
 
 def critical_alert(log: DataFrame, limit: int = ALERT_LIST_LIMIT) -> DataFrame:

@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slugmend.operators import cascade as K
-from slugmend.operators.queue import TOPK_MAX, queue_head, queue_next
+from slugmend.operators.queue import queue_head
 from slugmend.schemas import DEFAULT_BATCH_SIZE, LOG_COLUMNS
+from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
-from slugmend.sources.runlog import append_log, to_log_schema
+from slugmend.sources.runlog import append_log, read_log, to_log_schema
 
 log = logging.getLogger("slugmend")
 
@@ -50,39 +51,68 @@ def cascade(
     removals: DataFrame | None = None,
     sku_col: str = "sku_id",
     timeline_buckets: int = K.TIMELINE_BUCKETS,
-    prune_catalog: bool = False,
+    failures: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the cascade; returns (log rows without run columns, collision decisions).
 
-    Cuts (Parquet in the shared checkpoint folder): the enriched batch
-    (read by the level loop, the redirect timeline and the row assembly)
-    the output of every collision level and the collision decisions; all
-    are batch-sized, and a lost executor then costs one stage, not the
-    whole lineage.
+    ``failures`` are reads and probes that failed: ``(kind, key, msg)`` with the
+    kinds of ``schemas`` (``READ_SKU``, ``READ_PRODUCT``, ``PROBE_REDIRECT``,
+    ``PROBE_SLUG``).
 
-    ``prune_catalog`` cuts the catalogue to what the batch can touch before
-    any aggregation; worth it when the batch is small next to the catalogue
-    (the nightly batch), not when the batch is the whole queue.
+    Cuts (Parquet in the shared checkpoint folder): the counted batch, the
+    enriched batch (read by the claims, the bucket splits and the row assembly),
+    the claims, the output of every collision level, the items with their
+    decisions and redirects, the redirect events and the first-copy rows; all
+    are batch-sized, and a lost executor then costs one stage, not the whole
+    lineage.
     """
+    outcomes, decisions = _outcomes(
+        batch, catalog, registry, put, redirect_out, removals, sku_col, timeline_buckets, failures
+    )
+    # first-copy rows feed both the rows themselves and the repeats
+    first = materialise(K.first_copy_rows(outcomes), "first")
+    cols = ["sku_id", *ROW_COLUMNS]
+    rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
+    return rows, decisions
+
+
+def probed_items(
+    batch: DataFrame,
+    catalog: DataFrame,
+    registry: DataFrame | None = None,
+    put: DataFrame | None = None,
+    redirect_out: DataFrame | None = None,
+    removals: DataFrame | None = None,
+    sku_col: str = "sku_id",
+    timeline_buckets: int = K.TIMELINE_BUCKETS,
+    failures: DataFrame | None = None,
+) -> DataFrame:
+    """The items that probe their current path, with what they find (first copies)."""
+    outcomes, _ = _outcomes(batch, catalog, registry, put, redirect_out, removals, sku_col, timeline_buckets, failures)
+    return outcomes.filter(F.col("existe").isNotNull())
+
+
+def _outcomes(
+    batch: DataFrame, catalog: DataFrame, registry: DataFrame | None, put: DataFrame | None,
+    redirect_out: DataFrame | None, removals: DataFrame | None, sku_col: str, timeline_buckets: int,
+    failures: DataFrame | None,
+) -> tuple[DataFrame, DataFrame]:
+    """The steps of the cascade up to the items with all their outcomes; and the collision decisions."""
     spark = batch.sparkSession
     with phase("enrich"):
         # the run's batch, counted per SKU: selected once, read by every later step
         items = materialise(K.batch_items(batch, sku_col), "batch")
-        enriched = materialise(K.enrich(items, catalog, put, prune_catalog), "enriched")
-    with phase("stats"):
-        stats = K.batch_stats(enriched, timeline_buckets)
+        enriched = materialise(K.enrich(items, catalog, put, failures), "enriched")
+    with phase("buckets"):
+        splits = K.batch_cuts(enriched, timeline_buckets)
     with phase("collisions"):
-        resolved = K.resolve(enriched, catalog, K.stats_levels(stats), prune_catalog)
+        resolved = K.resolve(enriched, catalog, failures)
         decisions = resolved.withColumnRenamed("item_id", "sku_id")
-        items = materialise(K.join_decisions(enriched, decisions), "items")
+        items = K.join_decisions(enriched, decisions)
     with phase("redirects"):
         reg = registry if registry is not None else empty_registry(spark)
-        outcomes = K.item_outcomes(items, reg, redirect_out, removals, K.order_buckets(stats))
-        # first-copy rows feed both the rows themselves and the repeats
-        first = materialise(K.first_copy_rows(outcomes), "first")
-    cols = ["sku_id", *ROW_COLUMNS]
-    rows = first.select(*cols).unionByName(K.repeat_rows(first).select(*cols))
-    return rows, decisions
+        outcomes = K.item_outcomes(items, reg, redirect_out, removals, K.order_buckets(splits), failures)
+    return outcomes, decisions
 
 
 def log_rows(
@@ -126,17 +156,25 @@ def run_correction(
     run_ts: dt.datetime | None = None,
     log_path: str | None = None,
     log_format: str = "parquet",
+    failures: DataFrame | None = None,
+    latency: DataFrame | None = None,
 ) -> DataFrame:
-    """Queue -> cascade -> log rows; appended to ``log_path`` when given."""
-    if batch_size is not None and batch_size > TOPK_MAX:
-        batch = queue_head(source, log, batch_size)  # counted; the cascade reads n_copies
-    else:
-        batch = queue_next(source, log, batch_size)
-    rows, _ = cascade(
-        batch, catalog, registry, put, redirect_out, removals, prune_catalog=batch_size is not None
-    )
-    out = log_rows(rows, execution_id, run_ts)
+    """Queue -> cascade -> log rows; appended to ``log_path`` when given.
+
+    The rows are written before this returns. Intermediate tables are deleted
+    then; with ``log_path`` the returned rows are read from the log, else from
+    one table in the checkpoint folder.
+    """
+    spark = source.sparkSession
+    start = cuts.mark()
+    batch = queue_head(source, log, batch_size)  # counted; the cascade reads n_copies
+    rows, _ = cascade(batch, catalog, registry, put, redirect_out, removals, failures=failures)
+    out = log_rows(rows, execution_id, run_ts, latency)
     if log_path is not None:
         out = materialise(out, "log_rows")
         append_log(out, log_path, log_format, execution_id=execution_id)
-    return out
+        cuts.release(spark, start)
+        return read_log(spark, log_path, log_format).filter(F.col("execution_id") == F.lit(execution_id))
+    out.write.mode("overwrite").parquet(path := cuts.new_path(spark, "run"))
+    cuts.release(spark, start)
+    return cuts.keep(spark, path, out.schema)

@@ -35,11 +35,34 @@ def tmpl(text: str, *args: str) -> str:
 
 FINAL_IN = "(" + ", ".join(lit(s) for s in S.FINAL_STATUSES) + ")"
 
-FIXTURES = f"""
+# Groups of products with hard cases: place, SKU, link, flag (g: 'grupo-<part key>').
+_HARD = """
+hard_products AS (
+  SELECT p, c.place, 3000000 + 10 * p + c.place AS product_id, c.sku_id, c.link_id, c.is_active
+  FROM (SELECT p, unnest([
+      {'place': 0, 'sku_id': CAST(3000000 + 10 * p AS VARCHAR), 'link_id': g, 'is_active': true},
+      {'place': 1, 'sku_id': CAST(3000001 + 10 * p AS VARCHAR), 'link_id': 'Grupo ' || p, 'is_active': true},
+      {'place': 2, 'sku_id': CAST(3000002 + 10 * p AS VARCHAR), 'link_id': g || '-' || (3000001 + 10 * p), 'is_active': true},
+      {'place': 3, 'sku_id': CAST(3000003 + 10 * p AS VARCHAR), 'link_id': 'GRUPO ' || p, 'is_active': true},
+      {'place': 3, 'sku_id': 'z' || p, 'link_id': 'GRUPO ' || p, 'is_active': true},
+      {'place': 4, 'sku_id': CAST(3000004 + 10 * p AS VARCHAR), 'link_id': NULL, 'is_active': NULL},
+      {'place': 5, 'sku_id': CAST(3000005 + 10 * p AS VARCHAR), 'link_id': NULL, 'is_active': true},
+      {'place': 6, 'sku_id': CAST(3000006 + 10 * p AS VARCHAR), 'link_id': '***', 'is_active': true},
+      {'place': 7, 'sku_id': CAST(3000007 + 10 * p AS VARCHAR), 'link_id': 'Outro ' || p, 'is_active': NULL},
+      {'place': 8, 'sku_id': CAST(3000008 + 10 * p AS VARCHAR), 'link_id': 'Grupo ' || p || ' 8 1 1', 'is_active': true},
+      {'place': 9, 'sku_id': 'y' || p, 'link_id': 'gruPo ' || p, 'is_active': true}]) AS c
+    FROM (SELECT p_partkey AS p, 'grupo-' || p_partkey AS g FROM part WHERE p_partkey % 20 = 4))
+  UNION ALL
+  SELECT p_partkey, 10, 8000000 + p_partkey, 'w' || p_partkey, 'Muito Pedido', true FROM part WHERE p_partkey % 20 = 7
+),"""
+
+FIXTURES = f"""{_HARD}
 queue_src AS (
   SELECT CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS sku_id FROM part
   UNION ALL SELECT CAST(p_partkey AS VARCHAR) AS sku_id FROM part WHERE p_partkey % 50 = 0
   UNION ALL SELECT CAST(1000000 + s_suppkey AS VARCHAR) AS sku_id FROM supplier
+  UNION ALL SELECT sku_id FROM hard_products
+  UNION ALL SELECT 'x7' AS sku_id
 ),
 catalog AS (
   SELECT CAST(p.p_partkey AS VARCHAR) AS sku_id, q.p_partkey AS product_id, q.p_size > 5 AS is_active,
@@ -49,6 +72,10 @@ catalog AS (
       ELSE concat('  ', q.p_name, '__', q.p_brand, '!') END AS link_id
   FROM part p JOIN part q
     ON q.p_partkey = p.p_partkey - (CASE WHEN p.p_partkey % 10 = 1 THEN 1 ELSE 0 END)
+  UNION ALL SELECT sku_id, product_id, is_active, link_id FROM hard_products
+),
+latency AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS sku_id, CAST(p_partkey % 1000 AS INTEGER) AS ms FROM part WHERE p_partkey % 3 > 0
 ),
 run_log AS (
   SELECT concat('exec-', CAST(CAST(ts AS DATE) AS VARCHAR)) AS execution_id,
@@ -62,7 +89,8 @@ run_log AS (
          WHEN event_type = 'view' THEN 'PULADO_JA_CORRIGIDO'
          ELSE 'SUCESSO' END AS status,
     CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 5 = 0 END AS houve_colisao,
-    CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(floor(value * 10) AS INTEGER) END AS tempo_processamento_ms
+    CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(floor(value * 10) AS INTEGER) END AS tempo_processamento_ms,
+    user_id * 10 AS product_id, event_id
   FROM events
 ),
 products AS (
@@ -74,7 +102,7 @@ sku_products AS (
 redirects AS (
   SELECT '/' || lower(link_id) || '/p' AS from_path,
          min('/produto-antigo-' || CAST(product_id AS VARCHAR) || '/p') AS to_path
-  FROM products WHERE product_id % 7 = 0 GROUP BY 1
+  FROM products WHERE product_id % 7 = 0 AND link_id IS NOT NULL GROUP BY 1
 ),
 put_outcome AS (
   SELECT product_id, product_id % 29 = 0 AS erro,
@@ -84,15 +112,15 @@ put_outcome AS (
 redirect_outcome AS (
   SELECT from_path, erro, CASE WHEN erro THEN 'HTTP 429 limite de redirects' END AS msg
   FROM (SELECT '/' || lower(link_id) || '/p' AS from_path, bool_or(product_id % 31 = 0) AS erro
-        FROM products GROUP BY 1)
+        FROM products WHERE link_id IS NOT NULL GROUP BY 1)
 ),
 removal_outcome AS (
   SELECT from_path, erro, CASE WHEN erro THEN 'HTTP 403 remoção negada' END AS msg
   FROM (SELECT '/' || lower(link_id) || '/p' AS from_path, bool_or(product_id % 35 = 0) AS erro
-        FROM products GROUP BY 1)
+        FROM products WHERE link_id IS NOT NULL GROUP BY 1)
 ),
 slug_texts AS (
-  SELECT 'pages' AS src, page_id AS src_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS text FROM pages
+  SELECT 'pages' AS src, page_id AS src_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS text FROM pages
   UNION ALL SELECT 'documents' AS src, doc_id AS src_id, text FROM documents
   UNION ALL SELECT 'part' AS src, p_partkey AS src_id, concat_ws(' ', p_name, p_brand, p_type) AS text FROM part
 ),
@@ -221,7 +249,9 @@ SQL: dict[str, str] = {
         SELECT execution_id, status, n,
                row_number() OVER (PARTITION BY execution_id ORDER BY n DESC, status NULLS LAST) AS ordem
         FROM (SELECT execution_id, status, count(*) AS n FROM run_log GROUP BY execution_id, status)""",
-    "critical_skus": "SELECT execution_id, sku_vtex FROM run_log WHERE status = 'ERRO_REDIRECT'",
+    "critical_skus": """
+        SELECT execution_id, sku_vtex, product_id, 'redirect falhou no evento ' || event_id AS mensagem_erro
+        FROM run_log WHERE status = 'ERRO_REDIRECT'""",
     "critical_alert": f"""
         , crit AS (SELECT execution_id, sku_vtex FROM run_log WHERE status = 'ERRO_REDIRECT'),
         counts AS (SELECT execution_id, count(*) AS n_criticos FROM crit GROUP BY execution_id),
@@ -238,14 +268,19 @@ SQL: dict[str, str] = {
     "slug_gate": "SELECT * FROM gate",
     "catalog_lookup": f"""
         SELECT q.sku_id, sp.product_id, p.link_id, p.is_active,
-          (sp.product_id IS NULL OR (p.link_id IS NULL AND p.is_active IS NULL)) AS erro,
-          CASE WHEN sp.product_id IS NULL THEN {tmpl(S.MSG_LOOKUP_FAILED, lit(S.NOT_FOUND_SKU))}
-               WHEN p.link_id IS NULL AND p.is_active IS NULL
-                 THEN {tmpl(S.MSG_DETAILS_FAILED, lit(S.NOT_FOUND_PRODUCT))} END AS mensagem
+          sp.product_id IS NULL AS erro,
+          CASE WHEN sp.product_id IS NULL THEN {tmpl(S.MSG_LOOKUP_FAILED, lit(S.NOT_FOUND_SKU))} END AS mensagem
         FROM queue_src q
         LEFT JOIN sku_products sp ON sp.sku_id = q.sku_id
         LEFT JOIN products p ON p.product_id = sp.product_id
         WHERE q.sku_id IS NOT NULL""",
+    "catalog_lookup_pruned": f"""
+        SELECT q.sku_id, sp.product_id, p.link_id, p.is_active, sp.product_id IS NULL AS erro,
+          CASE WHEN sp.product_id IS NULL THEN {tmpl(S.MSG_LOOKUP_FAILED, lit(S.NOT_FOUND_SKU))} END AS mensagem
+        FROM (SELECT DISTINCT sku_id FROM queue_src WHERE sku_id IS NOT NULL) q
+        LEFT JOIN (SELECT sku_id, min(product_id) AS product_id FROM catalog
+                   WHERE regexp_full_match(sku_id, '[0-9]+') GROUP BY sku_id) sp ON sp.sku_id = q.sku_id
+        LEFT JOIN products p ON p.product_id = sp.product_id""",
     "slug_collisions": """
         SELECT sku_id, product_id, slug_normalizado, conflict IS NOT NULL AS colisao,
                conflict AS product_id_conflitante
@@ -302,13 +337,28 @@ SQL: dict[str, str] = {
 # the redirect registry. Everything that does not depend on that state is
 # looked up per row beforehand (``rs``).
 
+# Failed reads and probes, one row per key; the plain runs have none.
+_FAILURES = """
+, failed AS MATERIALIZED (
+  SELECT kind, key, min(msg) AS msg FROM (
+    SELECT 'sku' AS kind, CAST(p_partkey AS VARCHAR) AS key, 'HTTP 503 no SKU' AS msg FROM part WHERE p_partkey % 17 = 3
+    UNION ALL SELECT 'product', CAST(p_partkey AS VARCHAR), 'HTTP 500 no produto' FROM part WHERE p_partkey % 19 = 5
+    UNION ALL SELECT 'redirect', '/' || lower(link_id) || '/p', 'HTTP 429 na verificação'
+      FROM catalog WHERE product_id % 21 = 0 AND link_id IS NOT NULL
+    UNION ALL SELECT 'slug', 'grupo-' || p, 'HTTP 502 no slug' FROM hard_products WHERE place = 0 AND p % 80 = 4
+    UNION ALL SELECT 'slug', 'grupo-' || p || '-' || sku_id, 'HTTP 502 no sufixo'
+      FROM hard_products WHERE place = 3 AND p % 80 = 44)
+  WHERE {failures} GROUP BY kind, key
+)"""
+
 _BATCH_STATE = f"""
 , batch_rows AS MATERIALIZED (
   SELECT sku_id, row_number() OVER (ORDER BY try_cast(sku_id AS BIGINT) NULLS LAST, sku_id) AS rn
   FROM {{batch_source}}
 ),
 rs AS MATERIALIZED (
-  SELECT b.rn, b.sku_id, sp.product_id AS pid, p.link_id AS link0, p.is_active AS act,
+  SELECT b.rn, b.sku_id, CASE WHEN fs.key IS NULL THEN sp.product_id END AS pid, p.link_id AS link0, p.is_active AS act,
+    fs.msg AS sku_msg, fp.msg AS product_msg, fr.msg AS probe_msg, f1.msg AS slug_msg, f2.msg AS suffix_msg,
     {norm('p.link_id')} AS norm0,
     '/' || lower(p.link_id) || '/p' AS path0,
     '/' || p.link_id || '/p' AS exact0,
@@ -324,6 +374,11 @@ rs AS MATERIALIZED (
   FROM batch_rows b
   LEFT JOIN sku_products sp ON sp.sku_id = b.sku_id
   LEFT JOIN products p ON p.product_id = sp.product_id
+  LEFT JOIN failed fs ON fs.kind = 'sku' AND fs.key = b.sku_id
+  LEFT JOIN failed fp ON fp.kind = 'product' AND fp.key = CAST(sp.product_id AS VARCHAR)
+  LEFT JOIN failed fr ON fr.kind = 'redirect' AND fr.key = '/' || lower(p.link_id) || '/p'
+  LEFT JOIN failed f1 ON f1.kind = 'slug' AND f1.key = {norm('p.link_id')}
+  LEFT JOIN failed f2 ON f2.kind = 'slug' AND f2.key = {norm('p.link_id')} || '-' || b.sku_id
   LEFT JOIN redirects reg ON reg.from_path = '/' || lower(p.link_id) || '/p'
   LEFT JOIN removal_outcome rm ON rm.from_path = '/' || lower(p.link_id) || '/p'
   LEFT JOIN holders h1 ON h1.slug = {norm('p.link_id')}
@@ -341,7 +396,8 @@ sim(i, claims, fixed, regc, r) AS (
                  slug_normalizado VARCHAR, slug_final VARCHAR, houve_colisao BOOLEAN,
                  product_id_conflitante BIGINT, is_active BOOLEAN, status VARCHAR,
                  put_confirmado BOOLEAN, redirect_confirmado BOOLEAN, redirect_destino VARCHAR,
-                 mensagem_erro VARCHAR, treat0 BOOLEAN)
+                 mensagem_erro VARCHAR, treat0 BOOLEAN, probes BOOLEAN, found BOOLEAN, old_to VARCHAR,
+                 rem_failed BOOLEAN, obs VARCHAR)
   UNION ALL
   SELECT i, claims, fixed, regc, r FROM (
     SELECT s.i + 1 AS i, st.*,
@@ -349,27 +405,31 @@ sim(i, claims, fixed, regc, r) AS (
       CASE WHEN len(fx) > 0 THEN fx[-1].slug END AS fixed_slug,
       coalesce(fixed_slug, st.link0) AS cur,
       CASE WHEN st.pid IS NULL THEN 'LOOKUP'
+           WHEN st.product_msg IS NOT NULL THEN 'DETAILS'
            WHEN NOT coalesce(st.act, false) THEN 'INATIVO'
            WHEN fixed_slug IS NOT NULL THEN 'JA'
            WHEN st.norm0 IS NULL OR st.norm0 = '' THEN 'EMPTY'
            WHEN st.link0 = st.norm0 THEN 'JA'
            ELSE 'TREAT' END AS g,
-      st.pid IS NOT NULL AND coalesce(st.act, false) AND coalesce(st.norm0, '') <> ''
+      st.pid IS NOT NULL AND st.product_msg IS NULL AND coalesce(st.act, false) AND coalesce(st.norm0, '') <> ''
         AND st.link0 <> st.norm0 AS treat0,
       list_filter(s.regc, lambda x: x.path = st.path0) AS rc,
       CASE WHEN len(rc) > 0 THEN rc[-1].to_path ELSE st.snap_to END AS cur_to,
-      g = 'TREAT' AND cur_to IS NOT NULL AS found,
+      g = 'TREAT' AND st.probe_msg IS NULL AND cur_to IS NOT NULL AS found,
       found AND NOT st.rem_fail AS removed,
-      CASE WHEN found THEN CASE WHEN st.rem_fail THEN {tmpl(S.MSG_REMOVAL_FAILED, 'st.rem_msg')}
+      CASE WHEN g = 'TREAT' AND st.probe_msg IS NOT NULL THEN {tmpl(S.MSG_PROBE_FAILED, 'st.probe_msg')}
+           WHEN found THEN CASE WHEN st.rem_fail THEN {tmpl(S.MSG_REMOVAL_FAILED, 'st.rem_msg')}
                                 ELSE {tmpl(S.MSG_REMOVED, 'cur_to')} END END AS obs,
       list_filter(s.claims, lambda x: x.slug = st.norm0 AND x.pid <> st.pid) AS c1,
       coalesce(st.snap1, CASE WHEN len(c1) > 0 THEN c1[-1].pid END) AS h1,
-      g = 'TREAT' AND h1 IS NOT NULL AS collided,
+      g = 'TREAT' AND st.slug_msg IS NOT NULL AS unprobed,
+      g = 'TREAT' AND NOT unprobed AND h1 IS NOT NULL AS collided,
       collided AND NOT st.sku_num AS bad_suffix,
+      collided AND st.sku_num AND st.suffix_msg IS NOT NULL AS unprobed2,
       list_filter(s.claims, lambda x: x.slug = st.s2 AND x.pid <> st.pid) AS c2,
       coalesce(st.snap2, CASE WHEN len(c2) > 0 THEN c2[-1].pid END) AS h2,
-      collided AND NOT bad_suffix AND h2 IS NOT NULL AS irres,
-      CASE WHEN g = 'TREAT' AND NOT bad_suffix AND NOT irres
+      collided AND NOT bad_suffix AND NOT unprobed2 AND h2 IS NOT NULL AS irres,
+      CASE WHEN g = 'TREAT' AND NOT unprobed AND NOT bad_suffix AND NOT unprobed2 AND NOT irres
            THEN CASE WHEN collided THEN st.s2 ELSE st.norm0 END END AS final,
       final IS NOT NULL AND st.put_fail AS putfail,
       final IS NOT NULL AND NOT st.put_fail AS won,
@@ -378,14 +438,17 @@ sim(i, claims, fixed, regc, r) AS (
       won AND st.path0 <> dest AND st.path0 <> st.exact0 AS try2,
       try1 AND st.ro_exact_fail AS fail1,
       try2 AND NOT fail1 AND st.ro_lower_fail AS fail2,
-      CASE g WHEN 'LOOKUP' THEN {lit(S.ERRO_API)} WHEN 'INATIVO' THEN {lit(S.PULADO_INATIVO)}
+      CASE g WHEN 'LOOKUP' THEN {lit(S.ERRO_API)} WHEN 'DETAILS' THEN {lit(S.ERRO_API)} WHEN 'INATIVO' THEN {lit(S.PULADO_INATIVO)}
              WHEN 'JA' THEN {lit(S.PULADO_JA_CORRIGIDO)} WHEN 'EMPTY' THEN {lit(S.ERRO_API)}
-             ELSE CASE WHEN bad_suffix THEN {lit(S.ERRO_API)}
+             ELSE CASE WHEN unprobed OR bad_suffix OR unprobed2 THEN {lit(S.ERRO_API)}
                        WHEN irres THEN {lit(S.ERRO_COLISAO_IRRESOLVIVEL)}
                        WHEN putfail THEN {lit(S.ERRO_PUT)}
                        WHEN fail1 OR fail2 THEN {lit(S.ERRO_REDIRECT)}
                        ELSE {lit(S.SUCESSO)} END END AS status,
-      CASE WHEN g = 'LOOKUP' THEN {tmpl(S.MSG_LOOKUP_FAILED, lit(S.NOT_FOUND_SKU))}
+      CASE WHEN g = 'LOOKUP' THEN {tmpl(S.MSG_LOOKUP_FAILED, f"coalesce(st.sku_msg, {lit(S.NOT_FOUND_SKU)})")}
+           WHEN g = 'DETAILS' THEN {tmpl(S.MSG_DETAILS_FAILED, 'st.product_msg')}
+           WHEN unprobed THEN {tmpl(S.MSG_COLLISION_PROBE_FAILED, 'st.slug_msg')}
+           WHEN unprobed2 THEN {tmpl(S.MSG_SUFFIX_PROBE_FAILED, 'st.suffix_msg')}
            WHEN g = 'EMPTY' THEN {tmpl(S.MSG_UNHANDLED, "'ValueError'", lit(S.EMPTY_SLUG))}
            WHEN bad_suffix THEN {tmpl(S.MSG_UNHANDLED, "'ValueError'", lit(S.BAD_SUFFIX))}
            WHEN irres THEN {tmpl(S.MSG_IRRESOLVABLE, 'h1')}
@@ -402,26 +465,27 @@ sim(i, claims, fixed, regc, r) AS (
       CASE WHEN won THEN list_append(s.claims, {{'slug': final, 'pid': st.pid}}) ELSE s.claims END AS claims,
       CASE WHEN won THEN list_append(s.fixed, {{'pid': st.pid, 'slug': final}}) ELSE s.fixed END AS fixed,
       {{'rn': st.rn, 'sku_vtex': st.sku_id, 'product_id': st.pid,
-        'slug_original': CASE WHEN g <> 'LOOKUP' THEN cur END,
+        'slug_original': CASE WHEN g NOT IN ('LOOKUP', 'DETAILS') THEN cur END,
         'slug_normalizado': CASE WHEN g IN ('JA', 'EMPTY', 'TREAT') THEN coalesce(fixed_slug, st.norm0) END,
         'slug_final': final,
         'houve_colisao': coalesce(collided, false),
         'product_id_conflitante': CASE WHEN collided THEN h1 END,
-        'is_active': CASE WHEN g <> 'LOOKUP' THEN st.act END,
+        'is_active': CASE WHEN g NOT IN ('LOOKUP', 'DETAILS') THEN st.act END,
         'status': status,
         'put_confirmado': coalesce(won, false),
         'redirect_confirmado': coalesce(won AND NOT (fail1 OR fail2), false),
         'redirect_destino': CASE WHEN won THEN dest END,
         'mensagem_erro': msg,
-        'treat0': treat0}} AS r
+        'treat0': treat0, 'probes': g = 'TREAT', 'found': found, 'old_to': CASE WHEN found THEN cur_to END,
+        'rem_failed': found AND st.rem_fail, 'obs': obs}} AS r
     FROM sim s JOIN rs st ON st.rn = s.i + 1
   )
 ),
 replay AS (SELECT unnest(r) FROM sim WHERE i > 0)"""
 
 
-def _replay(body: str, batch_source: str = "queue_cand") -> str:
-    state = _BATCH_STATE.replace("{batch_source}", batch_source)
+def _replay(body: str, batch_source: str = "queue_cand", failures: str = "false") -> str:
+    state = _FAILURES.replace("{failures}", failures) + _BATCH_STATE.replace("{batch_source}", batch_source)
     return "WITH RECURSIVE " + FIXTURES.strip() + state + "\n" + body.strip()
 
 
@@ -434,8 +498,12 @@ REPLAY_SQL: dict[str, str] = {
         SELECT 'exec-2024-02-01' AS execution_id, TIMESTAMP '2024-02-01 03:00:00' AS "timestamp",
           sku_vtex, product_id, slug_original, slug_normalizado, slug_final, houve_colisao,
           product_id_conflitante, is_active, status, put_confirmado, redirect_confirmado,
-          redirect_destino, mensagem_erro, CAST(NULL AS INTEGER) AS tempo_processamento_ms
-        FROM replay""",
+          redirect_destino, mensagem_erro, l.ms AS tempo_processamento_ms
+        FROM replay LEFT JOIN latency l ON l.sku_id = sku_vtex""",
+    "redirect_timeline": """
+        SELECT sku_vtex AS sku_id, found AS existe, old_to AS destino_antigo, rem_failed AS removal_failed, obs AS observacao
+        FROM (SELECT *, row_number() OVER (PARTITION BY sku_vtex ORDER BY rn) AS copy FROM replay)
+        WHERE copy = 1 AND probes""",
     "slug_resolution": f"""
         SELECT sku_vtex AS sku_id,
           CASE WHEN status = {lit(S.PULADO_JA_CORRIGIDO)} THEN 'FIXED_BEFORE'
@@ -462,4 +530,6 @@ def oracle_sql() -> dict[str, str]:
         out[name] = _replay(body)
     # the nightly batch: the next DEFAULT_BATCH_SIZE SKUs only
     out["correction_batch"] = _replay(REPLAY_SQL["run_log_rows"], "queue_batch")
+    # the whole queue, with reads and probes that fail
+    out["probe_failures"] = _replay(REPLAY_SQL["run_log_rows"], failures="true")
     return out

@@ -21,7 +21,6 @@ from slugmend.operators.cascade import update_outcome
 from slugmend.plans import correction
 from slugmend.sources.cuts import materialise
 from slugmend.sources import fixtures as fx
-from slugmend.sources.tables import spread
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,8 +105,7 @@ def q_critical_alert(spark: SparkSession, d: str) -> DataFrame:
 # --- slugs and catalogue -------------------------------------------------------------
 
 def q_slug_normalize(spark: SparkSession, d: str) -> DataFrame:
-    texts = spread(fx.slug_texts(spark, d))
-    return texts.select("src", "src_id", normalize_slug(F.col("text")).alias("slug"))
+    return fx.slug_texts(spark, d).select("src", "src_id", normalize_slug(F.col("text")).alias("slug"))
 
 
 def q_slug_gate(spark: SparkSession, d: str) -> DataFrame:
@@ -119,6 +117,13 @@ def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
     return cat_ops.catalog_lookup(src, fx.catalog(spark, d))
 
 
+def q_catalog_lookup_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """A catalogue with whole-number SKUs against text SKUs, one of them no number."""
+    cat = fx.catalog(spark, d).filter(F.col("sku_id").rlike("^[0-9]+$")).withColumn("sku_id", F.col("sku_id").cast("bigint"))
+    src = fx.queue_src(spark, d).filter(F.col("sku_id").isNotNull()).distinct()
+    return cat_ops.catalog_lookup(src, cat)
+
+
 def _treated(spark: SparkSession, d: str) -> DataFrame:
     """Catalogue SKUs that pass the gate (active, slug not yet right)."""
     gate = cat_ops.slug_gate(fx.catalog(spark, d))
@@ -180,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "slug_normalize": q_slug_normalize,
     "slug_gate": q_slug_gate,
     "catalog_lookup": q_catalog_lookup,
+    "catalog_lookup_pruned": q_catalog_lookup_pruned,
     "slug_collisions": q_slug_collisions,
     "update_outcome": q_update_outcome,
     "redirect_plan": q_redirect_plan,
@@ -213,13 +219,27 @@ def snapshot_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     )
 
 
+def plain_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The same tables as plans of their own, for a run that touches little of them."""
+    cat = fx.catalog(spark, d)
+    return dict(
+        catalog=cat, registry=fx.redirects(cat), put=fx.put_outcome(cat), redirect_out=fx.redirect_outcome(cat),
+        removals=fx.removal_outcome(cat),
+    )
+
+
 def correction_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return dict(
-        batch=queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), None),
+        batch=queue.queue_head(fx.queue_src(spark, d), fx.run_log(spark, d), None),
         **snapshot_inputs(spark, d),
     )
 
 
+def _whole_run(spark: SparkSession, d: str, **more: DataFrame) -> DataFrame:
+    rows, _ = correction.cascade(**correction_inputs(spark, d), **more)
+    return correction.log_rows(rows, RUN_ID, RUN_TS, fx.latency(spark, d))
+
+
 def q_slug_resolution(spark: SparkSession, d: str) -> DataFrame:
     _, decisions = correction.cascade(**correction_inputs(spark, d))
     return decisions.select("sku_id", "outcome", "houve_colisao", "product_id_conflitante", "slug_final")
@@ -234,22 +254,33 @@ def q_status_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_run_log_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows, _ = correction.cascade(**correction_inputs(spark, d))
-    return correction.log_rows(rows, RUN_ID, RUN_TS)
+    return _whole_run(spark, d)
+
+
+def q_probe_failures(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run with reads and probes that fail, of every kind."""
+    return _whole_run(spark, d, failures=materialise(fx.read_failures(spark, d), "failures"))
+
+
+def q_redirect_timeline(spark: SparkSession, d: str) -> DataFrame:
+    """What every probing item finds on its path, after what earlier items did there."""
+    items = correction.probed_items(**correction_inputs(spark, d))
+    return items.select("sku_id", "existe", "destino_antigo", "removal_failed", "observacao")
 
 
 def q_correction_batch(spark: SparkSession, d: str) -> DataFrame:
     """The nightly run: next 150 SKUs, catalogue cut to what they touch."""
-    snap = snapshot_inputs(spark, d)
     return correction.run_correction(
-        fx.queue_src(spark, d), fx.run_log(spark, d), snap.pop("catalog"), RUN_ID,
-        batch_size=DEFAULT_BATCH_SIZE, run_ts=RUN_TS, **snap,
+        fx.queue_src(spark, d), fx.run_log(spark, d), execution_id=RUN_ID, latency=fx.latency(spark, d),
+        batch_size=DEFAULT_BATCH_SIZE, run_ts=RUN_TS, **plain_inputs(spark, d),
     )
 
 
 QUERIES.update(
     {
         "correction_batch": q_correction_batch,
+        "probe_failures": q_probe_failures,
+        "redirect_timeline": q_redirect_timeline,
         "slug_resolution": q_slug_resolution,
         "status_cascade": q_status_cascade,
         "run_log_rows": q_run_log_rows,

@@ -60,6 +60,13 @@ MSG_REDIRECT_SKIPPED = (
 MSG_UNHANDLED = "Exceção não tratada: {}: {}"
 MSG_SEPARATOR = " | "
 
+# Reads and probes that an outside system may fail at; kinds of the failure table
+# (kind, key, msg). Keys: the SKU, the product id, the probed path, the probed slug.
+READ_SKU = "sku"
+READ_PRODUCT = "product"
+PROBE_REDIRECT = "redirect"
+PROBE_SLUG = "slug"
+
 # Texts for outcomes that an outside system would have supplied; ours.
 NOT_FOUND_SKU = "SKU não encontrado no catálogo"
 NOT_FOUND_PRODUCT = "produto não encontrado no catálogo"
@@ -89,7 +96,7 @@ REPORT_METRICS = (
     (9, "Erros de API (leitura)", "erro_api", True),
 )
 
-# Summary count columns and the status each one counts.
+# --- fixed values: summary count columns and the status each one counts ---------
 STATUS_COUNTS = (
     ("sucesso", SUCESSO),
     ("pulado_inativo", PULADO_INATIVO),
@@ -103,7 +110,7 @@ STATUS_COUNTS = (
 # Number of critical SKUs shown inline in an alert before the ellipsis.
 ALERT_LIST_LIMIT = 10
 
-# --- run-log schema -------------------------------------------------------------
+# --- fixed values: run-log schema -------------------------------------------------------------
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("execution_id", T.StringType(), nullable=False),

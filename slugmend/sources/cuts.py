@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from slugmend.session import checkpoint_dir
 
+# Folders of this process's cuts that still exist, in the order they were made.
+_made: list[str] = []
+
 
 def materialise(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
@@ -16,9 +22,43 @@ def materialise(df: DataFrame, name: str = "cut") -> DataFrame:
     columnar storage, and the read-back carries real file sizes, so AQE's
     broadcast decisions downstream rest on measured sizes. The folder is
     the one the cluster names in ``spark.checkpoint.dir``, so the table
-    survives the loss of any executor.
+    survives the loss of any executor. It is deleted by :func:`release`, at
+    the latest when the driver's interpreter ends.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/slugmend-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
+    _made.append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/slugmend-{name}-{uuid.uuid4().hex}"
+
+
+def keep(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a table written to a new path, and count it among the cuts."""
+    _made.append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def mark() -> int:
+    """A point in time for :func:`release`."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the cuts made since ``since``; frames that read them are no longer usable."""
+    for path in _made[since:]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _made[since:]
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _made else None
+    if spark is not None and spark.sparkContext._jsc is not None:
+        try:
+            release(spark)
+        except (PySparkException, OSError):  # the gateway is already down
+            pass

@@ -17,8 +17,12 @@ from slugmend.schemas import (
     ERRO_COLISAO_IRRESOLVIVEL,
     ERRO_PUT,
     ERRO_REDIRECT,
+    PROBE_REDIRECT,
+    PROBE_SLUG,
     PULADO_INATIVO,
     PULADO_JA_CORRIGIDO,
+    READ_PRODUCT,
+    READ_SKU,
     SUCESSO,
 )
 from slugmend.sources.tables import read_table
@@ -34,6 +38,55 @@ REMOVAL_FAIL_EVERY = 35      # products whose redirect removal fails
 LEGACY_LAST_DAY = "2024-01-10"  # log rows up to this day carry data_execucao only
 
 
+GROUP_EVERY = 20             # parts that make a group of products with hard cases
+GROUP_BASE = 3000000         # product ids of groups: base + 10 * part key + place in the group
+HOT_BASE = 8000000           # product ids of the products that share one link
+
+
+def _hard_products(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Groups of products that meet on slugs, and links and flags that are missing or odd.
+
+    ``(p, place, product_id, sku_id, link_id, is_active)``; place 0 holds the slug
+    the others ask for, 2 holds the suffixed slug that 1 asks for, 3 has a second,
+    non-numeric SKU, 9 a non-numeric SKU only.
+    """
+    p = F.col("p_partkey")
+    pid = lambda place: F.lit(GROUP_BASE) + 10 * p + place
+    slug = F.concat(F.lit("grupo-"), p.cast("string"))
+    rows = [
+        (0, pid(0).cast("string"), slug, True),
+        (1, pid(1).cast("string"), F.concat(F.lit("Grupo "), p.cast("string")), True),
+        (2, pid(2).cast("string"), F.concat(slug, F.lit("-"), pid(1).cast("string")), True),
+        (3, pid(3).cast("string"), F.concat(F.lit("GRUPO "), p.cast("string")), True),
+        (3, F.concat(F.lit("z"), p.cast("string")), F.concat(F.lit("GRUPO "), p.cast("string")), True),
+        (4, pid(4).cast("string"), None, None),
+        (5, pid(5).cast("string"), None, True),
+        (6, pid(6).cast("string"), F.lit("***"), True),
+        (7, pid(7).cast("string"), F.concat(F.lit("Outro "), p.cast("string")), None),
+        (8, pid(8).cast("string"), F.concat(F.lit("Grupo "), p.cast("string"), F.lit(" 8 1 1")), True),
+        (9, F.concat(F.lit("y"), p.cast("string")), F.concat(F.lit("gruPo "), p.cast("string")), True),
+    ]
+    parts = read_table(spark, data_dir, "part").filter(p % GROUP_EVERY == 4).select("p_partkey")
+    cases = F.array(
+        *(
+            F.struct(
+                F.lit(place).alias("place"), pid(place).cast("bigint").alias("product_id"), sku.alias("sku_id"),
+                (F.lit(None) if link is None else link).cast("string").alias("link_id"),
+                F.lit(active).cast("boolean").alias("is_active"),
+            )
+            for place, sku, link, active in rows
+        )
+    )
+    hard = parts.select(p.alias("p"), F.explode(cases).alias("c")).select("p", "c.*")
+    # Non-numeric SKUs whose products share one link: one slug and one path for all of them.
+    hot = read_table(spark, data_dir, "part").filter(p % GROUP_EVERY == 7).select(
+        p.alias("p"), F.lit(10).alias("place"), (F.lit(HOT_BASE) + p).cast("bigint").alias("product_id"),
+        F.concat(F.lit("w"), p.cast("string")).alias("sku_id"), F.lit("Muito Pedido").alias("link_id"),
+        F.lit(True).alias("is_active"),
+    )
+    return hard.unionByName(hot)
+
+
 def queue_src(spark: SparkSession, data_dir: str) -> DataFrame:
     """Source queue ``(sku_id)``: nulls, duplicates and unknown SKUs included."""
     part = read_table(spark, data_dir, "part").select("p_partkey")
@@ -47,7 +100,9 @@ def queue_src(spark: SparkSession, data_dir: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("sku_id")
     )
     unknown = supplier.select((F.lit(SUPPLIER_SKU_BASE) + F.col("s_suppkey")).cast("string").alias("sku_id"))
-    return base.unionAll(repeats).unionAll(unknown)
+    hard = _hard_products(spark, data_dir).select("sku_id")
+    odd = spark.createDataFrame([("x7",)], "sku_id string")  # in no catalogue, and no number
+    return base.unionAll(repeats).unionAll(unknown).unionAll(hard).unionAll(odd)
 
 
 def catalog(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -77,7 +132,8 @@ def catalog(spark: SparkSession, data_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), F.col("p_name"), F.lit("__"), F.col("p_brand"), F.lit("!")))
         .alias("link_id"),
     )
-    return sku.join(prod, "product_id").select("sku_id", "product_id", "link_id", "is_active")
+    plain = sku.join(prod, "product_id").select("sku_id", "product_id", "link_id", "is_active")
+    return plain.unionByName(_hard_products(spark, data_dir).drop("p", "place"))
 
 
 def run_log(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -109,13 +165,58 @@ def run_log(spark: SparkSession, data_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 13 == 0, F.lit(None).cast("int"))
         .otherwise(F.floor(F.col("value") * 10).cast("int"))
         .alias("tempo_processamento_ms"),
+        (F.col("user_id") * 10).cast("bigint").alias("product_id"),
+        F.when(status == ERRO_REDIRECT, F.concat(F.lit("redirect falhou no evento "), F.col("event_id").cast("string")))
+        .alias("mensagem_erro"),
+    )
+
+
+def latency(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Latency that an outside system reports per SKU ``(sku_id, tempo_processamento_ms)``."""
+    part = read_table(spark, data_dir, "part").filter(F.col("p_partkey") % 3 > 0)
+    return part.select(
+        F.col("p_partkey").cast("string").alias("sku_id"),
+        (F.col("p_partkey") % 1000).cast("int").alias("tempo_processamento_ms"),
     )
 
 
+def read_failures(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Reads and probes that fail ``(kind, key, msg)``, some of them twice."""
+    hard = _hard_products(spark, data_dir).filter(F.col("p") % 40 == 4)
+    part = read_table(spark, data_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    link = F.concat(F.lit("/"), F.lower("link_id"), F.lit("/p"))
+    slug = F.concat(F.lit("grupo-"), F.col("p").cast("string"))
+    rows = [
+        part.filter(F.col("p_partkey") % 17 == 3).select(F.lit(READ_SKU), key, F.lit("HTTP 503 no SKU")),
+        part.filter(F.col("p_partkey") % 17 == 3).select(F.lit(READ_SKU), key, F.lit("HTTP 504 no SKU")),
+        part.filter(F.col("p_partkey") % 19 == 5).select(F.lit(READ_PRODUCT), key, F.lit("HTTP 500 no produto")),
+        catalog(spark, data_dir).filter(F.col("product_id") % 21 == 0).filter("link_id is not null").select(
+            F.lit(PROBE_REDIRECT), link, F.lit("HTTP 429 na verificação")
+        ).distinct(),
+        # the plain slug of some groups, the suffixed slug of place 3 in others
+        hard.filter((F.col("place") == 0) & (F.col("p") % 80 == 4)).select(F.lit(PROBE_SLUG), slug, F.lit("HTTP 502 no slug")),
+        hard.filter((F.col("place") == 3) & (F.col("p") % 80 == 44)).select(
+            F.lit(PROBE_SLUG), F.concat(slug, F.lit("-"), F.col("sku_id")), F.lit("HTTP 502 no sufixo")
+        ),
+    ]
+    out = rows[0].toDF("kind", "key", "msg")
+    for more in rows[1:]:
+        out = out.unionAll(more.toDF("kind", "key", "msg"))
+    return out
+
+
 def _products(cat: DataFrame) -> DataFrame:
     return cat.groupBy("product_id").agg(
         F.min("link_id").alias("link_id"), F.min("is_active").alias("is_active")
-    )
+    ).filter("link_id is not null")
+
+
+def _repeated(outcomes: DataFrame, every: F.Column) -> DataFrame:
+    """Some rows again, as in an outcome history: copies, and an attempt that worked before one that failed."""
+    again = outcomes.filter(every)
+    before = again.withColumn("erro", F.lit(False)).withColumn("msg", F.lit(None).cast("string"))
+    return outcomes.unionByName(again).unionByName(before)
 
 
 def _lower_path(link: str) -> F.Column:
@@ -123,28 +224,31 @@ def _lower_path(link: str) -> F.Column:
 
 
 def redirects(cat: DataFrame) -> DataFrame:
-    """Redirect registry snapshot ``(from_path, to_path)``, one row per path."""
+    """Redirect registry snapshot ``(from_path, to_path)``; some paths twice."""
     prods = _products(cat).filter(F.col("product_id") % REDIRECT_EVERY == 0)
-    return prods.groupBy(_lower_path("link_id").alias("from_path")).agg(
+    one = prods.groupBy(_lower_path("link_id").alias("from_path")).agg(
         F.min(F.concat(F.lit("/produto-antigo-"), F.col("product_id").cast("string"), F.lit("/p"))).alias("to_path")
     )
+    return one.unionByName(one.filter(F.length("from_path") % 3 == 0))
 
 
 def put_outcome(cat: DataFrame) -> DataFrame:
-    """Outcome of the slug update per product ``(product_id, erro, msg)``."""
+    """Outcomes of the slug update per product ``(product_id, erro, msg)``; some products have several."""
     fail = F.col("product_id") % PUT_FAIL_EVERY == 0
-    return cat.select("product_id").distinct().select(
+    one = cat.select("product_id").distinct().select(
         "product_id",
         fail.alias("erro"),
         F.when(fail, F.lit("HTTP 500 ao gravar LinkId")).alias("msg"),
     )
+    return _repeated(one, F.col("product_id") % 2 == 0)
 
 
 def _path_outcome(cat: DataFrame, every: int, text: str) -> DataFrame:
     prods = _products(cat)
-    return prods.groupBy(_lower_path("link_id").alias("from_path")).agg(
+    one = prods.groupBy(_lower_path("link_id").alias("from_path")).agg(
         F.max(F.col("product_id") % every == 0).alias("erro")
     ).select("from_path", "erro", F.when(F.col("erro"), F.lit(text)).alias("msg"))
+    return _repeated(one, F.length("from_path") % 2 == 0)
 
 
 def redirect_outcome(cat: DataFrame) -> DataFrame:
@@ -162,7 +266,7 @@ def slug_texts(spark: SparkSession, data_dir: str) -> DataFrame:
     pages = read_table(spark, data_dir, "pages").select(
         F.lit("pages").alias("src"),
         F.col("page_id").alias("src_id"),
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("text"),
+        F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("text"),
     )
     docs = read_table(spark, data_dir, "documents").select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("src_id"), F.col("text")

@@ -9,6 +9,8 @@ changed schema does not, so the writer targets paths.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,35 +43,47 @@ def null_violations(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
-def _has_run(spark: SparkSession, path: str, fmt: str, execution_ids: list[str]) -> bool:
-    """Whether the log at ``path`` already holds rows of these runs (filter reaches the scan)."""
+class RunAlreadyLogged(ValueError):
+    """The log already holds rows of the run that is to be appended."""
+
+
+def _has_run(spark: SparkSession, path: str, fmt: str, execution_id: str) -> bool:
+    """Whether the log at ``path`` holds rows of the run (the filter reaches the scan)."""
     try:
         existing = read_log(spark, path, fmt)
-    except AnalysisException:  # no log yet
-        return False
-    return not existing.filter(F.col("execution_id").isin(execution_ids)).select("execution_id").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False  # no log yet
+    return not existing.filter(F.col("execution_id") == execution_id).select("execution_id").isEmpty()
 
 
 def append_log(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
-    partition_by: list[str] | None = None,
+    partition_by: Sequence[str] = ("execution_id",),
     skip_empty: bool = True,
     execution_id: str | None = None,
 ) -> bool:
     """Append rows to the log at ``path``; returns whether anything was written.
 
     ``skip_empty`` is the empty-batch guard (no write for an empty batch);
-    it costs one short job that stops at the first row. With
-    ``execution_id``, a run already present in the log is not appended
-    again, so a retried run cannot duplicate its rows.
+    it costs one short job that stops at the first row. Rows with a null in a
+    required column raise ``ValueError`` before anything is written. With
+    ``execution_id``, a run that the log already has (in part or whole) raises
+    :class:`RunAlreadyLogged`: nothing is dropped in silence, and a retry
+    cannot duplicate rows. The log is partitioned by run, so a report reads its
+    run only.
     """
     out = to_log_schema(df)
     if skip_empty and out.isEmpty():
         return False
-    if execution_id is not None and _has_run(df.sparkSession, path, fmt, [execution_id]):
-        return False
+    nulls = {c: n for c, n in null_violations(out).first().asDict().items() if n}
+    if nulls:
+        raise ValueError(f"nulls in required log columns: {nulls}")
+    if execution_id is not None and _has_run(df.sparkSession, path, fmt, execution_id):
+        raise RunAlreadyLogged(f"the log at {path} already has rows of run {execution_id}")
     writer = out.write.mode("append").option("mergeSchema", "true").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -78,15 +92,15 @@ def append_log(
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Fresh read of the log (stale file listings dropped, schemas merged)."""
-    spark.catalog.refreshByPath(path)
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
-
+    """Fresh read of the log (stale file listings dropped, schemas merged), log columns first.
 
-def read_log_table(spark: SparkSession, name: str) -> DataFrame:
-    """Fresh read of a catalogue table holding the log."""
-    spark.catalog.refreshTable(name)
-    return spark.table(name)
+    Run ids that are partition folders are text, whatever they look like.
+    """
+    spark.catalog.refreshByPath(path)
+    log = spark.read.format(fmt).option("mergeSchema", "true").load(path)
+    first = [c for c in LOG_SCHEMA.fieldNames() if c in log.columns]
+    log = log.select(*first, *(c for c in log.columns if c not in first))
+    return log.withColumn("execution_id", F.col("execution_id").cast("string")) if "execution_id" in first else log
 
 
 def effective_time(df: DataFrame) -> Column:

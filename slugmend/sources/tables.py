@@ -31,17 +31,3 @@ def table_path(data_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(data_dir, name))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer partitions than there are cores.
-
-    For CPU-heavy per-row work (regular expressions over whole documents) on
-    input stored as a few large row groups. A scan that already has at least
-    ``defaultParallelism`` partitions is returned unchanged, so on a cluster
-    reading many files this adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -1,17 +1,20 @@
-"""The set-based cascade against a sequential replay of the batch."""
+"""The set-based cascade against the specification, an event replay of the batch."""
 
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 from conftest import SF_CHECK
 from model import replay
 
+from slugmend import schemas as S
+from slugmend.operators.outcomes import outcome_per
 from slugmend.plans import correction
 from slugmend.plans import queries as Q
+from slugmend.sources import fixtures as fx
 
 COLS = [
     "sku_vtex", "product_id", "slug_original", "slug_normalizado", "slug_final", "houve_colisao",
@@ -33,13 +36,17 @@ def _model_rows(rows):
     return Counter(tuple(r[c] for c in COLS) for r in rows)
 
 
-def _frames(spark, catalog, registry, put, red, rem):
-    cat = spark.createDataFrame(catalog, "sku_id string, product_id bigint, link_id string, is_active boolean")
-    reg = spark.createDataFrame(sorted(registry.items()), "from_path string, to_path string")
-    pu = spark.createDataFrame([(k, v[0], v[1]) for k, v in put.items()], "product_id bigint, erro boolean, msg string")
-    ro = spark.createDataFrame([(k, v[0], v[1]) for k, v in red.items()], "from_path string, erro boolean, msg string")
-    rm = spark.createDataFrame([(k, v[0], v[1]) for k, v in rem.items()], "from_path string, erro boolean, msg string")
-    return cat, reg, pu, ro, rm
+def _frames(spark, catalog, registry, put, red, rem, failures=None):
+    """The tables of a scenario; outcome tables hold a row twice, and a success before each failure."""
+    outcome = lambda table: [r for k, (e, m) in table.items() for r in ((k, False, None), (k, e, m), (k, e, m))]
+    return dict(
+        catalog=spark.createDataFrame(catalog, "sku_id string, product_id bigint, link_id string, is_active boolean"),
+        registry=spark.createDataFrame(sorted(registry.items()) * 2, "from_path string, to_path string"),
+        put=spark.createDataFrame(outcome(put), "product_id bigint, erro boolean, msg string"),
+        redirect_out=spark.createDataFrame(outcome(red), "from_path string, erro boolean, msg string"),
+        removals=spark.createDataFrame(outcome(rem), "from_path string, erro boolean, msg string"),
+        failures=spark.createDataFrame([(*k, m) for k, m in (failures or {}).items()], "kind string, key string, msg string"),
+    )
 
 
 def _assert_same(got: Counter, exp: Counter):
@@ -47,16 +54,34 @@ def _assert_same(got: Counter, exp: Counter):
     assert not only_s and not only_m, f"spark only: {list(only_s)[:3]}\nmodel only: {list(only_m)[:3]}"
 
 
-def test_fixture_batch_matches_sequential_replay(spark):
+def _run(spark, batch, catalog, registry, put, red, rem, failures=None, **more):
+    b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
+    rows, _ = correction.cascade(b, **_frames(spark, catalog, registry, put, red, rem, failures), **more)
+    return _spark_rows(rows)
+
+
+@pytest.mark.parametrize("failing", [False, True])
+def test_fixture_batch_matches_the_specification(spark, failing):
+    """The fixtures reach every status and, with failing reads and probes, every message."""
     inp = Q.correction_inputs(spark, SF_CHECK)
-    rows, _ = correction.cascade(**inp)
-    batch = [r[0] for r in inp["batch"].collect()]
+    fails = fx.read_failures(spark, SF_CHECK)
+    rows, _ = correction.cascade(**inp, failures=fails if failing else None)
+    batch = [r.sku_id for r in inp["batch"].collect() for _ in range(r.n_copies)]
     cat = [tuple(r) for r in inp["catalog"].select("sku_id", "product_id", "link_id", "is_active").collect()]
     reg = {r[0]: r[1] for r in inp["registry"].collect()}
-    put = {r[0]: (r[1], r[2]) for r in inp["put"].collect()}
-    red = {r[0]: (r[1], r[2]) for r in inp["redirect_out"].collect()}
-    rem = {r[0]: (r[1], r[2]) for r in inp["removals"].collect()}
-    _assert_same(_spark_rows(rows), _model_rows(replay(batch, cat, reg, put, red, rem)))
+    one = lambda df, key: {r[0]: (r[1], r[2]) for r in outcome_per(df, key).collect()}
+    failures = {}
+    for r in fails.collect() if failing else ():
+        failures[r.kind, r.key] = min(r.msg, failures.get((r.kind, r.key), r.msg))
+    got = _spark_rows(rows)
+    want = replay(batch, cat, reg, one(inp["put"], "product_id"), one(inp["redirect_out"], "from_path"), one(inp["removals"], "from_path"), failures)
+    _assert_same(got, _model_rows(want))
+    assert {k[COLS.index("status")] for k in got} == set(S.ALL_STATUSES)
+    said = " ".join(k[COLS.index("mensagem_erro")] or "" for k in got)
+    # MSG_REDIRECT_SKIPPED cannot occur: a treated link differs from its slug, so its exact path is always redirected.
+    for name, text in vars(S).items():
+        if name.startswith("MSG_") and name not in ("MSG_SEPARATOR", "MSG_REDIRECT_SKIPPED") and (failing or "PROBE" not in name and "DETAILS" not in name):
+            assert re.search(re.escape(text).replace(r"\{\}", ".*"), said), name
 
 
 # Link spellings chosen to collide: case variants, punctuation variants,
@@ -80,32 +105,59 @@ def _scenario(seed: int, n_products: int = 60):
     skus = [c[0] for c in catalog]
     batch = [s for s in skus if rnd.random() < 0.85]
     batch += [rnd.choice(skus) for _ in range(n_products // 5)]  # repeats
-    batch += ["9999999", "x7"]  # unknown SKUs
+    for pid in rnd.sample(sorted(links), n_products // 4):  # non-numeric SKUs of known products
+        active = next(a for _, p, _, a in catalog if p == pid)
+        catalog.append((f"x{pid}", pid, links[pid], active))
+        batch.append(f"x{pid}")
+    for pid in (9001, 9002):  # null link with null flag, and with an active one
+        catalog.append((str(pid), pid, None, None if pid == 9001 else True))
+        batch.append(str(pid))
+    batch += ["9999999", "x7y"]  # unknown SKUs
     paths = sorted({"/" + w.lower() + "/p" for w in links.values()} | {f"/ab-{i}/p" for i in range(1, 6)})
     registry = {p: f"/old-{i}/p" for i, p in enumerate(paths) if rnd.random() < 0.4}
     put = {pid: (True, "boom") for pid in links if rnd.random() < 0.15}
     red = {p: (True, "quota") for p in paths if rnd.random() < 0.15}
     rem = {p: (True, "denied") for p in paths if rnd.random() < 0.2}
-    return batch, catalog, registry, put, red, rem
+    failures = {("redirect", p): "no probe" for p in paths if rnd.random() < 0.15}
+    failures |= {("sku", s): "no sku" for s in skus if rnd.random() < 0.05}
+    failures |= {("product", str(p)): "no details" for p in links if rnd.random() < 0.05}
+    failures |= {("slug", f"ab-{s}"): "no suffix" for s in skus if rnd.random() < 0.1} | {("slug", "acao"): "no slug"}
+    return batch, catalog, registry, put, red, rem, failures if seed % 2 else {}
 
 
-@pytest.mark.parametrize("seed,buckets,prune", [(1, 1024, False), (2, 3, True), (3, 1, False), (4, 16, True)])
-def test_random_catalogues_match_sequential_replay(spark, seed, buckets, prune):
-    batch, catalog, registry, put, red, rem = _scenario(seed)
-    cat, reg, pu, ro, rm = _frames(spark, catalog, registry, put, red, rem)
-    b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
-    rows, _ = correction.cascade(b, cat, reg, pu, ro, rm, timeline_buckets=buckets, prune_catalog=prune)
-    _assert_same(_spark_rows(rows), _model_rows(replay(batch, catalog, registry, put, red, rem)))
+@pytest.mark.parametrize("seed,buckets", [(1, 1024), (2, 3), (3, 1), (4, 16), (5, 8)])
+def test_random_catalogues_match_the_specification(spark, seed, buckets):
+    scenario = _scenario(seed)
+    _assert_same(_run(spark, *scenario, timeline_buckets=buckets), _model_rows(replay(*scenario)))
 
 
 def test_plan_mode_assumes_every_write_succeeds(spark):
-    batch, catalog, registry, _, _, _ = _scenario(7)
-    cat, reg, _, _, _ = _frames(spark, catalog, registry, {}, {}, {})
+    batch, catalog, registry, *_ = _scenario(7)
+    frames = _frames(spark, catalog, registry, {}, {}, {})
     b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
-    rows, _ = correction.cascade(b, cat, reg)
+    rows, _ = correction.cascade(b, frames["catalog"], frames["registry"])
     _assert_same(_spark_rows(rows), _model_rows(replay(batch, catalog, registry)))
 
 
+def test_a_text_sku_behind_its_products_suffix(spark):
+    """SKU 5 takes a-5; x7 of the same product then finds its slug right, and removes nothing."""
+    catalog = [("1", 1, "a", True), ("5", 2, "A", True), ("x7", 2, "A", True)]
+    got = _run(spark, ["5", "x7"], catalog, {}, {}, {}, {})
+    _assert_same(got, _model_rows(replay(["5", "x7"], catalog)))
+    assert {k[0]: k[COLS.index("status")] for k in got} == {"5": "SUCESSO", "x7": "PULADO_JA_CORRIGIDO"}
+
+
+def test_one_odd_link_adds_no_empty_levels(spark, monkeypatch):
+    """A link ending in twenty digit groups: only levels with claims are written."""
+    from slugmend.operators import collisions
+
+    written = []
+    monkeypatch.setattr(collisions, "materialise", lambda df, name, own=collisions.materialise: written.append(name) or own(df, name))
+    catalog = [("1", 1, "a", True), ("5", 2, "A", True), ("6", 3, "B" + "-1" * 20, True)]
+    _assert_same(_run(spark, ["5", "6"], catalog, {}, {}, {}, {}), _model_rows(replay(["5", "6"], catalog)))
+    assert [n for n in written if n.startswith("level")] == ["level0", "level1", "level20"]
+
+
 def _hot_scenario(n_hot: int = 300):
     """A third-or-more of the batch shares one link: one slug, one probe path."""
     catalog = []
@@ -123,12 +175,9 @@ def _hot_scenario(n_hot: int = 300):
 
 
 @pytest.mark.parametrize("buckets", [2, 1024])
-def test_hot_slug_and_path_match_sequential_replay(spark, buckets):
+def test_hot_slug_and_path_match_the_specification(spark, buckets):
     batch, catalog, registry, put, red, rem = _hot_scenario()
-    cat, reg, pu, ro, rm = _frames(spark, catalog, registry, put, red, rem)
-    b = spark.createDataFrame([(s,) for s in batch], "sku_id string")
-    rows, _ = correction.cascade(b, cat, reg, pu, ro, rm, timeline_buckets=buckets)
-    got = _spark_rows(rows)
+    got = _run(spark, batch, catalog, registry, put, red, rem, timeline_buckets=buckets)
     _assert_same(got, _model_rows(replay(batch, catalog, registry, put, red, rem)))
     statuses = Counter(k[COLS.index("status")] for k in got.elements())
     assert statuses["SUCESSO"] >= 290 and sum(statuses.values()) == len(batch)
@@ -136,18 +185,14 @@ def test_hot_slug_and_path_match_sequential_replay(spark, buckets):
 
 def test_order_buckets_follow_the_rows_not_the_range(spark):
     """A dense run of SKUs inside a wide SKU range is cut into many buckets."""
-    from slugmend.operators.cascade import batch_stats, order_buckets, order_key
+    from slugmend.operators.cascade import batch_cuts, order_buckets, order_key
 
     hot = [(str(i),) for i in range(1, 1001)]                        # 1000 SKUs in [1, 1000]
     wide = [(str(10_000_000 * i),) for i in range(1, 101)]           # 100 SKUs up to 1e9
-    odd = [("x-1",), ("y-2",)]                                       # non-numeric: last bucket
+    odd = [(f"x{i:04d}",) for i in range(1, 1001)]                    # non-numeric SKUs come after them
     df = spark.createDataFrame(hot + wide + odd, "sku_id string").withColumn("okey", order_key("sku_id"))
-    stats = batch_stats(df.withColumn("gate", F.lit("x")).withColumn("slug_norm", F.lit("a")), 64)
-    out = order_buckets(stats)(df)
-    rows = out.select("sku_id", "b").collect()
-    hot_buckets = {r["b"] for r in rows if r["sku_id"].isdigit() and int(r["sku_id"]) <= 1000}
-    assert len(hot_buckets) >= 40
-    # monotone in the queue order
-    num = sorted(((int(r["sku_id"]), r["b"]) for r in rows if r["sku_id"].isdigit()))
-    assert all(a[1] <= b[1] for a, b in zip(num, num[1:]))
-    assert {r["b"] for r in rows if not r["sku_id"].isdigit()} == {max(r["b"] for r in rows)}
+    rows = order_buckets(batch_cuts(df, 64))(df).select("sku_id", "b").collect()
+    in_order = sorted(rows, key=lambda r: (not r.sku_id.isdigit(), int(r.sku_id) if r.sku_id.isdigit() else 0, r.sku_id))
+    assert all(x.b <= y.b for x, y in zip(in_order, in_order[1:]))   # never decreases along the queue
+    assert len({r.b for r in rows if r.sku_id.isdigit() and int(r.sku_id) <= 1000}) >= 40
+    assert len({r.b for r in rows if not r.sku_id.isdigit()}) >= 40

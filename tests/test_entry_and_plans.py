@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 import pytest
 from conftest import SF_CHECK
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from slugmend.operators import queue
+from slugmend.operators.catalog import catalog_lookup
+from slugmend.plans import correction
 from slugmend.plans import queries as Q
+from slugmend.sources import cuts
+from slugmend.sources import fixtures as fx
 
 
 def _plan(df) -> str:
@@ -21,9 +29,8 @@ def test_entry_runs_on_smoke_data(spark):
 
 
 def test_queue_scan_is_pruned_and_filtered(spark):
-    df = Q.q_queue_next(spark, SF_CHECK)
+    df = queue.queue_counts(fx.queue_src(spark, SF_CHECK), fx.run_log(spark, SF_CHECK))
     plan = _plan(df)
-    assert "TakeOrderedAndProject" in plan
     # only the columns the queue needs are read; the source key filter is pushed
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
     part_scans = [s for s in scans if "part.parquet" in s]
@@ -39,9 +46,38 @@ def test_alert_limit_is_applied_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
-def test_no_cross_products(spark, name):
-    plan = _plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001"))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_no_cross_products(spark, name, monkeypatch):
+    """Neither in the query's own plan nor in any plan that it cuts off on the way."""
+    seen = []
+    whole = cuts.materialise
+    watched = lambda df, label="cut": seen.append(_plan(df)) or whole(df, label)
+    for module in [m for n, m in sys.modules.items() if n.startswith("slugmend.") and getattr(m, "materialise", None) is whole]:
+        monkeypatch.setattr(module, "materialise", watched)
+    seen.append(_plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001")))
+    assert not any("CartesianProduct" in p or "BroadcastNestedLoopJoin" in p for p in seen)
+
+
+def test_hot_keys_leave_no_large_partition(spark):
+    """A SKU listed for a third of the queue, and lookups that all miss: the joins see one row per SKU, spread."""
+    n = 6000
+    src = spark.range(n).selectExpr("if(id % 3 = 0, '5', cast(id as string)) as sku_id")
+    log = spark.createDataFrame([("5", "ERRO_API")], "sku_vtex string, status string")
+    counts = queue.queue_counts(src, log)
+    assert counts.count() == counts.select("sku_id").distinct().count()
+    cat = spark.createDataFrame([("-1", 1, "a", True)], "sku_id string, product_id bigint, link_id string, is_active boolean")
+    missing = catalog_lookup(counts, cat).filter("erro")
+    assert missing.count() == counts.count()
+    per_task = missing.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 0.5 * counts.count()
+
+
+def test_nothing_is_left_after_a_run(spark, scratch):
+    inputs = Q.plain_inputs(spark, "/root/testdata/sf0.001")
+    src, log = fx.queue_src(spark, "/root/testdata/sf0.001"), fx.run_log(spark, "/root/testdata/sf0.001")
+    before = cuts.mark()
+    rows = correction.run_correction(src, log, execution_id="e", batch_size=20, log_path=f"{scratch}/log", **inputs)
+    assert rows.count() == 20 and cuts.mark() == before
+    assert not [p for p in os.listdir(cuts.checkpoint_dir(spark).removeprefix("file:")) if "-first-" in p or "-level" in p]
 
 
 def test_timeline_windows_are_bucketed(spark):

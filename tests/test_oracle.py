@@ -7,9 +7,10 @@ from compare import diff, duck, duck_rows, spark_rows
 from conftest import SF_CHECK
 
 import __spark_entry__ as E
+from slugmend.plans import queries as Q
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k in Q.QUERIES}
+SQL = {k: v for k, v in E.oracle_sql().items() if k in Q.QUERIES}
 
 
 @pytest.fixture(scope="module")

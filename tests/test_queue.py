@@ -1,4 +1,4 @@
-"""Queue selection: small batches (top-k heap) and large batches (range head) agree."""
+"""Queue selection against the whole queue in order, for batches of any size."""
 
 from __future__ import annotations
 
@@ -42,12 +42,11 @@ def test_range_head_equals_ordered_prefix(spark, inputs, ordered):
         assert got == Counter(ordered[:n]), n
 
 
-def test_large_batch_path_expands_to_the_same_rows(spark, inputs, ordered):
+def test_batch_expands_to_one_row_per_listing(spark, inputs, ordered):
     src, log = inputs
     n = _sizes(ordered)[3]
-    small = Counter(r["sku_id"] for r in queue.queue_next(src, log, n).collect())
-    large = Counter(r["sku_id"] for r in queue.queue_next(src, log, n, topk_max=0).collect())
-    assert small == large == Counter(ordered[:n])
+    got = Counter(r["sku_id"] for r in queue.queue_next(src, log, n).collect())
+    assert got == Counter(ordered[:n])
 
 
 def test_expand_counts_spreads_large_counts(spark):
@@ -82,7 +81,7 @@ def test_head_cuts_inside_a_hot_sku(spark):
     head = {r["sku_id"]: r["n_copies"] for r in queue.queue_head(src, log, 503, partitions=4).collect()}
     # queue order: 1, 2, 4 (3 is final), then the 1001 copies of 5, then 6, ...
     assert head == {"1": 1, "2": 1, "4": 1, "5": 500}
-    rows_out = queue.queue_next(src, log, 503, topk_max=0).collect()
+    rows_out = queue.queue_next(src, log, 503).collect()
     assert len(rows_out) == 503 and sum(r["sku_id"] == "5" for r in rows_out) == 500
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from slugmend.operators import report
@@ -132,8 +133,26 @@ def test_a_run_is_appended_once(spark, scratch):
         [("e1", dt.datetime(2024, 1, 1), "1")], "execution_id string, timestamp timestamp, sku_vtex string"
     )
     assert runlog.append_log(rows, path, execution_id="e1")
-    assert not runlog.append_log(rows, path, execution_id="e1")
+    with pytest.raises(runlog.RunAlreadyLogged):
+        runlog.append_log(rows, path, execution_id="e1")
     assert runlog.read_log(spark, path).count() == 1
+    assert runlog.append_log(rows.withColumn("execution_id", F.lit("0123")), path, execution_id="0123")
+    assert {r[0] for r in runlog.read_log(spark, path).select("execution_id").collect()} == {"e1", "0123"}
+
+
+def test_nulls_in_required_columns_are_refused(spark, scratch):
+    rows = spark.createDataFrame([("e1", None, "1")], "execution_id string, timestamp timestamp, sku_vtex string")
+    with pytest.raises(ValueError, match="timestamp"):
+        runlog.append_log(rows, os.path.join(scratch, "log"))
+
+
+def test_only_a_missing_log_counts_as_no_log(spark, scratch):
+    """A folder that is no log is an error, not an empty log."""
+    path = os.path.join(scratch, "odd")
+    spark.range(3).write.parquet(path)
+    rows = spark.createDataFrame([("e1", dt.datetime(2024, 1, 1), "1")], "execution_id string, timestamp timestamp, sku_vtex string")
+    with pytest.raises(AnalysisException):
+        runlog.append_log(rows, path, execution_id="e1")
 
 
 def test_correction_run_appends_to_the_log(spark, scratch):
