@@ -42,7 +42,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from slugmend.llm.common import slices, texts_of
+from slugmend.llm.common import map_arrow, slices, texts_of
 
 # Classes of code points.
 OTHER, LETTER, NUMBER, BLANK, WHITE, QUOTE = range(6)
@@ -300,4 +300,4 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, with_ids: bool = Fal
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return docs.select("doc_id", "text").transform(map_arrow, run, schema + ", ids array<int>" * with_ids)

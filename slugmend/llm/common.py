@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+import slugmend
 from slugmend.sources.tables import read_table
 
 #: White space of the word contracts: space, tab, newline, vertical tab, form feed, return.
@@ -18,6 +23,29 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 SLICE_ROWS = 256
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.realpath(slugmend.__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="slugmend-code-"))
+    archive = shutil.make_archive(os.path.join(folder, "slugmend-code"), "zip", os.path.dirname(package), "slugmend")
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` of a function of this package."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from slugmend.llm.common import slices, texts_of
+from slugmend.llm.common import map_arrow, slices, texts_of
 
 GRAM = 3
 WINDOW = 4
@@ -244,4 +244,4 @@ def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None) ->
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *(f"{n} {ddl}" for n, _, ddl in _ROW)])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").transform(map_arrow, run, schema)

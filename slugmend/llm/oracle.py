@@ -45,4 +45,24 @@ FROM lines l JOIN firsts f ON l.w = f.w LEFT JOIN near m ON l.w = m.w
 """
 )
 
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": LINE_DEDUP}
+TOP_K = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank, vec_id, score
+FROM (
+    SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank
+    FROM (SELECT DISTINCT * FROM scored)
+)
+WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_topk": TOP_K, "op9_line_dedup": LINE_DEDUP}

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slugmend.llm.common import slices, temp_name, texts_of, words
+from slugmend.llm.common import map_arrow, slices, temp_name, texts_of, words
 from slugmend.sources.cuts import materialise
 
 
@@ -92,7 +92,7 @@ def frequent_lines(docs: DataFrame, rules: QualityRules) -> DataFrame:
     """One row per host that has any: ``host``, ``frequent`` (hashes of its lines above the limit)."""
     texts = docs.select(F.col("source").cast("string").alias("host"), "text")
     per_line = (
-        texts.mapInArrow(_emit_lines, "host string, line long, identity long")
+        texts.transform(map_arrow, _emit_lines, "host string, line long, identity long")
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -198,7 +198,7 @@ def line_quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataF
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _with_frequent(docs.select("doc_id", "text", "source"), "source", rules).select(
         "doc_id", "text", "frequent"
-    ).mapInArrow(run, f"doc_id {kind}, {_RESULT_DDL}")
+    ).transform(map_arrow, run, f"doc_id {kind}, {_RESULT_DDL}")
 
 
 def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -219,7 +219,7 @@ def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> D
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(keep)
 
     joined = _with_frequent(docs, "source", rules, frequent)
-    return joined.select(*columns, frequent).mapInArrow(run, docs.schema)
+    return joined.select(*columns, frequent).transform(map_arrow, run, docs.schema)
 
 
 def _with_frequent(docs: DataFrame, host: str, rules: QualityRules, name: str = "frequent") -> DataFrame:

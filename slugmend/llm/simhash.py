@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slugmend.llm.common import slices, temp_name, texts_of, words
+from slugmend.llm.common import map_arrow, slices, temp_name, texts_of, words
 from slugmend.llm.graph import components
 from slugmend.sources.cuts import materialise
 
@@ -80,8 +80,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, keep: list[st
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        lambda batches: _fingerprints(batches, shingle, ["doc_id"]), f"doc_id {kind}, fp long"
+    return docs.select("doc_id", "text").transform(
+        map_arrow, lambda batches: _fingerprints(batches, shingle, ["doc_id"]), f"doc_id {kind}, fp long"
     )
 
 
@@ -191,7 +191,7 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: i
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*columns, fp])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
-    rows = materialise(docs.mapInArrow(run, schema).withColumn(row_no, F.monotonically_increasing_id()), "printed")
+    rows = materialise(docs.transform(map_arrow, run, schema).withColumn(row_no, F.monotonically_increasing_id()), "printed")
     prints = rows.select(F.col(fp).alias("fp"), F.col("doc_id"), F.col(row_no).alias("row_no"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
     stay = materialise(

@@ -42,7 +42,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from slugmend.llm.common import slices, texts_of
+from slugmend.llm.common import map_arrow, slices, texts_of
 
 #: The library's mark for a space.
 MARK = "▁"
@@ -253,4 +253,4 @@ def count_documents(docs: DataFrame, model_path: str, limit: int = 4096) -> Data
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").transform(map_arrow, run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

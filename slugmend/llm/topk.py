@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slugmend.llm.common import map_arrow
 from slugmend.sources.cuts import materialise
 
 SCALE = 1024
@@ -95,7 +96,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def rotations(vectors: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
     """By dimension: the basis of right singular vectors, and how many coordinates are the head."""
-    rows = vectors.mapInArrow(_grams, "dim int, i int, row array<double>")
+    rows = vectors.transform(map_arrow, _grams, "dim int, i int, row array<double>")
     summed = (
         rows.select("dim", "i", F.posexplode("row").alias("j", "x")).groupBy("dim", "i", "j").agg(F.sum("x").alias("x")).collect()
     )
@@ -251,10 +252,10 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "embe
     chunks = (
         own.withColumn("length", length).repartitionByRange(parts, F.desc("length"), "vec_id")
         .sortWithinPartitions(F.desc("length"), "vec_id").select("vec_id", "dim", "v")
-        .mapInArrow(_pack(CHUNK), _BLOCK)
+        .transform(map_arrow, _pack(CHUNK), _BLOCK)
     )
     chunks = materialise(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
-    blocks = own.filter(F.col("vec_id") % every == 0).mapInArrow(_pack(QUERIES), _BLOCK).select(
+    blocks = own.filter(F.col("vec_id") % every == 0).transform(map_arrow, _pack(QUERIES), _BLOCK).select(
         F.monotonically_increasing_id().alias("block"), "dim", F.col("longest").alias("q_longest"),
         F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
     )
@@ -264,7 +265,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "embe
     first = chunks.join(F.broadcast(first), ["dim", "chunk"]).drop("longest")
     started = (
         blocks.join(F.broadcast(first), "dim")
-        .mapInArrow(_first_scores(turn, k), _FOUND + ", block long")
+        .transform(map_arrow, _first_scores(turn, k), _FOUND + ", block long")
     )
     started = materialise(started, "first-scores")
     per_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -274,7 +275,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "embe
     )
     ready = materialise(
         blocks.join(kth, "block", "left")
-        .mapInArrow(_thresholds(k), "block long, dim int, q_longest double, q_ids binary, q_vectors binary, low binary, floor double"),
+        .transform(map_arrow, _thresholds(k), "block long, dim int, q_longest double, q_ids binary, q_vectors binary, low binary, floor double"),
         "ready",
     )
     # Which chunk must meet which block: by lengths alone.
@@ -286,7 +287,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "embe
         .select("block", "chunk")
     )
     pairs = meets.join(ready.drop("q_longest", "floor"), "block").join(chunks.drop("dim", "longest"), "chunk")
-    found = pairs.mapInArrow(_search_blocks(turn, k), _FOUND)
+    found = pairs.transform(map_arrow, _search_blocks(turn, k), _FOUND)
     return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

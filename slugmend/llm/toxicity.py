@@ -19,6 +19,7 @@ curve fitted on the labelled sample turns it into a score from 0 to 1.
 *What is fitted on what.* Labels of rows whose ``crc32(doc_id) mod 5`` is 0 are
 never read. The classifier is fitted on a bounded sample of the others: the
 ``max_labelled`` labels with the smallest hash of their id, a documented limit;
+of its near copies (documents with the same smallest shingle hash) one counts;
 its terms are bounded by ``max_terms``. Both are small enough to send to every
 task. Every document's whole text is scored, in one map without a shuffle.
 
@@ -37,10 +38,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slugmend.llm.common import slices, texts_of
+from slugmend.llm.common import map_arrow, slices, texts_of
 from slugmend.sources.cuts import materialise
 
 CACHE_WORDS = 400_000
@@ -142,7 +144,27 @@ def _labelled(docs: DataFrame, labels: DataFrame, rules: ToxicityRules) -> DataF
         usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.max_labelled)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    found = found.transform(map_arrow, _families, "doc_id string, toxic int, text string, family long")
+    # Copies are one piece of evidence: of each family, the row with the smallest id.
+    return found.groupBy("family").agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r")).select("r.text", "r.toxic")
+
+
+def family(text: str) -> int:
+    """What copies and nearly all near copies have in common: the smallest hash of their five-word shingles."""
+    found = _WORD.findall(text.lower())
+    digest = xxhash.xxh64_intdigest
+    grams = map(" ".join, zip(*(found[i:] for i in range(5)), strict=False)) if len(found) > 5 else [" ".join(found)]
+    return min(map(digest, grams)) - (1 << 63)
+
+
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        texts = texts_of(batch)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.string()), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(family, texts)), pa.int64())],
+            names=["doc_id", "toxic", "text", "family"],
+        )
 
 
 def _emit_tokens(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[pa.RecordBatch]:
@@ -158,7 +180,7 @@ def _emit_tokens(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[pa.
 def term_scores(labelled: DataFrame, rules: ToxicityRules) -> DataFrame:
     """``token``, ``odds``, ``z``: log-odds with an informative Dirichlet prior, by documents that hold the token."""
     counts = materialise(
-        labelled.mapInArrow(lambda b: _emit_tokens(b, rules.prefix), "token string, toxic int")
+        labelled.transform(map_arrow, lambda b: _emit_tokens(b, rules.prefix), "token string, toxic int")
         .groupBy("token").agg(F.sum("toxic").alias("y1"), F.sum(1 - F.col("toxic")).alias("y0")),
         "token-counts",
     )
@@ -231,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules
                 names=["toxic", "n", "scores", "hits"],
             )
 
-    seen = labelled.mapInArrow(found, "toxic int, n long, scores array<double>, hits array<double>")
+    seen = labelled.transform(map_arrow, found, "toxic int, n long, scores array<double>, hits array<double>")
     seen = materialise(seen, "sample-scores")
     rows = [(r["toxic"], r["n"], r["scores"]) for r in seen.select("toxic", "n", "scores").collect()]
     toxic = sum(t for t, _, _ in rows)
@@ -270,6 +292,6 @@ def score_documents(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, score double, predicted int, passages array<struct<first: bigint, end: bigint, score: double>>"
+    return docs.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "text").transform(
+        map_arrow, run, f"doc_id {kind}, held_out boolean, score double, predicted int, passages array<struct<first: bigint, end: bigint, score: double>>"
     )
