@@ -4,8 +4,9 @@ Kiveris et al., "Connected Components in MapReduce and Beyond" (2014): each
 step reconnects every vertex's neighbours to the smallest of them, until the
 edge set is a star around the smallest vertex of each component. Edges live in
 tables written to the shared checkpoint folder; the driver sees one checksum
-a round. A star's hub is spread over tasks because only ``min`` is taken per
-vertex before the edges are re-keyed.
+a round. The smallest neighbours (a partial and a final ``min``) are written before
+they meet the edges, so both sides of that join are plain shuffles and AQE can
+split the hub of a large star.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     pairs = edges.select(F.col("u").alias("x"), F.col("v").alias("y"))
     if large:
         pairs = pairs.unionByName(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
-    lowest = pairs.groupBy("x").agg(F.min("y").alias("low"))
+    lowest = materialise(pairs.groupBy("x").agg(F.min("y").alias("low")), "lowest")
     low = F.least(F.col("x"), F.col("low"))
     joined = pairs.join(lowest, "x").select("x", "y", low.alias("m"))
     if large:  # the larger neighbours go to the smallest
