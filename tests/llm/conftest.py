@@ -2,9 +2,6 @@ from __future__ import annotations
 
 import pytest
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
-
 #: Odd rows every operator on documents must take: nulls, empty and long texts, repeats, ties.
 ODD_ROWS = [
     (1, "one two three four five six seven eight nine ten", "en", "b", 7),
@@ -41,8 +38,3 @@ def clashing_docs(odd_docs):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], ODD_SCHEMA)
-
-
-def rows(df):
-    """Rows as a sorted list of tuples; null sorts first."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is not None, str(x)) for x in r])

@@ -8,10 +8,9 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import byte_bpe
 from slugmend.llm.queries import BYTE_BPE, QUERIES

@@ -5,8 +5,7 @@ from __future__ import annotations
 import random
 import re
 
-from conftest import rows
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import line_dedup
 from slugmend.llm.queries import QUERIES

@@ -7,8 +7,7 @@ from collections import defaultdict
 from math import comb
 
 import pytest
-from conftest import rows
-from llm_rows import documents
+from llm_rows import documents, rows
 from pyspark.sql import functions as F
 
 from slugmend.llm import mixing

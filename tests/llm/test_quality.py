@@ -5,8 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from conftest import rows
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import quality
 from slugmend.llm.queries import QUERIES

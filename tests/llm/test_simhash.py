@@ -6,8 +6,7 @@ import random
 import re
 
 import xxhash
-from conftest import rows
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import simhash
 from slugmend.llm.queries import QUERIES

@@ -6,10 +6,9 @@ import random
 
 import pytest
 import sentencepiece
-from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import token_count
 from slugmend.llm.queries import PIECE_BPE, QUERIES

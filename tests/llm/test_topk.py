@@ -6,8 +6,7 @@ import math
 import random
 
 import pytest
-from conftest import rows
-from llm_rows import documents
+from llm_rows import documents, rows
 
 from slugmend.llm import topk
 from slugmend.llm.queries import QUERIES
