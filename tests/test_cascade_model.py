@@ -7,7 +7,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import SF_CHECK
+from data_dirs import SF_CHECK
 from model import replay
 
 from slugmend import schemas as S

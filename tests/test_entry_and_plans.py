@@ -6,7 +6,7 @@ import os
 import sys
 
 import pytest
-from conftest import SF_CHECK
+from data_dirs import SF_CHECK
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import diff, duck, duck_rows, spark_rows
-from conftest import SF_CHECK
+from data_dirs import SF_CHECK
 
 import __spark_entry__ as E
 from slugmend.plans import queries as Q

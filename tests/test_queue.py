@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import SF_CHECK
+from data_dirs import SF_CHECK
 from pyspark.sql import functions as F
 
 from slugmend.operators import queue
@@ -60,7 +60,7 @@ def test_expand_counts_spreads_large_counts(spark):
 
 
 def test_cascade_reads_a_counted_batch(spark):
-    from conftest import SF_SMALL
+    from data_dirs import SF_SMALL
 
     from slugmend.plans import correction
 

@@ -156,7 +156,7 @@ def test_only_a_missing_log_counts_as_no_log(spark, scratch):
 
 
 def test_correction_run_appends_to_the_log(spark, scratch):
-    from conftest import SF_SMALL
+    from data_dirs import SF_SMALL
 
     from slugmend.plans import correction
     from slugmend.sources import fixtures as fx
