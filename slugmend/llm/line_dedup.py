@@ -61,9 +61,8 @@ def _place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line_no`` (from 0), ``w`` (words) of every line."""
-    texts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return texts.select("doc_id", "line_no", _words(F.col("line")).alias("w"))
+    """``doc_id``, ``line_no`` (from 0), ``line`` of every line."""
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _halves() -> Column:
@@ -84,6 +83,7 @@ def _halves() -> Column:
 def _hashed_lines(docs: DataFrame, rules: LineRules) -> DataFrame:
     return (
         lines(docs)
+        .select("doc_id", "line_no", F.explode(F.array(_words(F.col("line")))).alias("w"))  # split once; see below
         .withColumn("n", F.size("w"))
         .filter(F.col("n") >= rules.min_words)
         .select(
@@ -171,7 +171,10 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     at_place = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
     # Rows that repeat an id have several lines at a place: the hash tells the one that is meant.
     fetched = (
+        # Lines are shuffled as they are, in less room than their words. The words come from
+        # a generator, behind which the filter stays: they are split once, for joined lines only.
         lines(docs).join(places, at_place)
+        .select("h", "n", "first", F.explode(F.array(_words(F.col("line")))).alias("w"))
         .filter((F.size("w") == F.col("n")) & (F.xxhash64("w", F.lit(1)) == F.col("h")))
         .groupBy("h", "n", "first").agg(F.any_value("w").alias("w"))
     )
