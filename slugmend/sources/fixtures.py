@@ -81,7 +81,8 @@ def _hard_products(spark: SparkSession, data_dir: str) -> DataFrame:
     # Non-numeric SKUs whose products share one link: one slug and one path for all of them.
     hot = read_table(spark, data_dir, "part").filter(p % GROUP_EVERY == 7).select(
         p.alias("p"), F.lit(10).alias("place"), (F.lit(HOT_BASE) + p).cast("bigint").alias("product_id"),
-        F.concat(F.lit("w"), p.cast("string")).alias("sku_id"), F.lit("Muito Pedido").alias("link_id"),
+        F.concat(F.lit("w"), p.cast("string")).alias("sku_id"),
+        F.when(p > 0, F.lit("Muito Pedido")).alias("link_id"),  # no constant: joins on it stay joins on a key
         F.lit(True).alias("is_active"),
     )
     return hard.unionByName(hot)
