@@ -7,16 +7,18 @@ removed wherever it stands, and a document that loses most of its words that
 way (or fails the base rules) is rejected.
 
 *Distinct documents.* Copies of one document are not evidence of boilerplate:
-a document is identified, for one of its lines, by the smallest hash among its
-other lines. Exact copies (and repeated rows) then count once, and near copies
-nearly so, while a footer under unrelated texts counts once per text. A line
-that is the whole of its documents counts once.
+a document is identified by the hash of its set of lines. Copies (and repeated
+rows) then count once, whatever the order, case, spacing and numbers of their
+lines, while lines under unrelated texts count once per text, alone or in
+blocks of any length. Texts that differ in a line count as two, so near copies
+count. A line that is the whole of its documents counts once.
 
 *Limit.* A line is above the limit of its host if it is in more than
-``max(min_docs, max_share * documents of the host)`` distinct documents.
+``max(min_docs, max_share * documents of the host)`` distinct documents; the host's
+documents are counted by the same identity.
 
-Shape of the job: one map over the texts emits 24 bytes per distinct line of a
-document; a distinct and a count, both combined map-side, give the lines above
+Shape of the job: one map over the texts emits 24 bytes per document and per
+distinct line of it; a distinct and a count, both combined map-side, give the lines above
 the limits. At most ``lines / (max_share * documents)`` lines of a host can be
 above, so they fit one array per host. That table is written and joined back
 by host: Spark broadcasts it only if the written size is below the session's
@@ -65,23 +67,20 @@ def line_hash(line: str) -> int | None:
     return xxhash.xxh64_intdigest(normal, 0) - (1 << 63) if normal else None
 
 
-def _identified_lines(text: str) -> list[tuple[int, int]]:
-    """(line hash, identity of the document without that line), once per distinct line."""
-    lines = {h for x in text.split("\n") if (h := line_hash(x)) is not None}
-    low = sorted(lines)[:2]
-    first = low[0] if lines else 0
-    second = low[1] if len(lines) > 1 else 0
-    return [(h, second if h == first else first) for h in lines]
+def _identified_lines(text: str) -> tuple[list[int], int]:
+    """The hashes of the distinct lines, and the identity of the document."""
+    lines = sorted({h for x in text.split("\n") if (h := line_hash(x)) is not None})
+    return lines, xxhash.xxh64_intdigest(np.array(lines, dtype="<i8").tobytes()) - (1 << 63)
 
 
 def _emit_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         host, line, identity = [], [], []
         for s, text in zip(batch.column("host").to_pylist(), texts_of(batch), strict=True):
-            for h, i in _identified_lines(text):
-                host.append(s)
-                line.append(h)
-                identity.append(i)
+            found, own = _identified_lines(text)
+            host.extend([s] * (len(found) + 1))
+            line.extend([*found, None])  # no line: counts the host's documents
+            identity.extend([own] * (len(found) + 1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(host, pa.string()), pa.array(line, pa.int64()), pa.array(identity, pa.int64())],
             names=["host", "line", "identity"],
@@ -91,16 +90,18 @@ def _emit_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent_lines(docs: DataFrame, rules: QualityRules) -> DataFrame:
     """One row per host that has any: ``host``, ``frequent`` (hashes of its lines above the limit)."""
     texts = docs.select(F.col("source").cast("string").alias("host"), "text")
-    per_line = (
+    counts = (
         texts.transform(map_arrow, _emit_lines, "host string, line long, identity long")
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > rules.min_docs)
+        .filter((F.col("n") > rules.min_docs) | F.col("line").isNull())
     )
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
+    counts = materialise(counts, "line-counts")
+    per_line = counts.filter(F.col("line").isNotNull())
+    hosts = counts.filter(F.col("line").isNull()).select(F.col("host").alias("of_host"), F.col("n").alias("docs"))
     return (
-        per_line.join(hosts.withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host")))
+        per_line.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
         .filter(F.col("n") > F.lit(rules.max_share) * F.col("docs"))
         .groupBy("host")
         .agg(F.sort_array(F.collect_list("line")).alias("frequent"))

@@ -94,3 +94,17 @@ def test_filter_keeps_columns(clashing_docs):
     out = quality.filter_documents(clashing_docs)
     assert out.schema == clashing_docs.schema
     out.collect()
+
+
+def test_blocks_of_boilerplate(spark):
+    """A block of 20 lines under 100 unrelated texts of one to three lines; copies, reordered too, count once."""
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    own = lambda i: "\n".join(f"own {letters(i)} line {letters(k)}" for k in range(1 + i % 3))
+    block = [f"block line {letters(k)}" for k in range(20)]
+    data = [(i, f"{own(i)}\n" + "\n".join(block), "h") for i in range(100)]
+    data += [(1000 + i, f"{own(1000 + i)}\nfoot {letters(i % 20)}", "h") for i in range(400)]
+    copied = ["copied one", "copied two", "copied three"]
+    data += [(5000 + i, "\n".join(copied[:: 1 if i % 2 else -1]).upper(), "h") for i in range(9000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    (row,) = quality.frequent_lines(df, quality.QualityRules(min_docs=50)).collect()
+    assert set(row.frequent) == {quality.line_hash(x) for x in block}
