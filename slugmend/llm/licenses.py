@@ -8,8 +8,16 @@ template on neighbouring diagonals (position in the text less position in the
 template) are one candidate; a candidate with enough of the template's
 fingerprints is aligned, word by word, within a band around its diagonals
 (Smith and Waterman). Reported are the template's words that match, their
-share (``coverage``), and the span in the text. Alignments below
-``MIN_COVERAGE`` and those inside a longer one are left out.
+share (``coverage``: of the template's words, or of the span's if there are more,
+so that inserted words count against the match), and the span in the text.
+Alignments below ``MIN_COVERAGE`` are left out, and those inside a better fitting
+one.
+
+Licenses of one family differ in single words. These *marks* (version numbers,
+Affero, Lesser, NonCommercial, ShareAlike, NoDerivatives and their short forms)
+must be the same in a template and its span: a notice without its version, or with
+another, is not reported as the one of the template. Only where no other license
+has the same words may a notice of ``LONG`` words have lost a mark to damage.
 
 The templates are a fixed list, a few kilobytes, sent with the function; one
 map over the texts, no shuffle. A template is looked for wherever it stands,
@@ -37,6 +45,8 @@ from slugmend.llm.common import map_arrow, slices, texts_of
 GRAM = 3
 WINDOW = 4
 MIN_COVERAGE = 0.8
+#: Templates of as many words may miss a mark in the text, if they are the only ones of their words.
+LONG = 30
 #: Share of a template's fingerprints that makes a candidate.
 MIN_HITS = 0.2
 
@@ -61,6 +71,10 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-4.0/line": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0/line": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0/line": "Licensed under CC BY-SA 4.0",
+    "EPL-1.0/notice": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html""",
+    "EPL-2.0/notice": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
     "CC0-1.0/line": "To the extent possible under law, the author has waived all copyright and related rights to this work",
     "GPL-3.0/line": "This work is licensed under the GNU General Public License, version 3",
     "GPL-3.0/notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
@@ -83,9 +97,60 @@ TEMPLATES: dict[str, str] = {
     "Proprietary/line": "All rights reserved",
     "Unlicense/line": "This is free and unencumbered software released into the public domain",
 }
+_DISCLAIMER = """ IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+    SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+    LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+    STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+    ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+# The whole texts beside their first parts, which are also found alone.
+TEMPLATES["BSD-3-Clause/whole"] = TEMPLATES["BSD-3-Clause/text"] + _DISCLAIMER
+TEMPLATES["BSD-2-Clause/whole"] = re.sub(
+    r"3\. Neither the name.*?written\s+permission\. ", "", TEMPLATES["BSD-3-Clause/whole"], flags=re.S
+)
+TEMPLATES["MIT/whole"] = TEMPLATES["MIT/text"] + """ IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+    DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH
+    THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+TEMPLATES["ISC/whole"] = TEMPLATES["ISC/text"] + """ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+    REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE
+    LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
+    OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+    USE OR PERFORMANCE OF THIS SOFTWARE."""
+for _kind, _versions in {"": "2 3", "Lesser": "2.1 3", "Affero": "3", "Library": "2"}.items():
+    for _v in _versions.split():
+        _name = f"{ {'': '', 'Lesser': 'L', 'Affero': 'A', 'Library': 'L'}[_kind]}GPL-{_v}{'' if '.' in _v else '.0'}"
+        for _form, _said in (("line", TEMPLATES["GPL-3.0/line"]), ("notice", TEMPLATES["GPL-3.0/notice"])):
+            _said = re.sub(r"General\s+Public", f"{_kind} General Public", _said).replace("version 3", f"version {_v}")
+            TEMPLATES.setdefault(f"{_name}/{_form}", _said)
+for _terms in ("", "-NonCommercial", "-ShareAlike", "-NoDerivatives", "-NonCommercial-ShareAlike", "-NonCommercial-NoDerivatives"):
+    _short = _terms.replace("NonCommercial", "NC").replace("ShareAlike", "SA").replace("NoDerivatives", "ND")
+    for _v, _where in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+        _long = f"This work is licensed under a Creative Commons Attribution{_terms} {_v} {_where} License"
+        for _form, _said in (("long", _long), ("short", f"Licensed under CC BY{_short} {_v}")):
+            if _said not in TEMPLATES.values():
+                TEMPLATES[f"CC-BY{_short}-{_v}/{_form}"] = _said
 
 _WORD = re.compile(r"\w+")
 
+# Words that tell licenses of one family apart, short forms as the long ones.
+_MARKS = {
+    "affero": "affero", "lesser": "lesser", "library": "library", "noncommercial": "nc", "nc": "nc", "sharealike": "sa", "sa": "sa",
+    "noderivatives": "nd", "noderivs": "nd", "nd": "nd",
+}
+_BEFORE_VERSION = frozenset("version v by attribution license cc".split()) | set(_MARKS)
+_VERSION = re.compile(r"v?([0-9]+)$")
+
+
+def marks(found: list[str]) -> frozenset[str]:
+    """Versions (without .0 at the end) and words that tell licenses apart."""
+    said = set()
+    for i, w in enumerate(found):
+        if w in _MARKS and (w != "library" or found[i + 1 : i + 2] == ["general"]):
+            said.add(_MARKS[w])
+        if i and found[i - 1] in _BEFORE_VERSION and (m := _VERSION.match(w)):
+            second = found[i + 1] if found[i + 1 : i + 2] and found[i + 1].isdecimal() else "0"
+            said.add(m[1] if second == "0" else f"{m[1]}.{second}")
+    return frozenset(said)
+
 
 def split_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
@@ -107,6 +172,12 @@ class Index:
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
         self.words = [split_words(templates[n]) for n in self.names]
+        self.marks = [marks(w) for w in self.words]
+        plain = [tuple(w for w in found if w not in _MARKS and not _VERSION.match(w)) for found in self.words]
+        family: dict[tuple[str, ...], set[str]] = defaultdict(set)
+        for name, found in zip(self.names, plain, strict=True):
+            family[found].add(name.split("/")[0])
+        self.lenient = [len(family[p]) == 1 and len(w) >= LONG for p, w in zip(plain, self.words, strict=True)]
         self.numbers: dict[str, int] = {}
         for found in self.words:
             for w in found:
@@ -183,6 +254,14 @@ class Index:
             before = now
         return (best[1], left + best[2], left + end) if best[1] else None
 
+    def coverage(self, matched: int, first: int, end: int, t: int) -> float:
+        return matched / max(len(self.ids[t]), end - first)
+
+    def agrees(self, span: list[str], t: int) -> bool:
+        """Whether the marks of a span are those of the template."""
+        said = marks(span)
+        return said == self.marks[t] or self.lenient[t] and said < self.marks[t]
+
     def scan(self, text: str) -> list[dict]:
         """Matches of a text, in order of place."""
         found = split_words(text)
@@ -191,11 +270,11 @@ class Index:
         rows = []
         for t, low, high in self.candidates(ids):
             aligned = self.align(ids, t, low, high)
-            if aligned and aligned[0] >= MIN_COVERAGE * len(self.ids[t]):
+            if aligned and self.coverage(*aligned, t) >= MIN_COVERAGE and self.agrees(found[aligned[1] : aligned[2]], t):
                 rows.append((aligned[0], aligned[1], aligned[2], t))
         if not rows:
             return []
-        rows.sort(key=lambda r: (-r[0], r[1], r[3]))
+        rows.sort(key=lambda r: (-r[0], -self.coverage(*r), r[1], r[3]))
         kept: list[tuple[int, int, int, int]] = []
         for r in rows:
             if not any(a <= r[1] and r[2] <= b for _, a, b, _ in kept):
@@ -204,7 +283,7 @@ class Index:
         return [
             {
                 "license": self.names[t].split("/")[0], "template": self.names[t], "matched_words": k,
-                "template_words": len(self.ids[t]), "coverage": k / len(self.ids[t]), "first_word": a, "end_word": b,
+                "template_words": len(self.ids[t]), "coverage": self.coverage(k, a, b, t), "first_word": a, "end_word": b,
                 "first_char": spans[a][0] if spans else None, "end_char": spans[b - 1][1] if spans else None,
             }
             for k, a, b, t in sorted(kept, key=lambda r: (r[1], r[3]))

@@ -69,3 +69,31 @@ def test_odd_rows(odd_docs, clashing_docs, no_docs):
     one = odd_docs.limit(1).selectExpr("cast(null as long) as doc_id", "'All rights reserved' as text")
     (row,) = licenses.scan_documents(one).collect()
     assert row.doc_id is None and row.license == "Proprietary"
+
+
+def names(text):
+    return [r["license"] for r in INDEX.scan(f"some words before {text} and some after")]
+
+
+def test_licenses_of_one_family():
+    cc = "This work is licensed under a Creative Commons Attribution{} {} License"
+    assert names(cc.format("-NonCommercial", "4.0 International")) == ["CC-BY-NC-4.0"]
+    assert names(cc.format("-NonCommercial-NoDerivatives", "4.0 International")) == ["CC-BY-NC-ND-4.0"]
+    assert names(cc.format("-ShareAlike", "3.0 Unported")) == ["CC-BY-SA-3.0"] and names("licensed under CC BY 2.5") == ["CC-BY-2.5"]
+    line = "This work is licensed under the GNU {}General Public License, version {}"
+    for kind, version, name in (("Affero ", "3", "AGPL-3.0"), ("", "2", "GPL-2.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("", "3", "GPL-3.0")):
+        assert names(line.format(kind, version)) == [name]
+        notice = licenses.TEMPLATES["GPL-3.0/notice"].replace("version 3", f"version {version}")
+        for gnu in ("General\n        Public", "General Public"):
+            notice = notice.replace(gnu, f"{kind}General Public")
+        assert names(notice) == [name]
+    assert names(line.format("", "7")) == [] and names("This work is licensed under the GNU General Public License") == []
+    assert names(line.format("", "3.0")) == ["GPL-3.0"]
+    bsd = licenses.TEMPLATES["BSD-3-Clause/whole"]
+    assert names(bsd) == ["BSD-3-Clause"] and names(licenses.TEMPLATES["BSD-2-Clause/whole"]) == ["BSD-2-Clause"]
+
+
+def test_whole_text_is_the_span():
+    for name in ("MIT", "ISC", "BSD-3-Clause"):
+        (row,) = INDEX.scan(licenses.TEMPLATES[f"{name}/whole"])
+        assert row["template"] == f"{name}/whole" and (row["first_word"], row["end_word"]) == (0, row["template_words"])
