@@ -17,7 +17,8 @@ Variants are hashed keys: two lines are near-equal exactly if
 * one line is a variant of the other (a word left out or added).
 
 Within a key nothing is paired: each line needs the earliest place among the
-key's lines only, which is a minimum, however many lines share the key.
+key's lines only, which is a minimum, however many lines share the key. Minima
+are combined map-side first and joined back to the lines.
 The earliest partner found is then verified word by word on the texts.
 
 Cost. Equal lines are counted once, map-side first. Before variants are made,
@@ -106,45 +107,49 @@ def _suspects(distinct: DataFrame) -> DataFrame:
 
 
 def _variants(suspects: DataFrame) -> DataFrame:
-    """``h``, ``n``, ``first``, ``at`` (deleted word, null: none), ``key``, ``length`` of every variant of every line.
+    """``h``, ``n``, ``at`` (deleted word, null: none), ``key``, ``length`` of every variant of every line.
 
     The hash of a word sequence is the XOR of its words' hashes, each bound to its
     position. Deleting word i keeps the terms before it and moves those behind it
     one position down.
     """
     terms = suspects.select(
-        "h", "n", "first", F.posexplode("w").alias("at", "word")
+        "h", "n", F.posexplode("w").alias("at", "word")
     ).select(
-        "h", "n", "first", "at", F.xxhash64("word", "at").alias("here"), F.xxhash64("word", F.col("at") - 1).alias("down")
+        "h", "n", "at", F.xxhash64("word", "at").alias("here"), F.xxhash64("word", F.col("at") - 1).alias("down")
     )
     line = Window.partitionBy("h", "n")
     upto = line.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     behind = F.bit_xor("down").over(line).bitwiseXOR(F.bit_xor("down").over(upto))
     before = F.bit_xor("here").over(upto).bitwiseXOR(F.col("here"))
     deleted = terms.select(
-        "h", "n", "first", "at", before.bitwiseXOR(behind).alias("key"), (F.col("n") - 1).alias("length")
+        "h", "n", "at", before.bitwiseXOR(behind).alias("key"), (F.col("n") - 1).alias("length")
     )
-    whole = terms.groupBy("h", "n", "first").agg(F.bit_xor("here").alias("key")).select(
-        "h", "n", "first", F.lit(None).cast("int").alias("at"), "key", F.col("n").alias("length")
+    whole = terms.groupBy("h", "n").agg(F.bit_xor("here").alias("key")).select(
+        "h", "n", F.lit(None).cast("int").alias("at"), "key", F.col("n").alias("length")
     )
     return deleted.unionByName(whole)
 
 
-def _earlier(variants: DataFrame, rules: LineRules) -> DataFrame:
+def _earlier(variants: DataFrame, firsts: DataFrame, rules: LineRules) -> DataFrame:
     """Of each line that has one, an earlier near-equal line: ``h``, ``n``, ``near`` (its place), and where they differ."""
-    both_edit = F.col("n") >= rules.edit_words
-    variants = variants.filter(both_edit)
-    key = Window.partitionBy("key", "length")
-    same_place = Window.partitionBy("key", "length", "at")
+    # Minima are aggregated before they are shuffled and joined back, so that a key of very many lines is never in one task.
     deleted, whole = F.col("at").isNotNull(), F.col("at").isNull()
-    entry = F.struct("first", "at")
-    partner = F.when(
-        deleted,
-        F.least(  # a changed word; or the line that is left when the word goes
-            F.min(F.struct("first", F.col("at"))).over(same_place),
-            F.min(F.when(whole, F.struct("first", F.col("at")))).over(key),
-        ),
-    ).otherwise(F.min(F.when(deleted, entry)).over(key))
+    differ = F.col("lo") < F.col("hi")
+    variants = variants.filter(F.col("n") >= rules.edit_words)
+    variants = materialise(variants.select("h", "n", "at", F.xxhash64("key", "length").alias("key")), "variants")
+    shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > 1).select("key")
+    met = variants.join(materialise(shared, "shared-variants"), "key", "left_semi")
+    variants = materialise(met.join(firsts.select("h", "n", "first"), ["h", "n"]), "met-variants")
+    by_place = variants.filter(deleted).groupBy("key", "at").agg(F.min("first").alias("lo"), F.max("first").alias("hi"))
+    by_place = materialise(by_place.filter(differ).select("key", "at", F.struct(F.col("lo").alias("first"), "at").alias("changed")), "place-minima")
+    by_key = variants.groupBy("key").agg(
+        F.min(F.when(whole, F.struct("first", "at"))).alias("whole"), F.min(F.when(deleted, F.struct("first", "at"))).alias("deleted")
+    )
+    by_key = materialise(by_key.filter(F.col("whole").isNotNull() & F.col("deleted").isNotNull()), "key-minima")
+    # A changed word; or the line that is left when the word goes.
+    partner = F.when(deleted, F.least(F.col("changed"), F.col("whole"))).otherwise(F.col("deleted"))
+    variants = variants.join(by_place, ["key", "at"], "left").join(by_key, "key", "left")
     found = variants.select("h", "n", "first", "at", partner.alias("p")).filter(F.col("p.first") < F.col("first"))
     return found.groupBy("h", "n", "first").agg(
         F.min(F.struct(F.col("p.first").alias("near"), F.col("at").alias("own_at"), F.col("p.at").alias("near_at"))).alias("m")
@@ -179,7 +184,7 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         .groupBy("h", "n", "first").agg(F.any_value("w").alias("w"))
     )
     fetched = materialise(fetched, "suspect-words")
-    found = materialise(_earlier(_variants(fetched), rules), "near-lines")
+    found = materialise(_earlier(_variants(fetched), fetched, rules), "near-lines")
     own = found.join(fetched.select("h", "n", "w"), ["h", "n"])
     verified = own.join(
         fetched.select(F.col("first").alias("near"), F.col("w").alias("near_w")), "near"
