@@ -90,19 +90,3 @@ def test_drop_lines(odd_docs, clashing_docs):
     assert got[6][0].text == "\nshort line" and got[6][0].n_chars == 11  # near-equal line
     assert got[10][0].text == "alpha beta gamma delta epsilon zeta eta theta"
     assert len(got[7]) == 1 and len(got[8]) == 1
-
-
-def test_lines_of_one_form(spark):
-    """Very many lines with one word varying: the earliest goes to all, and no window gathers them in one task."""
-    line = "posted by {} on the first page of the local news"
-    data = [(i, line.format(f"name{i}")) for i in range(3000)] + [(5000, line.format("").replace("  ", " "))]
-    df = spark.createDataFrame(data, "doc_id long, text string")
-    got = {r.doc_id: (r.kept, r.near_doc_id) for r in line_dedup.decide_lines(df).collect()}
-    assert got == {0: (True, None)} | {i: (False, 0) for i, _ in data[1:]}
-    variants = spark.createDataFrame([(i, 9, 2, 7, 8) for i in range(50)], "h long, n int, at int, key long, length int")
-    firsts = spark.createDataFrame(
-        [(i, 9, (False, i, 0)) for i in range(50)], "h long, n int, first struct<last: boolean, doc_id: long, line_no: int>"
-    )
-    found = line_dedup._earlier(variants, firsts, line_dedup.LineRules())
-    assert {r.near.doc_id for r in found.collect()} == {0} and found.count() == 49
-    assert "Window" not in found._jdf.queryExecution().toString()
