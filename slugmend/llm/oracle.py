@@ -65,4 +65,50 @@ FROM (
 WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_topk": TOP_K, "op9_line_dedup": LINE_DEDUP}
+# Phrases of one to five words; lists of words compare by value.
+COLLOCATIONS = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+words AS (
+    SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+phrases AS (
+    SELECT lang, w[i:i + m - 1] AS p, m, count(*) AS f
+    FROM (
+        SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM words, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m
+    ) GROUP BY ALL HAVING count(*) >= 100
+),
+inside AS (
+    SELECT lang, p[1:m - 1] AS p, f FROM phrases WHERE m > 2
+    UNION ALL
+    SELECT lang, p[2:], f FROM phrases WHERE m > 2
+),
+candidates AS (
+    SELECT * FROM phrases c
+    WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.p = c.p AND 100 * i.f >= 100 * c.f)
+),
+cuts AS (SELECT lang, p, m, f, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+    SELECT c.lang, c.p, c.f AS a, c.k, x.f AS l, y.f AS r, n,
+           ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c
+    JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+    JOIN phrases y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+    JOIN totals t ON t.lang = c.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT * FROM (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+           array_to_string(p, ' ') AS phrase, a, l, r, n, score
+    FROM lowest
+)
+WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_topk": TOP_K, "op9_line_dedup": LINE_DEDUP, "op11_collocations": COLLOCATIONS}

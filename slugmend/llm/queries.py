@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slugmend.llm import (
     byte_bpe,
+    collocations,
     html_extract,
     licenses,
     line_dedup,
@@ -67,6 +68,10 @@ def op10_licenses(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan_documents(table(spark, d, "documents"))
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_rules": op2_quality_rules,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_licenses": op10_licenses,
+    "op11_collocations": op11_collocations,
 }
