@@ -111,4 +111,65 @@ SELECT * FROM (
 WHERE rank <= 2000
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_topk": TOP_K, "op9_line_dedup": LINE_DEDUP, "op11_collocations": COLLOCATIONS}
+# The checksum goes bit by bit: a byte is taken in, then the sum is shifted eight times (-1).
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents
+    ) GROUP BY doc_id, run
+),
+bytes AS (SELECT run, n, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS b FROM runs),
+sums AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(
+            range(1, len(b), 2), lambda i: [('0x' || b[i:i + 1])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) AS h
+    FROM bytes
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN run[1:(h % len(run))] || run[(h % len(run)) + 2:] ELSE run END AS word, n FROM sums
+    )
+    WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+skips AS (
+    SELECT word, n, word[i + 2:] || '$' || word[1:i] AS key, i = 0 OR word[i:i] <> word[i + 1:i + 1] AS first
+    FROM (SELECT word, n, unnest(range(0, len(word))) AS i FROM words)
+),
+wholes AS (
+    SELECT word, n, word[i + 1:] || '$' || word[1:i] AS key
+    FROM (SELECT word, n, unnest(range(0, len(word) + 1)) AS i FROM words)
+),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM skips a JOIN skips b ON a.key = b.key AND a.word <> b.word
+    UNION ALL
+    SELECT a.word, b.word, b.n FROM skips a JOIN wholes b ON a.key = b.key AND a.first
+    UNION ALL
+    SELECT b.word, a.word, a.n FROM skips a JOIN wholes b ON a.key = b.key AND a.first
+),
+counted AS (SELECT word, count(DISTINCT other) AS n_near FROM near GROUP BY word),
+best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN counted c ON c.word = w.word LEFT JOIN best b ON b.word = w.word
+),
+ways AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL
+    SELECT ways.word, ways.next, forms.form FROM ways JOIN forms ON forms.word = ways.next
+)
+SELECT f.word, f.form, y.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN ways y ON y.word = f.word AND y.next IS NULL
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_topk": TOP_K,
+    "op9_line_dedup": LINE_DEDUP,
+    "op11_collocations": COLLOCATIONS,
+    "op13_spelling": SPELLING,
+}

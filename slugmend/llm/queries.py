@@ -16,6 +16,7 @@ from slugmend.llm import (
     mixing,
     quality,
     simhash,
+    spelling,
     token_count,
     topk,
     toxicity,
@@ -72,6 +73,10 @@ def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, d, "documents"))
 
 
+def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.group_variants(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_rules": op2_quality_rules,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_licenses": op10_licenses,
     "op11_collocations": op11_collocations,
+    "op13_spelling": op13_spelling,
 }
