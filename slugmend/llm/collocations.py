@@ -16,15 +16,18 @@ Method (after ERA, "elastic range" suffix trees):
    frequent one. A suffix is cut off where its next pair of words is infrequent,
    as no candidate can go on there.
 2. *Vertical partitioning.* A group takes word prefixes with about ``group_load``
-   occurrences (never more than ``max_groups`` groups: the load grows with the
-   corpus). A word above the load is extended to prefixes of two words, a pair
-   above it to three; there are at most ``max_groups`` of either, so the driver may
-   hold them. The other prefixes are dealt to groups by hash.
+   occurrences, the memory budget. A word above it is extended to prefixes of two
+   words, a pair above it to three. Prefixes are dealt to groups by hash, and which
+   are extended is a bit filter too, so nothing here grows with the vocabulary.
 3. *Subtrees.* Suffixes of at most ``max_words`` words, equal ones added up in the
-   map tasks, go to their group, are sorted there and read in order, which walks
-   the group's subtree depth first: a node's count is the sum of its leaves'. Only
-   the path to the current leaf is in memory, whatever the size of the group. A node
-   above its group's prefix has leaves in several groups, and its parts are added.
+   map tasks, go to their group in blocks, one block of a map task for each group.
+   There they are sorted, which is the subtree in depth-first order, and a node's
+   count is the sum of its leaves'. A node above its group's prefix has leaves in
+   several groups, and its parts are added.
+
+In steps 2 and 3 a word is its 64-bit hash (of language and word). Hashes of the
+frequent words are checked to differ, and drawn anew with another salt if two
+should meet; phrases are put back into words by a join when they are known.
 
 Counts of parts of candidates are joined to them by phrase; sorted input, filters
 and joins are written tables, so a lost executor costs one stage. A phrase lies in a
@@ -43,11 +46,13 @@ from __future__ import annotations
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,8 +73,8 @@ class PhraseRules:
     min_count: int = 100
     top: int = 2000
     filter_bits: int = 25  #: 4 MB a filter
-    group_load: int = 1 << 16  #: occurrences of a group's prefixes
-    max_groups: int = 8192
+    part_bits: int = 10  #: pairs are added up in 2^part_bits parts
+    group_load: int = 1 << 20  #: occurrences of a group's prefixes
     buffer_words: int = 1 << 21  #: words whose suffixes a map task adds up at a time
 
 
@@ -111,10 +116,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[byte
     yield from handed()
 
 
-def _hashes(lang: bytes, words: list[bytes]) -> np.ndarray:
-    """As ``xxhash64(concat_ws(' ', lang, word))`` of Spark."""
-    start = lang + b" "
-    return np.array([xxhash.xxh64_intdigest(start + w, 42) for w in words], dtype=np.uint64)
+def _hashes(lang: bytes, words: list[bytes], salt: int) -> np.ndarray:
+    """As :func:`_hash_column` has them; never 0."""
+    start = b"%d %s " % (salt, lang)
+    return np.array([xxhash.xxh64_intdigest(start + w, 42) or 1 for w in words], dtype=np.uint64)
+
+
+def _hash_column(salt: int) -> Column:
+    h = F.xxhash64(F.concat_ws(" ", F.lit(str(salt)), "lang", "word"))
+    return F.when(h == 0, F.lit(1).cast("long")).otherwise(h)
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -176,118 +186,149 @@ class Filter:
         return (self.packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _marked(lang: bytes, words: list[bytes], ids: np.ndarray, frequent: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words' hashes, the ids with 0 for infrequent words, and the places where both of two words are frequent."""
-    hashes = _hashes(lang, words)
-    allowed = frequent(hashes)
+@dataclass(frozen=True)
+class Partition:
+    """What map tasks need of the prefix counts: bit filters of a fixed size."""
+
+    salt: int
+    frequent: Filter
+    pairs: Filter | None = None
+    large: Filter | None = None
+    groups: int = 1
+
+
+def _marked(block: tuple[bytes, list[bytes], np.ndarray], known: Partition) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of the block in text order, 0 for infrequent ones and piece ends,
+    and the places where it and the next one are frequent."""
+    lang, words, ids = block
+    hashes = _hashes(lang, words, known.salt)
+    allowed = known.frequent(hashes)
     allowed[0] = False
-    marked = np.where(allowed[ids], ids, 0)
-    return hashes, marked, np.flatnonzero((marked[:-1] > 0) & (marked[1:] > 0))
+    marked = np.where(allowed, hashes, np.uint64(0))[ids]
+    return marked, np.flatnonzero((marked[:-1] > 0) & (marked[1:] > 0))
 
 
-def pair_counts(texts: DataFrame, frequent: Callable[[], Filter], rules: PhraseRules) -> DataFrame:
-    """``bucket``, ``f``: occurrences of pairs of words, by the first bits of their hash; frequent ones only."""
+def _added(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows of a matrix of words as one, sorted, and their number."""
+    order = np.lexsort(keys.T[::-1])
+    keys = keys[order]
+    first = _starts(keys, keys.shape[1])
+    if counts is None:
+        return keys[first], np.diff(np.append(first, len(keys)))
+    return keys[first], np.add.reduceat(counts[order], first)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, ids in _blocks(batches, rules.buffer_words):
-            hashes, marked, at = _marked(lang, words, ids, frequent())
-            pairs, counts = np.unique(marked[at].astype(np.int64) << 32 | marked[at + 1], return_counts=True)
-            bucket = _mix(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]) >> np.uint64(64 - rules.filter_bits)
-            yield from _batches(["bucket", "f"], [pa.array(bucket.astype(np.int64)), pa.array(counts.astype(np.int64))])
 
-    found = texts.transform(map_arrow, run, "bucket long, f long")
-    return found.groupBy("bucket").agg(F.sum("f").alias("f")).filter(F.col("f") >= rules.min_count)
+def _starts(rows: np.ndarray, depth: int) -> np.ndarray:
+    """Where the first ``depth`` columns of sorted rows change."""
+    return np.flatnonzero(np.concatenate([[True], (rows[1:, :depth] != rows[:-1, :depth]).any(axis=1)]))
 
 
-def _suffixes(
-    block: tuple[bytes, list[bytes], np.ndarray], frequent: Filter, pairs: Filter, large: Filter, groups: int, rules: PhraseRules
-) -> Iterator[pa.RecordBatch]:
-    """The block's truncated suffixes with their number, group and the length of the group's prefix."""
-    lang, words, ids = block
-    hashes, marked, at = _marked(lang, words, ids, frequent)
-    follows = np.zeros(len(ids) + rules.max_words, dtype=bool)
-    follows[at] = pairs(_mix(hashes[marked[at]], hashes[marked[at + 1]]))
+def pair_counts(texts: DataFrame, known: Broadcast, rules: PhraseRules) -> DataFrame:
+    """``bucket``, ``f``: occurrences of pairs of words, by the first bits of their hash; frequent ones only.
+
+    A map task sends a part its buckets and counts in one row; a part is an array of counters.
+    """
+    low = max(rules.filter_bits - rules.part_bits, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, rules.buffer_words):
+            marked, at = _marked(block, known.value)
+            bucket = (_mix(marked[at], marked[at + 1]) >> np.uint64(64 - rules.filter_bits)).astype(np.uint32)
+            bucket, counts = np.unique(bucket, return_counts=True)
+            part, bucket, counts = bucket >> np.uint32(low), bucket & np.uint32((1 << low) - 1), counts.astype(np.uint32)
+            yield _sent("part", part, lambda at, b=bucket, c=counts: b[at].tobytes() + c[at].tobytes())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sent in _grouped(batches, "part"):
+            total = np.zeros(1 << low, dtype=np.int64)
+            for block in sent:
+                bucket, counts = np.frombuffer(block, dtype=np.uint32).reshape(2, -1)
+                total[bucket] += counts  # no bucket stands twice in a block
+            found = np.flatnonzero(total >= rules.min_count)
+            yield pa.RecordBatch.from_arrays([pa.array(found + (part << low)), pa.array(total[found])], names=["bucket", "f"])
+
+    sent = texts.transform(map_arrow, run, "part long, sent binary")
+    return sent.repartition("part").sortWithinPartitions("part").transform(map_arrow, add, "bucket long, f long")
+
+
+def _sent(name: str, keys: np.ndarray, content: Callable[[slice], bytes]) -> pa.RecordBatch:
+    """One row for every run of equal keys, with the content of its places."""
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(0, dtype=int)
+    sent = [content(slice(start, end)) for start, end in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(keys[edges[:-1]].astype(np.int64)), pa.array(sent, pa.binary())], names=[name, "sent"])
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """Blocks of every key, from rows sorted by key."""
+    rows = (row for b in slices(batches) for row in zip(b.column(key).to_pylist(), b.column("sent").to_pylist(), strict=True))
+    for value, found in groupby(rows, key=lambda row: row[0]):
+        yield value, (sent for _, sent in found)
+
+
+def _prefix_length(rows: np.ndarray, large: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words in the group prefix of each suffix, and the prefix's hash."""
+    one = rows[:, 0]
+    two = _mix(one, rows[:, 1])
+    three = _mix(two, rows[:, 2]) if rows.shape[1] > 2 else two
+    length = np.where(large(one), np.where(large(two), 3, 2), 1)
+    return length, np.choose(length - 1, [one, two, three])
+
+
+def _suffixes(block: tuple[bytes, list[bytes], np.ndarray], known: Partition, rules: PhraseRules) -> Iterator[pa.RecordBatch]:
+    """The block's truncated suffixes with their number, one row for each group."""
+    marked, at = _marked(block, known)
+    follows = np.zeros(len(marked) + rules.max_words, dtype=bool)
+    follows[at] = known.pairs(_mix(marked[at], marked[at + 1]))
     starts = np.flatnonzero(follows)
     if not len(starts):
         return
-    padded = np.concatenate([marked, np.zeros(rules.max_words, dtype=marked.dtype)])
-    rows = np.zeros((len(starts), rules.max_words), dtype=np.int32)
+    padded = np.concatenate([marked, np.zeros(rules.max_words, dtype=np.uint64)])
+    rows = np.zeros((len(starts), rules.max_words), dtype=np.uint64)
     rows[:, 0] = padded[starts]
     goes_on = np.ones(len(starts), dtype=bool)
     for k in range(1, rules.max_words):
         goes_on &= follows[starts + k - 1]
         rows[:, k] = np.where(goes_on, padded[starts + k], 0)
-    order = np.lexsort(rows.T[::-1])
-    rows = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
-    counts = np.diff(np.append(first, len(rows)))
-    rows = rows[first]
-    # The group's prefix: one word; two, if the word's load is too large; three, if the pair's is.
-    one = hashes[rows[:, 0]]
-    two = _mix(one, hashes[rows[:, 1]])
-    three = _mix(two, hashes[rows[:, 2]]) if rules.max_words > 2 else two
-    length = np.where(large(one), np.where(large(two), 3, 2), 1)
-    group = np.choose(length - 1, [one, two, three]) % np.uint64(groups)
-    lengths = (rows > 0).sum(axis=1)
-    texts = _strings(words)
-    for start in range(0, len(rows), _OUT_ROWS):
-        part = slice(start, start + _OUT_ROWS)
-        flat = rows[part][rows[part] > 0]
-        ends = np.concatenate([[0], np.cumsum(lengths[part])]).astype(np.int32)
-        phrase = pa.ListArray.from_arrays(pa.array(ends), texts.take(pa.array(flat)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(group[part].astype(np.int64)), _constant(lang, len(phrase)), phrase,
-                pa.array(length[part].astype(np.int32)), pa.array(counts[part].astype(np.int64)),
-            ],
-            names=["grp", "lang", "w", "prefix", "f"],
-        )
-
-
-def _walk(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the inner nodes and leaves of subtrees, from their suffixes in order (see the module's text)."""
-    path: list[list] = []  # word, count, of every node from the root to the current leaf
-    place: tuple | None = None
-    prefix = 0
-    out: list[tuple[str, str, int, int]] = []
-
-    def close(depth: int) -> None:
-        """End the nodes below ``depth``, each adding its count to the node above."""
-        while len(path) > depth:
-            count = path[-1][1]
-            at = len(path)
-            if at > 1 and (count >= min_count or at < prefix):
-                out.append((place[1], " ".join(word for word, _ in path), at, count))
-            path.pop()
-            if path:
-                path[-1][1] += count
-
-    def handed() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)],
-            names=["lang", "phrase", "m", "f"],
-        )
-        out.clear()
-        return batch
-
-    for batch in slices(batches, _OUT_ROWS):
-        for group, lang, words, length, f in zip(*(batch.column(c).to_pylist() for c in ("grp", "lang", "w", "prefix", "f")), strict=True):
-            if (group, lang) != place:
-                close(0)
-                place = (group, lang)
-            same = 0
-            while same < len(path) and same < len(words) and path[same][0] == words[same]:
-                same += 1
-            close(same)
-            # The prefix length hangs on the first two words alone; nodes above it are closed after a change of those.
-            prefix = length if same < 2 else prefix
-            path.extend([word, 0] for word in words[same:])
-            path[-1][1] += f
-        if len(out) >= _OUT_ROWS:
-            yield handed()
-    close(0)
-    if out:
-        yield handed()
+    rows, counts = _added(rows)
+    group = _prefix_length(rows, known.large)[1] % np.uint64(known.groups)
+    order = np.argsort(group, kind="stable")
+    rows, counts, group = rows[order], counts[order].astype(np.uint64), group[order]
+    yield _sent("grp", group, lambda at: np.concatenate([rows[at].T.ravel(), counts[at]]).tobytes())
+
+
+def _subtrees(batches: Iterator[pa.RecordBatch], known: Partition, rules: PhraseRules) -> Iterator[pa.RecordBatch]:
+    """Counts of the nodes of every group's subtree: ``ids`` (the words' hashes) and ``f``."""
+    for _, sent in _grouped(batches, "grp"):
+        rows, counts = np.zeros((0, rules.max_words), dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        held: list[np.ndarray] = []
+        size = 0
+        for block in chain(sent, [None]):
+            if block is not None:
+                held.append(np.frombuffer(block, dtype=np.uint64).reshape(rules.max_words + 1, -1).T)
+                size += len(held[-1])
+            if held and (block is None or size >= max(rules.group_load, len(rows))):
+                every = np.concatenate([np.column_stack([rows, counts]), *held])
+                rows, counts = _added(every[:, :-1], every[:, -1])
+                held, size = [], 0
+        length = _prefix_length(rows, known.large)[0]
+        for depth in range(2, rules.max_words + 1):
+            first = _starts(rows, depth)
+            f = np.add.reduceat(counts, first)
+            # A node above the group's prefix has leaves elsewhere too.
+            found = (rows[first, depth - 1] > 0) & ((f >= rules.min_count) | (length[first] > depth))
+            ids = rows[first[found], :depth].view(np.int64)
+            ends = np.arange(0, ids.size + 1, depth, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.ravel())), pa.array(f[found].astype(np.int64))], names=["ids", "f"]
+            )
+
+
+def _distinct_hashes(words: DataFrame) -> int:
+    """The first salt with which all words have hashes of their own."""
+    salt = 0
+    while not words.groupBy(_hash_column(salt).alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        salt += 1
+    return salt
 
 
 def phrase_counts(texts: DataFrame, rules: PhraseRules) -> tuple[DataFrame, DataFrame]:
@@ -295,29 +336,29 @@ def phrase_counts(texts: DataFrame, rules: PhraseRules) -> tuple[DataFrame, Data
     context = texts.sparkSession.sparkContext
     words = materialise(word_counts(texts, rules), "frequent-words")
     total = words.filter(F.col("word").isNull()).agg(F.sum("f").alias("n")).first()["n"] or 0
-    load = max(rules.group_load, total // rules.max_groups)
-    shift = 64 - rules.filter_bits
-    of_words = words.filter(F.col("word").isNotNull()).select(
-        F.shiftrightunsigned(F.xxhash64(F.concat_ws(" ", "lang", "word")), shift).alias("bucket"), "f"
-    )
-    frequent = context.broadcast(Filter(of_words, rules.filter_bits))
-    pairs = materialise(pair_counts(texts, lambda: frequent.value, rules), "frequent-pairs")
-    frequent_pairs = context.broadcast(Filter(pairs, rules.filter_bits))
-    # Words and pairs above the load: at most total / load of either.
-    above = context.broadcast(Filter(of_words.unionByName(pairs).filter(F.col("f") > load), rules.filter_bits))
-    groups = max(1, -(-total // load))
+    salt = _distinct_hashes(words.filter(F.col("word").isNotNull()))
+    hashed = words.filter(F.col("word").isNotNull()).select(_hash_column(salt).alias("h"), "lang", "word", "f")
+    of_words = hashed.select(F.shiftrightunsigned("h", 64 - rules.filter_bits).alias("bucket"), "f")
+    known = Partition(salt, Filter(of_words, rules.filter_bits))
+    pairs = materialise(pair_counts(texts, context.broadcast(known), rules), "frequent-pairs")
+    above = Filter(of_words.unionByName(pairs).filter(F.col("f") > rules.group_load), rules.filter_bits)
+    known = replace(known, pairs=Filter(pairs, rules.filter_bits), large=above, groups=max(1, -(-total // rules.group_load)))
+    sent = context.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, rules.buffer_words):
-            yield from _suffixes(block, frequent.value, frequent_pairs.value, above.value, groups, rules)
+            yield from _suffixes(block, sent.value, rules)
 
-    suffixes = texts.transform(map_arrow, run, "grp long, lang string, w array<string>, prefix int, f long")
     nodes = (
-        suffixes.repartition("grp")
-        .sortWithinPartitions("grp", "lang", "w")
-        .transform(map_arrow, lambda batches: _walk(batches, rules.min_count), "lang string, phrase string, m int, f long")
+        texts.transform(map_arrow, run, "grp long, sent binary").repartition("grp").sortWithinPartitions("grp")
+        .transform(map_arrow, lambda batches: _subtrees(batches, sent.value, rules), "ids array<long>, f long")
+        .groupBy("ids").agg(F.sum("f").alias("f")).filter(F.col("f") >= rules.min_count)
+    )
+    nodes = materialise(nodes, "frequent-nodes")
+    met = nodes.select("ids", "f", F.posexplode("ids").alias("at", "h")).join(hashed.select("h", "lang", "word"), "h")
+    phrases = met.groupBy("ids", "f", "lang").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("w")).select(
+        "lang", F.array_join("w.word", " ").alias("phrase"), F.size("ids").alias("m"), "f"
     )
-    phrases = nodes.groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f")).filter(F.col("f") >= rules.min_count)
     return words, materialise(phrases, "frequent-phrases")
 
 

@@ -54,7 +54,7 @@ def found(df):
         PhraseRules(min_count=5, top=300),
         # small filters let infrequent prefixes pass, small groups extend prefixes, small buffers split the counts
         PhraseRules(min_count=8, top=50, filter_bits=16, group_load=200, buffer_words=3000),
-        PhraseRules(min_count=20, top=2000, filter_bits=10, group_load=20, max_groups=10**6),
+        PhraseRules(min_count=20, top=2000, filter_bits=10, part_bits=4, group_load=20),
         PhraseRules(min_count=5, top=20, max_words=2),
     ],
 )
@@ -76,7 +76,7 @@ def test_hot_phrases_and_hot_words(spark):
         data.append((None if i % 9 == 0 else rnd.choice(("en", "de")), " ".join(w)))
     data.append(("en", "the " * 3000))
     df = spark.createDataFrame(data, "lang string, text string").repartition(4)
-    for rules in (PhraseRules(min_count=10), PhraseRules(min_count=10, group_load=30, buffer_words=2000, max_groups=10**6)):
+    for rules in (PhraseRules(min_count=10), PhraseRules(min_count=10, group_load=30, buffer_words=2000)):
         assert found(collocations.mine_phrases(df, rules)) == brute(data, rules)
 
 
