@@ -13,6 +13,7 @@ from slugmend.llm import (
     html_extract,
     licenses,
     line_dedup,
+    lsh_forest,
     mixing,
     quality,
     simhash,
@@ -73,6 +74,10 @@ def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, d, "documents"))
 
 
+def op12_lsh_forest(spark: SparkSession, d: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, d, "documents"))
+
+
 def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
     return spelling.group_variants(table(spark, d, "documents"))
 
@@ -89,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_licenses": op10_licenses,
     "op11_collocations": op11_collocations,
+    "op12_lsh_forest": op12_lsh_forest,
     "op13_spelling": op13_spelling,
 }
