@@ -9,8 +9,10 @@ changed schema does not, so the writer targets paths.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +76,9 @@ def append_log(
     ``execution_id``, a run that the log already has (in part or whole) raises
     :class:`RunAlreadyLogged`: nothing is dropped in silence, and a retry
     cannot duplicate rows. The log is partitioned by run, so a report reads its
-    run only.
+    run only. In that layout the run's folder is written aside and renamed into
+    place, which fails if it is there: of drivers that append under one run id at
+    the same time exactly one succeeds, and none leaves a part of a run.
     """
     out = to_log_schema(df)
     if skip_empty and out.isEmpty():
@@ -87,10 +91,37 @@ def append_log(
     writer = out.write.mode("append").option("mergeSchema", "true").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if execution_id is None or fmt != "parquet" or tuple(partition_by) != ("execution_id",):
+        writer.save(path)
+        return True
+    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"  # readers pass over such names
+    writer.save(staged)
+    publish_run(df.sparkSession, staged, path)
     return True
 
 
+def publish_run(spark: SparkSession, staged: str, path: str) -> None:
+    """Move the one run folder below ``staged`` into the log, in one step; raises if the log has the run."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    source, target = hadoop.Path(staged), hadoop.Path(path)
+    fs = source.getFileSystem(conf)
+    try:
+        runs = [f.getPath() for f in fs.listStatus(source) if f.isDirectory()]
+        if len(runs) > 1:
+            raise ValueError(f"rows of {len(runs)} runs in one append")
+        none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        for run in runs:
+            where = hadoop.Path(target, run.getName())
+            try:
+                hadoop.FileContext.getFileContext(source.toUri(), conf).rename(run, where, none)
+            except Py4JJavaError as e:
+                if not fs.exists(where):
+                    raise
+                raise RunAlreadyLogged(f"the log at {path} already has {run.getName()}") from e
+    finally:
+        fs.delete(source, True)
+
+
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Fresh read of the log (stale file listings dropped, schemas merged), log columns first.
 

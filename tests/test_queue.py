@@ -37,7 +37,7 @@ def _sizes(ordered):
 def test_range_head_equals_ordered_prefix(spark, inputs, ordered):
     src, log = inputs
     for n in _sizes(ordered):
-        head = queue.queue_head(src, log, n, partitions=5)
+        head = queue.queue_head(src, log, n, bin_rows=5)
         got = Counter({r["sku_id"]: r["n_copies"] for r in head.collect()})
         assert got == Counter(ordered[:n]), n
 
@@ -78,7 +78,7 @@ def test_head_cuts_inside_a_hot_sku(spark):
     rows = [("5",)] * 1000 + [(str(i),) for i in range(1, 200)]
     src = spark.createDataFrame(rows, "sku_id string")
     log = spark.createDataFrame([("3", "SUCESSO")], "sku_vtex string, status string")
-    head = {r["sku_id"]: r["n_copies"] for r in queue.queue_head(src, log, 503, partitions=4).collect()}
+    head = {r["sku_id"]: r["n_copies"] for r in queue.queue_head(src, log, 503, bin_rows=4).collect()}
     # queue order: 1, 2, 4 (3 is final), then the 1001 copies of 5, then 6, ...
     assert head == {"1": 1, "2": 1, "4": 1, "5": 500}
     rows_out = queue.queue_next(src, log, 503).collect()
@@ -90,3 +90,69 @@ def test_head_with_adaptive_range_partitions(spark, inputs, ordered):
     n = _sizes(ordered)[3]
     head = queue.queue_head(src, log, n)
     assert Counter({r["sku_id"]: r["n_copies"] for r in head.collect()}) == Counter(ordered[:n])
+
+
+def test_head_of_odd_keys(spark):
+    """Negative and huge numbers, several texts of one number, texts with common beginnings; every batch size."""
+    import random
+
+    rnd = random.Random(1)
+    skus = [str(rnd.randrange(-50, 10**rnd.choice((1, 2, 4, 9, 18)))) for _ in range(120)]
+    skus += ["7", "07", "007", "-3", str(2**63 - 1), str(-(2**63)), str(2**63)]  # the last is no bigint
+    skus += ["produto-" + "abç"[i % 3] * (i % 4) + str(i % 5) for i in range(60)] + ["", "produto-", "\U0001d11e"]
+    src = spark.createDataFrame([(s,) for s in skus], "sku_id string").repartition(3)
+    log = spark.createDataFrame([("8", "SUCESSO")], "sku_vtex string, status string")
+
+    def key(s):
+        whole = s.lstrip("-").isdigit() and -(2**63) <= int(s) < 2**63
+        return not whole, int(s) if whole else 0, s.encode()
+
+    ordered = sorted((s for s in skus if s != "8"), key=key)
+    for n in (0, 1, 7, 60, 118, 124, 131, 150, len(ordered) - 1, len(ordered), len(ordered) + 3):
+        for bin_rows in (1, 10, 10**6):
+            got = Counter({r["sku_id"]: r["n_copies"] for r in queue.queue_head(src, log, n, bin_rows=bin_rows).collect()})
+            assert got == Counter(ordered[:n]), (n, bin_rows)
+
+
+def test_head_writes_the_batch_and_one_bin(spark, monkeypatch):
+    written = []
+    whole = queue.materialise
+    monkeypatch.setattr(queue, "materialise", lambda df, name: written.append(whole(df, name)) or written[-1])
+    src = spark.range(1, 200_001).selectExpr("cast(id as string) sku_id")
+    log = spark.createDataFrame([], "sku_vtex string, status string")
+    head = queue.queue_head(src, log, 90_000, bin_rows=500)
+    assert head.count() == 90_000 and [df.count() <= 90_000 + 500 for df in written] == [True]
+    assert head.selectExpr("max(cast(sku_id as bigint))").first()[0] == 90_000
+
+
+def test_final_key_index(spark, scratch):
+    """Random appends: the index is what the full log says, also after a missed run, and is joined where it lies."""
+    import random
+
+    from slugmend.sources.finalkeys import final_keys, merge_final_keys
+
+    rnd = random.Random(6)
+    schema = "sku_vtex string, status string"
+    log = spark.createDataFrame([], schema)
+    path = f"{scratch}/finals"
+    src = spark.createDataFrame([(str(i),) for i in range(60)], "sku_id string")
+    for run in range(4):
+        rows = [(rnd.choice((str(rnd.randrange(60)), None)), rnd.choice(("SUCESSO", "ERRO_API", "PULADO_INATIVO"))) for _ in range(25)]
+        part = spark.createDataFrame(rows, schema)
+        log = log.unionByName(part)
+        if run != 2:
+            merge_final_keys(part, path)
+    merge_final_keys(log, path)  # run 2 was missed
+    index = final_keys(spark, path)
+    want = {r[0] for r in queue.finalized_skus(log).select("sku_vtex").distinct().collect()} - {None}
+    assert sorted(r[0] for r in index.collect()) == sorted(want)
+    for n in (None, 5):
+        got, full = queue.queue_head(src, log, n, final_keys=index), queue.queue_head(src, log, n)
+        assert sorted(got.collect()) == sorted(full.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queue.queue_counts(src, log, final_keys=index)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan
+    assert not any("Exchange" in line and "sku_vtex" in line for line in plan.splitlines())

@@ -172,3 +172,26 @@ def test_correction_run_appends_to_the_log(spark, scratch):
     assert log.count() == 20 and log.filter(F.col("execution_id") != "run-1").count() == 0
     rep = build_report(log)
     assert rep.execution_id == "run-1" and rep.summary.first()["total"] == 20
+
+
+def test_of_two_interleaved_appends_one_wins(spark, scratch, monkeypatch):
+    """Both drivers find the run absent; the second to publish fails and leaves nothing behind."""
+    import os
+
+    import pytest
+
+    from slugmend.sources import runlog
+
+    path = f"{scratch}/race"
+    rows = spark.createDataFrame([("r1", "1", "SUCESSO")], "execution_id string, sku_vtex string, status string")
+    rows = runlog.to_log_schema(rows.selectExpr("*", "timestamp'2024-01-01' as timestamp", "false as houve_colisao", "false as precisou_redirect"))
+    monkeypatch.setattr(runlog, "_has_run", lambda *_: False)
+    assert runlog.append_log(rows, path, execution_id="r1")
+    with pytest.raises(runlog.RunAlreadyLogged):
+        runlog.append_log(rows, path, execution_id="r1")
+    assert runlog.read_log(spark, path).count() == 1
+    assert [f for f in os.listdir(path) if f.startswith("_staged")] == []
+    with pytest.raises(ValueError, match="2 runs"):
+        more = rows.unionByName(rows.selectExpr(*(c if c != "execution_id" else "'r2' as execution_id" for c in rows.columns)))
+        runlog.append_log(more, path, execution_id="r2")
+    assert runlog.read_log(spark, path).count() == 1
