@@ -11,9 +11,8 @@ classes that share a prefix) may be cut by a partition's end, which costs its pa
 one of the trees. Scans of the orders emit candidates:
 
 1. *Neighbours.* Each class with its predecessors of the same region, the longest
-   common prefix first. Candidates are verified in three rounds: every class's
-   best one, then every component's best one, then the others that still lie
-   between components.
+   common prefix first. Candidates are verified in two rounds: every class's best
+   one, then the others that still lie between components.
 2. *Regions.* A region reaches as far up as it has at most ``region`` classes, from
    the prefix of two hashes on: sparse neighbourhoods are compared at a small depth,
    crowded ones deeper. In it classes of different components are compared.
@@ -335,7 +334,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
         return components(reduce(DataFrame.unionByName, links), "a", "b")
 
     left = materialise(pairs.withColumns({"ra": F.col("a"), "rb": F.col("b")}), "candidates")
-    for last in (False, False, True):
+    for last in (False, True):
         tried = left.select("a", "b") if last else materialise(_best(left), "best")
         links.append(confirm(tried, sets, rules))
         if not last:
@@ -351,6 +350,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
     crowded = found.filter(F.col("b").isNull()).select(F.col("a").alias("node"))
     more = sets_of(ends(met).unionByName(crowded))
     links.append(confirm(met, more, rules))
+    if crowded.isEmpty():
+        return roots()
     rare = _between(_rarest(more.join(crowded.distinct(), "node", "left_semi"), rules), roots())
     links.append(confirm(rare, more, rules))
     return roots()
