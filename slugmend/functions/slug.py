@@ -54,6 +54,11 @@ def normalize_slug(c: Column | str) -> Column:
     return F.btrim(dashed, F.lit("-"))
 
 
+def slug_stem(c: Column | str) -> Column:
+    """The slug without its trailing ``-<digits>`` groups; suffixed candidates keep it."""
+    return F.regexp_replace(_col(c), "(-[0-9]+)+$", "")
+
+
 def slug_level(c: Column | str) -> Column:
     """Number of trailing ``-<digits>`` groups (``a-1-22`` -> 2, ``a`` -> 0).
 

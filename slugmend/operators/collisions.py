@@ -9,9 +9,12 @@ blocks a later one. The same result is computed set-wise:
   up its slug when that slug is not normalised, so snapshot holders stay
   valid for the whole batch; only claims made in the batch are added.
 * The *level* of a slug is its number of trailing ``-<digits>`` groups. A
-  suffixed candidate lies exactly one level above its plain slug, so levels
-  can be settled in ascending order, each with a few aggregations and joins
-  keyed by slug or product (partial aggregation, no global sort).
+  suffixed candidate lies exactly one level above its plain slug and keeps its
+  *stem* (the slug without those groups), so claims only meet within a stem.
+  Levels of a stem are settled in ascending order, counted from the stem's
+  lowest one, and all stems at once, each step with a few aggregations and joins
+  keyed by slug or product (partial aggregation, no global sort). The number of
+  steps is that of the levels which one stem has, mostly one, whatever levels occur.
 * Within a level, the first eligible plain claimant of a slug (by queue
   order) takes it unless a suffixed claimant of another product that comes
   earlier took it; a product is fixed by its first item that takes a slug,
@@ -25,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slugmend.functions.slug import is_numeric_sku, slug_level, suffixed_slug
+from slugmend.functions.slug import is_numeric_sku, slug_level, slug_stem, suffixed_slug
 from slugmend.operators.outcomes import failures_of
 from slugmend.schemas import PROBE_SLUG
 from slugmend.sources.cuts import materialise
@@ -240,14 +243,28 @@ def _settle_level(plain: DataFrame | None, pushed: DataFrame | None) -> DataFram
     return out
 
 
+def _steps(claims: DataFrame) -> DataFrame:
+    """``claims`` with ``step``: how far a claim's level lies above the lowest one of its stem.
+
+    Only stems with several levels, which are few, are written and joined.
+    """
+    stem = claims.withColumn("stem", slug_stem("slug1"))
+    several = (
+        stem.groupBy("stem").agg(F.min("lvl").alias("low"), F.max("lvl").alias("high"))
+        .filter(F.col("low") < F.col("high")).select("stem", "low")
+    )
+    joined = stem.join(materialise(several, "stems"), "stem", "left")
+    return joined.withColumn("step", F.coalesce(F.col("lvl") - F.col("low"), F.lit(0))).drop("stem", "low")
+
+
 def resolve_claims(prepared: DataFrame) -> DataFrame:
     """Settle every claim; one row per item with ``RESOLUTION_COLUMNS``
     (``fixed_slug``: the slug the item's product took in the batch, if any).
 
     ``prepared`` comes from :func:`prepare_claims` and is written here once.
-    Only levels that have claims, and the levels that blocked claims move up
-    to, are settled; each level's output is written once (a lineage cut per
-    level), so the plan does not grow with the number of levels. A slug whose
+    Only steps that have claims, and the steps that blocked claims move up
+    to, are settled; each step's output is written once (a lineage cut per
+    step), so the plan does not grow with their number. A slug whose
     own probe fails stops every item of its products, and settles none.
     """
     prepared = materialise(prepared, "claims")
@@ -257,8 +274,8 @@ def resolve_claims(prepared: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("slug_final"), F.lit(None).cast("string").alias("slug"),
         F.lit(None).cast("bigint").alias("snap"), F.col("failed1").alias("probe_msg"),
     )
-    open_ = prepared.filter(F.col("failed1").isNull())
-    levels = sorted(r["lvl"] for r in open_.select("lvl").distinct().collect())
+    open_ = materialise(_steps(prepared.filter(F.col("failed1").isNull())), "open-claims")
+    levels = sorted(r["step"] for r in open_.select("step").distinct().collect())
     settled: list[DataFrame] = [unprobed]
     pushed: DataFrame | None = None
     pushed_level = None
@@ -274,7 +291,7 @@ def resolve_claims(prepared: DataFrame) -> DataFrame:
         if pushed is not None and pushed_level != level:
             settle(None, pushed, pushed_level)
             pushed = None
-        pushed = settle(open_.filter(F.col("lvl") == level), pushed, level)
+        pushed = settle(open_.filter(F.col("step") == level), pushed, level)
         pushed_level = level + 1
     if pushed is not None:
         settle(None, pushed, pushed_level)

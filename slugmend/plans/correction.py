@@ -22,6 +22,7 @@ from slugmend.operators.queue import queue_head
 from slugmend.schemas import DEFAULT_BATCH_SIZE, LOG_COLUMNS
 from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
+from slugmend.sources.finalkeys import final_keys, merge_final_keys
 from slugmend.sources.runlog import append_log, read_log, to_log_schema
 
 log = logging.getLogger("slugmend")
@@ -158,21 +159,28 @@ def run_correction(
     log_format: str = "parquet",
     failures: DataFrame | None = None,
     latency: DataFrame | None = None,
+    final_keys_path: str | None = None,
 ) -> DataFrame:
     """Queue -> cascade -> log rows; appended to ``log_path`` when given.
 
+    With ``final_keys_path`` the queue asks the index of final SKUs there instead of
+    reading the log, and the run's final SKUs are merged into it after the append.
+
     The rows are written before this returns. Intermediate tables are deleted
     then; with ``log_path`` the returned rows are read from the log, else from
     one table in the checkpoint folder.
     """
     spark = source.sparkSession
     start = cuts.mark()
-    batch = queue_head(source, log, batch_size)  # counted; the cascade reads n_copies
+    known = final_keys(spark, final_keys_path) if final_keys_path is not None else None
+    batch = queue_head(source, log, batch_size, final_keys=known)  # counted; the cascade reads n_copies
     rows, _ = cascade(batch, catalog, registry, put, redirect_out, removals, failures=failures)
     out = log_rows(rows, execution_id, run_ts, latency)
     if log_path is not None:
         out = materialise(out, "log_rows")
         append_log(out, log_path, log_format, execution_id=execution_id)
+        if final_keys_path is not None:
+            merge_final_keys(out, final_keys_path)
         cuts.release(spark, start)
         return read_log(spark, log_path, log_format).filter(F.col("execution_id") == F.lit(execution_id))
     out.write.mode("overwrite").parquet(path := cuts.new_path(spark, "run"))

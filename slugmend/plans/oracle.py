@@ -210,6 +210,11 @@ SQL: dict[str, str] = {
         SELECT count(*) AS n_selected, CAST({S.DEFAULT_BATCH_SIZE} AS BIGINT) AS batch_size,
                count(*) < {S.DEFAULT_BATCH_SIZE} AS shortfall
         FROM queue_batch""",
+    "queue_shortfall_whole": """
+        SELECT count(*) AS n_selected, CAST(1000000000 AS BIGINT) AS batch_size, count(*) < 1000000000 AS shortfall
+        FROM queue_cand""",
+    "final_key_index": f"SELECT DISTINCT sku_vtex FROM run_log WHERE status IN {FINAL_IN} AND sku_vtex IS NOT NULL",
+    "queue_next_indexed": "SELECT sku_id FROM queue_batch",
     "retryable_skus": f"""
         SELECT sku_vtex, count(*) AS attempts,
                coalesce(bool_or(status IN {FINAL_IN}), false) AS is_final,

@@ -19,7 +19,9 @@ from slugmend.operators import catalog as cat_ops
 from slugmend.operators import collisions, queue, redirects, report
 from slugmend.operators.cascade import update_outcome
 from slugmend.plans import correction
+from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
+from slugmend.sources.finalkeys import final_keys, merge_final_keys
 from slugmend.sources import fixtures as fx
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
@@ -36,6 +38,8 @@ def q_finalized_skus(spark: SparkSession, d: str) -> DataFrame:
     return queue.finalized_skus(fx.run_log(spark, d))
 
 
+# More listings than any queue here has.
+LARGE_BATCH = 1_000_000_000
 # A batch size that ends between the two copies of SKU 1100 at sf0.01, so
 # the head takes one copy of it.
 HEAD_BATCH = 1010
@@ -51,6 +55,29 @@ def q_queue_shortfall(spark: SparkSession, d: str) -> DataFrame:
     return queue.queue_shortfall(batch, DEFAULT_BATCH_SIZE)
 
 
+def q_queue_shortfall_whole(spark: SparkSession, d: str) -> DataFrame:
+    """A batch larger than the queue."""
+    batch = queue.queue_next(fx.queue_src(spark, d), fx.run_log(spark, d), LARGE_BATCH)
+    return queue.queue_shortfall(batch, LARGE_BATCH)
+
+
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    """The index of final SKUs, built from the log."""
+    path = cuts.new_path(spark, "final-keys")
+    merge_final_keys(fx.run_log(spark, d), path)
+    return final_keys(spark, path)
+
+
+def q_final_key_index(spark: SparkSession, d: str) -> DataFrame:
+    return _index(spark, d)
+
+
+def q_queue_next_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """The next batch by the index of final SKUs instead of the log."""
+    log = fx.run_log(spark, d)
+    return queue.queue_next(fx.queue_src(spark, d), log, DEFAULT_BATCH_SIZE, final_keys=_index(spark, d))
+
+
 def q_retryable_skus(spark: SparkSession, d: str) -> DataFrame:
     return queue.retryable_skus(fx.run_log(spark, d))
 
@@ -170,6 +197,9 @@ QUERIES: dict[str, Query] = {
     "queue_head": q_queue_head,
     "finalized_skus": q_finalized_skus,
     "queue_shortfall": q_queue_shortfall,
+    "queue_shortfall_whole": q_queue_shortfall_whole,
+    "final_key_index": q_final_key_index,
+    "queue_next_indexed": q_queue_next_indexed,
     "retryable_skus": q_retryable_skus,
     "effective_time": q_effective_time,
     "run_last_seen": q_run_last_seen,

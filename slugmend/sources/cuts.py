@@ -46,12 +46,17 @@ def mark() -> int:
     return len(_made)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete the cuts made since ``since``; frames that read them are no longer usable."""
-    for path in _made[since:]:
+def made(since: int) -> list[str]:
+    """The folders of the cuts made since ``since``."""
+    return _made[since:]
+
+
+def release(spark: SparkSession, since: int = 0, only: list[str] | None = None) -> None:
+    """Delete the cuts made since ``since``, or ``only`` these of them; frames that read them are no longer usable."""
+    for path in _made[since:] if only is None else [p for p in only if p in _made]:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    del _made[since:]
+        _made.remove(path)
 
 
 @atexit.register

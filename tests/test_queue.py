@@ -156,3 +156,29 @@ def test_final_key_index(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan
     assert not any("Exchange" in line and "sku_vtex" in line for line in plan.splitlines())
+
+
+def test_run_with_the_index_equals_run_with_the_log(spark, scratch):
+    """Nightly runs one after the other: the index selects what the log selects, and grows with each run."""
+    from data_dirs import SF_SMALL
+
+    from slugmend.plans import correction
+    from slugmend.plans import queries as Q
+    from slugmend.sources.finalkeys import final_keys, merge_final_keys
+    from slugmend.sources.runlog import append_log, read_log
+
+    inputs = Q.plain_inputs(spark, SF_SMALL)
+    src, old = fx.queue_src(spark, SF_SMALL), fx.run_log(spark, SF_SMALL)
+    old = old.withColumn("timestamp", F.coalesce("timestamp", F.lit("2024-01-01").cast("timestamp")))
+    path, finals = f"{scratch}/log", f"{scratch}/finals"
+    append_log(old, path)
+    merge_final_keys(read_log(spark, path), finals)
+    for run in ("n1", "n2"):
+        log = read_log(spark, path)
+        want = Counter(r["sku_id"] for r in queue.queue_next(src, log, 15).collect())
+        rows = correction.run_correction(
+            src, log.limit(0), execution_id=run, batch_size=15, log_path=path, final_keys_path=finals, **inputs
+        )  # the log given is empty: only the index can tell
+        assert Counter(r["sku_vtex"] for r in rows.collect()) == want
+    done = queue.finalized_skus(read_log(spark, path)).select("sku_vtex").filter("sku_vtex is not null").distinct()
+    assert sorted(done.collect()) == sorted(final_keys(spark, finals).collect())

@@ -7,6 +7,7 @@ cascade runs once for the whole module.
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from slugmend import schemas as S
 from slugmend.plans import correction
@@ -144,3 +145,22 @@ def test_unknown_sku(rows):
     r = one(rows, "999")
     assert r["status"] == S.ERRO_API and r["product_id"] is None
     assert r["mensagem_erro"] == S.MSG_LOOKUP_FAILED.format(S.NOT_FOUND_SKU)
+
+
+def test_steps_of_resolution_do_not_grow_with_levels(spark, monkeypatch):
+    """Stems at twelve different levels, two claims each: one step for all, and one for the claims that move up."""
+    from slugmend.operators import collisions
+
+    names = []
+    whole = collisions.materialise
+    monkeypatch.setattr(collisions, "materialise", lambda df, name: names.append(name) or whole(df, name))
+    slug = lambda i: f"stem{'abcdefghijkl'[i]}" + "-7" * i
+    rows = [(f"i{i}{j}", 10 * i + j, 10 * i + j, str(100 + 10 * i + j), slug(i), True) for i in range(12) for j in range(2)]
+    claims = spark.createDataFrame(rows, "item_id string, okey long, product_id long, sku string, slug string, eligible boolean")
+    claims = claims.withColumn("okey", F.struct(F.col("okey").alias("num")))
+    products = spark.createDataFrame([], "product_id long, link_id string, is_active boolean")
+    out = collisions.resolve_claims(collisions.prepare_claims(claims, products)).collect()
+    assert sum(n.startswith("level") for n in names) == 2
+    got = {r.item_id: (r.outcome, r.slug_final) for r in out}
+    want = {f"i{i}0": ("WIN", slug(i)) for i in range(12)} | {f"i{i}1": ("WIN", f"{slug(i)}-{101 + 10 * i}") for i in range(12)}
+    assert got == want
