@@ -9,34 +9,63 @@ return the columns of ``documents``:
 3. SimHash near-dedup: one document of each group stays;
 4. mixing: a row for every copy that the mix takes of a document;
 5. byte-level BPE: a row with token ids for each of those.
+
+The tables that a stage wrote on its way are needed until its result is written, which
+is when the next stage begins; they are deleted then, so the disk holds one stage's.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from slugmend.llm import byte_bpe, line_dedup, mixing, quality, simhash
 from slugmend.llm.common import table
 from slugmend.llm.queries import BYTE_BPE
+from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []  # tables of the stages that went before
+
+
+def tidy(stage: Stage) -> Stage:
+    """The stage, deleting what earlier ones left on their way, and leaving its own tables to the next."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        cuts.release(spark, only=_left)
+        since = cuts.mark()
+        out = stage(spark, docs, sf_dir)
+        _left[:] = cuts.made(since)
+        return out
+
+    return run_stage
+
 
+@tidy
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filter_documents(docs)
 
 
+@tidy
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
+@tidy
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_per_component(docs)
 
 
+@tidy
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_rows(docs)
 
 
+@tidy
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(docs, BYTE_BPE, with_ids=True)
 

@@ -194,9 +194,14 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: i
     rows = materialise(docs.transform(map_arrow, run, schema).withColumn(row_no, F.monotonically_increasing_id()), "printed")
     prints = rows.select(F.col(fp).alias("fp"), F.col("doc_id"), F.col(row_no).alias("row_no"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
-    stay = materialise(
-        prints.join(_classes(prints, max_bits).select("fp", "root"), "fp")
-        .groupBy("root").agg(first.alias("first")).select(F.col("first.row_no").alias(row_no)),
-        "stay",
+    rooted = materialise(prints.join(_classes(prints, max_bits).select("fp", "root"), "fp"), "rooted-rows")
+    # The rows that go are told, as they are fewer than those that stay: most components have one row.
+    several = materialise(
+        rooted.groupBy("root").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        .select("root", F.col("first.row_no").alias("stays")),
+        "several",
     )
-    return rows.join(stay, row_no, "left_semi").select(*columns)
+    gone = materialise(
+        rooted.join(several, "root").filter(F.col("row_no") != F.col("stays")).select(F.col("row_no").alias(row_no)), "gone"
+    )
+    return rows.join(gone, row_no, "left_anti").select(*columns)
