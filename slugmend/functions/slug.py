@@ -54,6 +54,11 @@ def normalize_slug(c: Column | str) -> Column:
     return F.btrim(dashed, F.lit("-"))
 
 
+def evaluated_once(c: Column) -> Column:
+    """The column from a generator: later filters and expressions read its value instead of repeating it."""
+    return F.explode(F.array(c))
+
+
 def slug_stem(c: Column | str) -> Column:
     """The slug without its trailing ``-<digits>`` groups; suffixed candidates keep it."""
     return F.regexp_replace(_col(c), "(-[0-9]+)+$", "")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slugmend.functions.slug import normalize_slug, numeric_order_key, product_path
+from slugmend.functions.slug import evaluated_once, normalize_slug, numeric_order_key, product_path
 from slugmend.functions.text import join_messages, template
 from slugmend.operators import collisions as C
 from slugmend.operators.counts import expand_counts
@@ -35,6 +35,7 @@ from slugmend.operators.catalog import (
     products,
     rows_for_products,
 )
+from slugmend.operators.lookup import lookup
 from slugmend.operators.outcomes import outcome_per
 from slugmend.operators.redirects import current_path, redirect_outcome, redirect_plan, redirect_timeline
 from slugmend.schemas import (
@@ -78,7 +79,7 @@ def update_outcome(items: DataFrame, put: DataFrame) -> DataFrame:
     )
     failed = F.coalesce(F.col("_put_erro"), F.lit(False))
     key = F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("no product: "), F.col("sku_id").cast("string")))
-    return items.withColumn("_put_key", key).join(p, "_put_key", "left").select(
+    return lookup(items.withColumn("_put_key", key), p, "_put_key").select(
         *items.columns,
         (~failed).alias("put_confirmado"),
         F.when(failed, template(MSG_PUT_FAILED, F.col("_put_msg"))).alias("mensagem"),
@@ -105,8 +106,9 @@ def enrich(
     items: DataFrame, catalog: DataFrame, put: DataFrame | None, failures: DataFrame | None = None
 ) -> DataFrame:
     """Lookup, gate and update outcome per item (steps before any probe)."""
-    look = catalog_lookup(items, catalog, failures=failures)
-    norm = normalize_slug(F.col("link_id"))
+    look = catalog_lookup(items, catalog, failures=failures, one_row_per_sku=True)
+    look = look.select("*", evaluated_once(normalize_slug(F.col("link_id"))).alias("_norm"))
+    norm = F.col("_norm")
     gate = F.when(F.col("erro"), F.lit(LOOKUP_FAILED)).otherwise(
         gate_column(F.col("link_id"), norm, F.col("is_active"))
     )

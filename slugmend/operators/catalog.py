@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slugmend.functions.slug import normalize_slug
+from slugmend.functions.slug import evaluated_once, normalize_slug
 from slugmend.functions.text import template
+from slugmend.operators.lookup import lookup
 from slugmend.operators.outcomes import failures_of
 from slugmend.schemas import (
     EMPTY_SLUG,
@@ -52,7 +53,8 @@ def rows_for_products(catalog: DataFrame, product_ids: DataFrame) -> DataFrame:
 
 
 def catalog_lookup(
-    items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id", failures: DataFrame | None = None
+    items: DataFrame, catalog: DataFrame, sku_col: str = "sku_id", failures: DataFrame | None = None,
+    one_row_per_sku: bool = False,
 ) -> DataFrame:
     """SKU -> product -> (link, active) for each item, with lookup errors.
 
@@ -61,7 +63,9 @@ def catalog_lookup(
     shuffle what the items touch. SKUs are compared as text on both sides. A
     miss or a failed read (``failures``: kind, key, msg) at either step is an
     ``ERRO_API`` message. Items without a product meet no details and are
-    spread over tasks by their SKU instead of sharing the null key.
+    spread over tasks by their SKU instead of sharing the null key; those of a SKU or
+    product that many items share are dealt over salts (``operators.lookup``). ``one_row_per_sku``: the caller knows that no
+    SKU is shared, so none is looked for.
     """
     own = items.withColumn("_sku", F.col(sku_col).cast("string"))
     cat = catalog.withColumn("sku_id", F.col("sku_id").cast("string"))
@@ -72,12 +76,14 @@ def catalog_lookup(
     )
     sku_failed = failures_of(failures, READ_SKU, "_sku", "_sku_failed", items)
     product_failed = failures_of(failures, READ_PRODUCT, "_pkey", "_product_failed", items)
-    mapped = own.join(sku_map.withColumnRenamed("sku_id", "_sku"), "_sku", "left").join(sku_failed, "_sku", "left")
+    sku_map = sku_map.withColumnRenamed("sku_id", "_sku")
+    mapped = own.join(sku_map, "_sku", "left") if one_row_per_sku else lookup(own, sku_map, "_sku")
+    mapped = mapped.join(sku_failed, "_sku", "left")
     mapped = mapped.withColumn("product_id", F.when(F.col("_sku_failed").isNull(), F.col("product_id")))
     mapped = mapped.withColumn(
         "_pkey", F.coalesce(F.col("product_id").cast("string"), F.concat(F.lit("no product: "), F.col("_sku")))
     )
-    full = mapped.join(details, "_pkey", "left").join(product_failed, "_pkey", "left")
+    full = lookup(mapped, details, "_pkey").join(product_failed, "_pkey", "left")
     sku_miss = F.col("product_id").isNull()
     unread = F.col("_product_failed").isNotNull() | F.col("_known").isNull()
     read = ~sku_miss & ~unread
@@ -116,7 +122,7 @@ def slug_gate(catalog: DataFrame) -> DataFrame:
         "product_id",
         "is_active",
         F.col("link_id").alias("slug_original"),
-        norm.alias("slug_normalizado"),
+        evaluated_once(norm).alias("slug_normalizado"),
     ).withColumn(
         "gate", gate_column(F.col("slug_original"), F.col("slug_normalizado"), F.col("is_active"))
     )

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slugmend.functions.slug import is_numeric_sku, slug_level, slug_stem, suffixed_slug
+from slugmend.operators.lookup import lookup
 from slugmend.operators.outcomes import failures_of
 from slugmend.schemas import PROBE_SLUG
 from slugmend.sources.cuts import materialise
@@ -73,7 +74,7 @@ def snapshot_collisions(items: DataFrame, products: DataFrame) -> DataFrame:
     current link equals the normalised slug).
     """
     holders = snapshot_holders(products).withColumnRenamed("slug", "slug_normalizado")
-    joined = items.join(holders, "slug_normalizado", "left")
+    joined = lookup(items, holders, "slug_normalizado")
     conflict = other_holder(F.col("h_min"), F.col("h_max"), F.col("product_id"))
     return joined.select(
         *items.columns,
@@ -109,7 +110,7 @@ def prepare_claims(claims: DataFrame, products: DataFrame, failures: DataFrame |
     )
     kept = ["item_id", "okey", "product_id", "eligible", "slug1", "lvl", "slug2"]
     asked = base.select(*kept, F.explode(F.filter(F.array("slug1", "slug2"), lambda s: s.isNotNull())).alias("slug"))
-    probed = asked.join(snapshot_holders(products), "slug", "left").join(
+    probed = lookup(asked, snapshot_holders(products), "slug").join(
         failures_of(failures, PROBE_SLUG, "slug", "failed", claims), "slug", "left"
     )
     holder = other_holder(F.col("h_min"), F.col("h_max"), F.col("product_id"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slugmend.functions.slug import product_path
 from slugmend.functions.text import template
+from slugmend.operators.lookup import lookup
 from slugmend.operators.outcomes import failures_of, outcome_per, registry_per_path
 from slugmend.schemas import (
     MSG_PROBE_FAILED,
@@ -74,7 +75,7 @@ def redirect_outcome(plan_input: DataFrame, outcomes: DataFrame, key: str = "pro
     without an outcome row succeeds.
     """
     plan = redirect_plan(plan_input, key)
-    tried = plan.join(outcome_per(outcomes, "from_path"), "from_path", "left")
+    tried = lookup(plan, outcome_per(outcomes, "from_path"), "from_path")
     first_fail = tried.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_planned"),
         F.min(F.when(F.coalesce("erro", F.lit(False)), F.struct("seq", "from_path", "msg"))).alias("fail"),
@@ -120,7 +121,7 @@ def wrongful_redirects(items: DataFrame, registry: DataFrame, removals: DataFram
     rem = outcome_per(removals, "from_path").select(
         F.col("from_path").alias("path_atual"), F.col("erro").alias("_rem_erro"), F.col("msg").alias("_rem_msg")
     )
-    joined = probe.join(reg, "path_atual", "left").join(rem, "path_atual", "left")
+    joined = lookup(probe, reg.join(rem, "path_atual", "full"), "path_atual")
     exists = F.col("destino_antigo").isNotNull()
     rem_failed = F.coalesce(F.col("_rem_erro"), F.lit(False))
     return joined.select(
@@ -206,7 +207,7 @@ def redirect_timeline(
         rem = outcome_per(removals, "from_path").select(
             F.col("from_path").alias("path"), F.col("erro").alias("_rem_erro"), F.col("msg").alias("_rem_msg")
         )
-        probes = probes.join(rem, "path", "left")
+        probes = lookup(probes, rem, "path")
     else:
         probes = probes.withColumn("_rem_erro", F.lit(None).cast("boolean")).withColumn(
             "_rem_msg", F.lit(None).cast("string")
