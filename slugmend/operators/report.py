@@ -44,11 +44,16 @@ def run_last_seen(log: DataFrame) -> DataFrame:
 
 def latest_run(log: DataFrame) -> DataFrame:
     """The run with the latest time (runs without any time sort last)."""
-    return (
-        run_last_seen(log)
-        .orderBy(F.col("max_t").desc_nulls_last(), F.col("execution_id").asc())
-        .limit(1)
-    )
+    return _latest(run_last_seen(log))
+
+
+def _latest(last_seen: DataFrame) -> DataFrame:
+    return last_seen.orderBy(F.col("max_t").desc_nulls_last(), F.col("execution_id").asc()).limit(1)
+
+
+def latest_recorded_run(facts: DataFrame) -> DataFrame:
+    """:func:`latest_run` from the facts of runs (``sources.runfacts``)."""
+    return _latest(facts.groupBy("execution_id").agg(F.max("max_t").alias("max_t")))
 
 
 def run_summaries(log: DataFrame) -> DataFrame:
@@ -138,7 +143,15 @@ def status_frequency(log: DataFrame) -> DataFrame:
     The rank window runs over the aggregated rows (at most one per status
     and run), so its partitions are bounded however large a run is.
     """
-    counts = log.groupBy("execution_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    return _ranked(log.groupBy("execution_id", "status").agg(F.count(F.lit(1)).alias("n")))
+
+
+def recorded_status_frequency(facts: DataFrame) -> DataFrame:
+    """:func:`status_frequency` from the facts of runs (``sources.runfacts``)."""
+    return _ranked(facts.select("execution_id", "status", "n"))
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
     w = Window.partitionBy("execution_id").orderBy(F.col("n").desc(), F.col("status").asc_nulls_last())
     return counts.withColumn("ordem", F.row_number().over(w).cast("bigint"))
 

@@ -23,6 +23,7 @@ from slugmend.schemas import DEFAULT_BATCH_SIZE, LOG_COLUMNS
 from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
 from slugmend.sources.finalkeys import final_keys, merge_final_keys
+from slugmend.sources.runfacts import record_runs
 from slugmend.sources.runlog import append_log, read_log, to_log_schema
 
 log = logging.getLogger("slugmend")
@@ -179,6 +180,8 @@ def run_correction(
     if log_path is not None:
         out = materialise(out, "log_rows")
         append_log(out, log_path, log_format, execution_id=execution_id)
+        if log_format == "parquet":
+            record_runs(spark, log_path)
         if final_keys_path is not None:
             merge_final_keys(out, final_keys_path)
         cuts.release(spark, start)

@@ -231,6 +231,18 @@ SQL: dict[str, str] = {
         SELECT execution_id, max(coalesce(data_execucao, "timestamp")) AS max_t
         FROM run_log GROUP BY execution_id
         ORDER BY max_t DESC NULLS LAST, execution_id LIMIT 1""",
+    "run_facts": """
+        SELECT execution_id, status, count(*) AS n,
+               min(coalesce(data_execucao, "timestamp")) AS min_t, max(coalesce(data_execucao, "timestamp")) AS max_t
+        FROM run_log GROUP BY execution_id, status""",
+    "latest_run_recorded": """
+        SELECT execution_id, max(coalesce(data_execucao, "timestamp")) AS max_t
+        FROM run_log GROUP BY execution_id
+        ORDER BY max_t DESC NULLS LAST, execution_id LIMIT 1""",
+    "status_frequency_recorded": """
+        SELECT execution_id, status, n,
+               row_number() OVER (PARTITION BY execution_id ORDER BY n DESC, status NULLS LAST) AS ordem
+        FROM (SELECT execution_id, status, count(*) AS n FROM run_log GROUP BY execution_id, status)""",
     "run_summary": "SELECT * FROM summaries",
     "latest_run_summary": """
         SELECT * FROM summaries

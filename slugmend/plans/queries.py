@@ -22,6 +22,7 @@ from slugmend.plans import correction
 from slugmend.sources import cuts
 from slugmend.sources.cuts import materialise
 from slugmend.sources.finalkeys import final_keys, merge_final_keys
+from slugmend.sources.runfacts import record_runs, run_facts
 from slugmend.sources import fixtures as fx
 from slugmend.schemas import DEFAULT_BATCH_SIZE
 
@@ -97,6 +98,27 @@ def q_latest_run(spark: SparkSession, d: str) -> DataFrame:
     return report.latest_run(fx.run_log(spark, d))
 
 
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    """The facts of a log's runs, recorded beside it."""
+    log, path = fx.run_log(spark, d), cuts.new_path(spark, "log")
+    log.write.partitionBy("execution_id").parquet(path)
+    cuts.keep(spark, path, log.schema)
+    record_runs(spark, path)
+    return run_facts(spark, path)
+
+
+def q_run_facts(spark: SparkSession, d: str) -> DataFrame:
+    return _facts(spark, d)
+
+
+def q_latest_run_recorded(spark: SparkSession, d: str) -> DataFrame:
+    return report.latest_recorded_run(_facts(spark, d))
+
+
+def q_status_frequency_recorded(spark: SparkSession, d: str) -> DataFrame:
+    return report.recorded_status_frequency(_facts(spark, d))
+
+
 def q_run_summary(spark: SparkSession, d: str) -> DataFrame:
     return report.run_summaries(fx.run_log(spark, d))
 
@@ -204,6 +226,9 @@ QUERIES: dict[str, Query] = {
     "effective_time": q_effective_time,
     "run_last_seen": q_run_last_seen,
     "latest_run": q_latest_run,
+    "run_facts": q_run_facts,
+    "latest_run_recorded": q_latest_run_recorded,
+    "status_frequency_recorded": q_status_frequency_recorded,
     "run_summary": q_run_summary,
     "latest_run_summary": q_latest_run_summary,
     "run_severity": q_run_severity,

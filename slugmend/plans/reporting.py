@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slugmend.operators import report
+from slugmend.sources.runfacts import run_facts
+from slugmend.sources.runlog import read_log
 
 
 @dataclass
@@ -39,6 +41,19 @@ def resolve_execution_id(log: DataFrame, execution_id: str | None = None) -> str
     return row["execution_id"]
 
 
+def report_of_log(spark: SparkSession, path: str, execution_id: str | None = None) -> RunReport:
+    """Report for one run of the log at ``path`` (partitioned by run; default: the latest).
+
+    The latest run comes from the facts of runs, so only the reported run's folder is read.
+    """
+    if not execution_id:
+        row = report.latest_recorded_run(run_facts(spark, path)).first()
+        if row is None:
+            raise ValueError("the log has no runs, so there is none to report")
+        execution_id = row["execution_id"]
+    return build_report(read_log(spark, path), execution_id)
+
+
 def build_report(log: DataFrame, execution_id: str | None = None, check_empty: bool = True) -> RunReport:
     """Report for one run (default: the latest).
 

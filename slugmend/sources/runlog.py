@@ -2,9 +2,11 @@
 
 The log is an append-only table. Parquet paths are the default format
 (Delta is used when its package is on the classpath and asked for).
-Appending a batch with an extra column works because readers merge the
-Parquet footers (``mergeSchema``); appending to a catalogue table with a
-changed schema does not, so the writer targets paths.
+Appending a batch with an extra column works because the log's columns are
+listed beside it (``sources.logschema``) and readers take them from there; logs
+that have no list yet are read by merging the Parquet footers (``mergeSchema``).
+Appending to a catalogue table with a changed schema does not work, so the
+writer targets paths.
 """
 
 from __future__ import annotations
@@ -12,12 +14,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slugmend.schemas import LEGACY_TIME_COLUMN, LOG_SCHEMA, NON_NULL_LOG_COLUMNS
+from slugmend.sources.logschema import known_schema, move_new, record_schema
 
 
 def to_log_schema(df: DataFrame) -> DataFrame:
@@ -88,6 +90,8 @@ def append_log(
         raise ValueError(f"nulls in required log columns: {nulls}")
     if execution_id is not None and _has_run(df.sparkSession, path, fmt, execution_id):
         raise RunAlreadyLogged(f"the log at {path} already has rows of run {execution_id}")
+    if fmt == "parquet":
+        record_schema(df.sparkSession, path, out.schema)
     writer = out.write.mode("append").option("mergeSchema", "true").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -109,26 +113,25 @@ def publish_run(spark: SparkSession, staged: str, path: str) -> None:
         runs = [f.getPath() for f in fs.listStatus(source) if f.isDirectory()]
         if len(runs) > 1:
             raise ValueError(f"rows of {len(runs)} runs in one append")
-        none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
         for run in runs:
             where = hadoop.Path(target, run.getName())
-            try:
-                hadoop.FileContext.getFileContext(source.toUri(), conf).rename(run, where, none)
-            except Py4JJavaError as e:
-                if not fs.exists(where):
-                    raise
-                raise RunAlreadyLogged(f"the log at {path} already has {run.getName()}") from e
+            if not move_new(spark, run.toString(), where.toString()):
+                raise RunAlreadyLogged(f"the log at {path} already has {run.getName()}")
     finally:
         fs.delete(source, True)
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Fresh read of the log (stale file listings dropped, schemas merged), log columns first.
+    """Fresh read of the log (stale file listings dropped), log columns first.
 
+    The columns come from the list beside the log, without opening its files; from the
+    footers of all files where there is no list.
     Run ids that are partition folders are text, whatever they look like.
     """
     spark.catalog.refreshByPath(path)
-    log = spark.read.format(fmt).option("mergeSchema", "true").load(path)
+    columns = known_schema(spark, path) if fmt == "parquet" else None
+    reader = spark.read.format(fmt)
+    log = (reader.option("mergeSchema", "true") if columns is None else reader.schema(columns)).load(path)
     first = [c for c in LOG_SCHEMA.fieldNames() if c in log.columns]
     log = log.select(*first, *(c for c in log.columns if c not in first))
     return log.withColumn("execution_id", F.col("execution_id").cast("string")) if "execution_id" in first else log
