@@ -15,13 +15,13 @@ relative to now. States are numbered as they are met (lazy determinisation);
 each transition is annotated with the tokens it adds (which may be negative
 when a merge swallows earlier tokens).
 
-*Chunks.* Characters across which no piece reaches (a space mark after other
-text, a character outside every piece) reset the automaton. A chunk of text is
-summarised as a state map of constant size: the part before its first reset
-(whose effect depends on the state it is entered in), the count from there on,
-and the part after its last reset. Maps compose associatively, so the counts
-before every chunk come from a prefix scan, and a text of any length is
-counted in chunks.
+*Chunks.* A chunk of text is a state map, entry state -> (exit state, tokens
+added), filled for the states that it is asked for. Maps compose associatively, by
+states and numbers only; a prefix scan asks each chunk for the one state that
+the chunks before it end in, and drops it, so a text of any length is counted in the
+room of one chunk. Characters across which no piece reaches (a space mark after
+other text, a character outside every piece) reset the automaton: what lies between
+a chunk's first and last reset adds the same number whatever the entry state.
 
 One map over the texts, no shuffle. Units between resets are cached by a worker
 (bounded), and the transition table is bounded too; both restart when full.
@@ -34,9 +34,7 @@ repeated rows; an empty table gives an empty result; further columns are ignored
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import accumulate
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import sentencepiece
@@ -51,6 +49,11 @@ CACHE_UNITS = 400_000
 MAX_STATES = 400_000
 
 
+#: A state: (suffix, last token before it or "", tokens before it less tokens now), longest suffix first.
+State = tuple[tuple[str, str, int], ...]
+START: State = (("", "", 0),)
+
+
 class Transducer:
     """States and annotated transitions of a vocabulary, compiled as they are met."""
 
@@ -64,10 +67,19 @@ class Transducer:
         self.restart()
 
     def restart(self) -> None:
-        # A state: (suffix, last token before it or "", tokens before it less tokens now), longest suffix first.
-        self.states: list[tuple[tuple[str, str, int], ...]] = [(("", "", 0),)]
-        self.numbers = {self.states[0]: 0}
-        self.steps: list[dict[str, tuple[int, int]]] = [{}]
+        self.states: list[State] = []
+        self.numbers: dict[State, int] = {}
+        self.steps: list[dict[str, tuple[int, int]]] = []
+        self.number(START)
+
+    def number(self, state: State) -> int:
+        """The state's number in the tables; states outlive a restart of the tables, numbers do not."""
+        found = self.numbers.get(state)
+        if found is None:
+            found = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.steps.append({})
+        return found
 
     def merge(self, text: str) -> list[str]:
         """The tokenizer's own rule on a short string: the best-scored adjacent pair merges, leftmost first."""
@@ -111,37 +123,33 @@ class Transducer:
         after = [
             (suffix + char, last, before - added) for suffix, last, before in open_ if suffix + char in self.prefixes
         ]
-        key = (*after, ("", token, 0))
-        number = self.numbers.get(key)
-        if number is None:
-            number = self.numbers[key] = len(self.states)
-            self.states.append(key)
-            self.steps.append({})
-        return number, added
+        return self.number((*after, ("", token, 0))), added
 
-    def count(self, unit: str) -> int:
-        """Tokens of a text that starts behind a reset."""
+    def read(self, entry: State, text: str) -> tuple[State, int]:
+        """(exit state, tokens added) of a text read from the entry state."""
         if len(self.states) > MAX_STATES:
             self.restart()
-        state = total = 0
+        state, total = self.number(entry), 0
         steps = self.steps
-        for char in unit:
+        for char in text:
             found = steps[state].get(char)
             if found is None:
                 found = steps[state][char] = self.step(state, char)
             state, added = found
             total += added
-        return total
+        return self.states[state], total
+
 
+class StateMap(dict[State, tuple[State, int]]):
+    """Entry state -> (exit state, tokens added), filled by ``rule`` for the states that are asked for."""
 
-@dataclass(frozen=True)
-class StateMap:
-    """What a chunk does to any state: ``head`` (until the first reset), ``count`` from there, ``tail`` (from the last
-    reset). A chunk without a reset is its ``head`` alone (``tail`` None)."""
+    def __init__(self, rule: Callable[[State], tuple[State, int]]):
+        super().__init__()
+        self.rule = rule
 
-    head: str
-    count: int = 0
-    tail: str | None = None
+    def __missing__(self, entry: State) -> tuple[State, int]:
+        found = self[entry] = self.rule(entry)
+        return found
 
 
 class Counter(dict):
@@ -166,7 +174,7 @@ class Counter(dict):
     def __missing__(self, unit: str) -> int:
         if len(self) >= CACHE_UNITS:
             self.clear()
-        n = self.transducer.count(unit)
+        n = self.transducer.read(START, unit)[1]
         if len(unit) <= 256:
             self[unit] = n
         return n
@@ -176,33 +184,42 @@ class Counter(dict):
 
     def map_of(self, chunk: str) -> StateMap:
         """The state map of a chunk of marked text."""
-        resets = [i + 1 for i in (_first_reset(chunk), _last_reset(chunk)) if i is not None]
-        if not resets:
-            return StateMap(chunk)
-        first, last = resets
-        return StateMap(chunk[:first], self.total(chunk[first:last]), chunk[last:])
+        read = self.transducer.read
+        first, last = _first_reset(chunk), _last_reset(chunk)
+        if first is None or last is None:
+            return StateMap(lambda entry: read(entry, chunk))
+        head, between, tail = chunk[: first + 1], chunk[first + 1 : last + 1], chunk[last + 1 :]
+
+        def rule(entry: State) -> tuple[State, int]:
+            leave, behind = read(START, tail)
+            return leave, read(entry, head)[1] + self.total(between) + behind
+
+        return StateMap(rule)
 
     def compose(self, a: StateMap, b: StateMap) -> StateMap:
         """a, then b."""
-        if a.tail is None:
-            return StateMap(a.head + b.head, b.count, b.tail)
-        if b.tail is None:
-            return StateMap(a.head, a.count, a.tail + b.head)
-        return StateMap(a.head, a.count + self.total(a.tail + b.head) + b.count, b.tail)
+
+        def rule(entry: State) -> tuple[State, int]:
+            middle, first = a[entry]
+            leave, second = b[middle]
+            return leave, first + second
+
+        return StateMap(rule)
 
     def run(self, m: StateMap) -> int:
         """Tokens of a map entered in the start state."""
-        return self.total(m.head) + m.count + (self.total(m.tail) if m.tail else 0)
+        return m[START][1]
 
     def __call__(self, text: str) -> int:
         if not text:
             return 0
-        marked = MARK + text.replace(" ", MARK)
-        if len(marked) <= CHUNK_CHARS:
-            return self.total(marked)
-        maps = [self.map_of(marked[i : i + CHUNK_CHARS]) for i in range(0, len(marked), CHUNK_CHARS)]
-        *_, whole = accumulate(maps, self.compose)
-        return self.run(whole)
+        if len(text) < CHUNK_CHARS:
+            return self.total(MARK + text.replace(" ", MARK))
+        state, tokens = self.map_of(MARK)[START]
+        for i in range(0, len(text), CHUNK_CHARS):
+            state, added = self.map_of(text[i : i + CHUNK_CHARS].replace(" ", MARK))[state]
+            tokens += added
+        return tokens
 
 
 _RESET = re.compile(f"[^{MARK}](?={MARK})")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -60,6 +61,33 @@ def test_state_maps_compose(own, size, monkeypatch):
     assert own(text) == len(LIBRARY.encode(text))
 
 
+def test_a_long_text_without_a_space_takes_the_room_of_a_chunk(own):
+    """Memory beside the text does not grow with it."""
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 97)] + ["a", "b", "。"]
+    line = "".join(random.Random(6).choice(alphabet) for _ in range(50_000))
+    peaks = []
+    for times in (4, 40):
+        text = line * times
+        own(text[:200_000])  # tables are filled
+        tracemalloc.start()
+        got = own(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert got == len(LIBRARY.encode(text))
+    assert peaks[1] < 1.5 * peaks[0] + 2**20 and peaks[1] < 2**24
+
+
+def test_maps_of_other_entry_states(own):
+    """A chunk's map asked for several states, before and after its tables restart."""
+    marked = token_count.MARK + "the" * 30 + token_count.MARK + "windings" + "er" * 20
+    want = own.run(own.map_of(marked))
+    for cut in range(1, len(marked)):
+        front, back = own.map_of(marked[:cut]), own.map_of(marked[cut:])
+        state, count = front[token_count.START]
+        own.transducer.restart()
+        assert count + back[state][1] == want == own.run(own.compose(front, back))
+
+
 def test_small_tables(own, monkeypatch):
     monkeypatch.setattr(token_count, "MAX_STATES", 20)
     monkeypatch.setattr(token_count, "CACHE_UNITS", 5)
