@@ -3,10 +3,10 @@
 Kiveris et al., "Connected Components in MapReduce and Beyond" (2014): each
 step reconnects every vertex's neighbours to the smallest of them, until the
 edge set is a star around the smallest vertex of each component. Edges live in
-tables written to the shared checkpoint folder; the driver sees one checksum
-a round. The smallest neighbours (a partial and a final ``min``) are written before
-they meet the edges, so both sides of that join are plain shuffles and AQE can
-split the hub of a large star.
+tables written to the shared checkpoint folder; the driver sees one number
+a round, that of the vertices that are not yet settled. The smallest neighbours (a
+partial and a final ``min``) are written before they meet the edges, so both sides
+of that join are plain shuffles and AQE can split the hub of a large star.
 """
 
 from __future__ import annotations
@@ -31,7 +31,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.select(F.col("y").alias("u"), F.col("m").alias("v")).unionByName(
             joined.select(F.col("x").alias("u"), F.col("m").alias("v"))
         )
-    return out.filter(F.col("u") > F.col("v")).distinct()
+    out = out.filter(F.col("u") > F.col("v"))
+    return out if large else out.distinct()  # a large step makes no more edges than it was given
+
+
+def _unsettled(edges: DataFrame) -> int:
+    """Vertices that keep the edges from being stars around smallest vertices: with two centres, or centre and leaf."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("leaf"), F.lit(1).alias("centre"))
+    )
+    roles = ends.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return roles.filter(F.col("leaf") + F.col("centre") > 1).count()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -40,13 +50,16 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col("u") > F.col("v")).distinct(),
         "edges",
     )
-    mark = None
-    while True:
-        now = materialise(_star(_star(now, True), False), "edges")
-        row = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if row["n"] == 0 or (row["n"], row["x"]) == mark:
-            break
-        mark = (row["n"], row["x"])
+    while _unsettled(now):
+        large = materialise(_star(now, True), "large-star")
+        now = materialise(_star(large, False), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def merged(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Components ``first``, joined further as ``second`` says, whose nodes are roots of ``first`` or not in it."""
+    over = second.select(F.col("node").alias("root"), F.col("root").alias("over"))
+    joined = first.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+    return joined.unionByName(second.join(first.select("node"), "node", "left_anti"))

@@ -39,7 +39,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +48,7 @@ from pyspark.sql import functions as F
 
 from slugmend.llm.collocations import Filter
 from slugmend.llm.common import map_arrow, slices, texts_of, words
-from slugmend.llm.graph import components
+from slugmend.llm.graph import components, merged
 from slugmend.sources.cuts import materialise
 
 _SKETCH = 4  # longs of two-bit minimum hashes
@@ -315,6 +314,12 @@ def _rarest(sets: DataFrame, rules: ForestRules) -> DataFrame:
     )
 
 
+def _joined(now: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links, looked for among their roots only."""
+    over = materialise(components(_between(links, now), "ra", "rb"), "further-components")
+    return materialise(merged(now, over), "components")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> DataFrame:
     """``node``, ``root`` of every class (``node``, ``t``, ``c``, ``sig``) that has a link."""
     rows = materialise(forest(classes, rules), "forest")
@@ -328,19 +333,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
 
     pairs = materialise(neighbours(rows, rules), "neighbours")
     sets = sets_of(ends(pairs))
-    links: list[DataFrame] = []
-
-    def roots() -> DataFrame:
-        return components(reduce(DataFrame.unionByName, links), "a", "b")
-
-    left = materialise(pairs.withColumns({"ra": F.col("a"), "rb": F.col("b")}), "candidates")
-    for last in (False, True):
-        tried = left.select("a", "b") if last else materialise(_best(left), "best")
-        links.append(confirm(tried, sets, rules))
-        if not last:
-            untried = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart")
-            left = materialise(_between(untried, roots()), "candidates")
-    now = materialise(roots(), "components")
+    best = materialise(_best(pairs.withColumns({"ra": F.col("a"), "rb": F.col("b")})), "best")
+    now = materialise(components(confirm(best, sets, rules), "a", "b"), "components")
+    left = materialise(_between(pairs.join(best, ["a", "b"], "left_anti"), now), "candidates")
+    now = _joined(now, confirm(left, sets, rules))
     # Regions: only classes of different components are compared.
     labelled = rows.join(now, "node", "left").withColumn("root", F.coalesce("root", "node")).select(*rows.columns, "root")
     found = materialise(across_regions(labelled, rules), "regions")
@@ -349,12 +345,11 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
     )
     crowded = found.filter(F.col("b").isNull()).select(F.col("a").alias("node"))
     more = sets_of(ends(met).unionByName(crowded))
-    links.append(confirm(met, more, rules))
+    now = _joined(now, confirm(met, more, rules))
     if crowded.isEmpty():
-        return roots()
-    rare = _between(_rarest(more.join(crowded.distinct(), "node", "left_semi"), rules), roots())
-    links.append(confirm(rare, more, rules))
-    return roots()
+        return now
+    rare = _between(_rarest(more.join(crowded.distinct(), "node", "left_semi"), rules), now)
+    return _joined(now, confirm(rare, more, rules))
 
 
 def near_duplicates(docs: DataFrame, rules: ForestRules = ForestRules()) -> DataFrame:
