@@ -29,6 +29,11 @@ variants; their words are fetched by joining their places to the texts. All
 variant hashes of a line come from running XORs of position-bound word hashes,
 so a line of n words costs n, not n squared.
 
+Texts move only where they must. Which lines to fetch and which documents to change is
+asked of a filter of a fixed size (``_SLOTS`` rows of 64 bits, broadcast, made of hashed
+places or ids): what it rules out needs no join and stays where it is. It errs to one
+side only, so the joins behind it decide; when it is full, all rows go through them.
+
 Edge cases: null and empty texts have no line with a word; null ids come last;
 rows with the same id (repeated rows) share their places and are treated
 alike; further columns pass through ``drop_lines`` and are ignored elsewhere;
@@ -43,7 +48,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slugmend.llm.common import WORD_SPACE, temp_name
-from slugmend.sources.cuts import materialise
+from slugmend.sources.cuts import made, mark, materialise, release
+
+
+_SLOTS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -65,6 +73,29 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
+def _slot(key: Column) -> Column:
+    return F.pmod(F.shiftrightunsigned(key, 6), F.lit(_SLOTS))
+
+
+def _bit(key: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(63).cast("int"))
+
+
+def _filter(keys: DataFrame, key: Column) -> DataFrame:
+    """``slot``, ``bits`` of the hashes ``key``: always ``_SLOTS`` rows."""
+    known = keys.groupBy(_slot(key).alias("slot")).agg(F.bit_or(_bit(key)).alias("bits"))
+    slots = keys.sparkSession.range(_SLOTS).withColumnRenamed("id", "slot")
+    return materialise(slots.join(known, "slot", "left").select("slot", F.coalesce("bits", F.lit(0)).alias("bits")).coalesce(1), "filter")
+
+
+def _asked(df: DataFrame, key: Column, known: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name``: whether the hash ``key`` may be among those of the filter."""
+    slot, bits = temp_name(df, "slot"), temp_name(df, "bits")
+    known = known.select(F.col("slot").alias(slot), F.col("bits").alias(bits))
+    met = df.join(F.broadcast(known), _slot(key) == F.col(slot))
+    return met.withColumn(name, F.col(bits).bitwiseAND(_bit(key)) != 0).drop(slot, bits)
+
+
 def _halves() -> Column:
     """Hashes of the half lines that a partner must share; see the module's text."""
     n = F.size("w")
@@ -170,10 +201,12 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     places = suspects.select("h", "n", "first", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
     at_place = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
     # Rows that repeat an id have several lines at a place: the hash tells the one that is meant.
+    known = _filter(places, F.xxhash64("d", "l"))
+    asked = _asked(lines(docs), F.xxhash64("doc_id", "line_no"), known, "asked").filter("asked").drop("asked")
     fetched = (
         # Lines are shuffled as they are, in less room than their words. The words come from
         # a generator, behind which the filter stays: they are split once, for joined lines only.
-        lines(docs).join(places, at_place)
+        asked.join(places, at_place)
         .select("h", "n", "first", F.explode(F.array(_words(F.col("line")))).alias("w"))
         .filter((F.size("w") == F.col("n")) & (F.xxhash64("w", F.lit(1)) == F.col("h")))
         .groupBy("h", "n", "first").agg(F.any_value("w").alias("w"))
@@ -201,21 +234,26 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 def drop_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents with all columns, their repeated lines taken out of ``text``, ``n_chars`` (if there is one)
     counted anew. A document that loses every line that has a word goes."""
+    since = mark()
     gone = materialise(
         decide_lines(docs, rules).filter(~F.col("kept"))
         .groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone")),
         "gone",
     )
-    key, lost, left = temp_name(docs, "gone_doc"), temp_name(docs, "gone"), temp_name(docs, "left")
-    joined = docs.join(
-        gone.select(F.col("doc_id").alias(key), F.col("gone").alias(lost)), docs["doc_id"].eqNullSafe(F.col(key)), "left"
+    release(docs.sparkSession, only=made(since)[:-1])  # the tables of the decision
+    key, lost, left, asked = (temp_name(docs, c) for c in ("gone_doc", "gone", "left", "asked"))
+    marked = _asked(docs, F.xxhash64("doc_id"), _filter(gone, F.xxhash64("doc_id")), asked)
+    whole = marked.filter(~F.col(asked)).select(*docs.columns)
+    marked = marked.filter(asked)
+    joined = marked.join(
+        gone.select(F.col("doc_id").alias(key), F.col("gone").alias(lost)), F.col("doc_id").eqNullSafe(F.col(key)), "left"
     )
     stays = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(lost, i))
     text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
     joined = joined.withColumn(left, text).filter(
         F.col(lost).isNull() | F.coalesce(F.trim(F.regexp_replace(left, WORD_SPACE, " ")) != "", F.lit(False))
     )
-    return joined.select(*(_column(docs, c, left) for c in docs.columns))
+    return whole.unionByName(joined.select(*(_column(docs, c, left) for c in docs.columns)))
 
 
 def _column(docs: DataFrame, c: str, text: str) -> Column:

@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slugmend.llm.common import map_arrow, slices, temp_name, texts_of, words
-from slugmend.llm.graph import components
-from slugmend.sources.cuts import materialise
+from slugmend.llm.graph import components, merged
+from slugmend.sources.cuts import made, mark, materialise, release
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -144,12 +144,7 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
         .distinct()
     )
     second = materialise(components(across, "ca", "cb"), "second-components")
-    joined = first.join(
-        second.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left"
-    ).select("node", F.coalesce("over", "root").alias("root"))
-    # A fingerprint without a first-round link can still be joined in the second.
-    alone = second.join(first.select("node"), "node", "left_anti")
-    return joined.unionByName(alone)
+    return merged(first, second)
 
 
 def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
@@ -192,6 +187,7 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: i
 
     schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
     rows = materialise(docs.transform(map_arrow, run, schema).withColumn(row_no, F.monotonically_increasing_id()), "printed")
+    since = mark()
     prints = rows.select(F.col(fp).alias("fp"), F.col("doc_id"), F.col(row_no).alias("row_no"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no"))
     rooted = materialise(prints.join(_classes(prints, max_bits).select("fp", "root"), "fp"), "rooted-rows")
@@ -204,4 +200,5 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: i
     gone = materialise(
         rooted.join(several, "root").filter(F.col("row_no") != F.col("stays")).select(F.col("row_no").alias(row_no)), "gone"
     )
+    release(docs.sparkSession, only=made(since)[:-1])  # all but the rows that go
     return rows.join(gone, row_no, "left_anti").select(*columns)
