@@ -195,7 +195,8 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     near-equal line of that first one, if any (``near_doc_id``, ``near_line_no``)."""
     hashed = materialise(_hashed_lines(docs, rules), "lines")
     distinct = materialise(
-        hashed.groupBy("h", "n").agg(F.min(_place()).alias("first"), F.first("halves").alias("halves")), "distinct-lines"
+        hashed.groupBy("h", "n").agg(F.min(_place()).alias("first"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("copies")),
+        "distinct-lines",
     )
     suspects = materialise(_suspects(distinct), "suspect-lines")
     places = suspects.select("h", "n", "first", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
@@ -218,16 +219,25 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         fetched.select(F.col("first").alias("near"), F.col("w").alias("near_w")), "near"
     ).filter(_without("w", "own_at") == _without("near_w", "near_at"))
     verified = materialise(verified.select("h", "n", "near").distinct(), "verified-lines")
-    verdict = materialise(distinct.select("h", "n", "first").join(verified, ["h", "n"], "left"), "verdicts")
-    return (
-        hashed.select("doc_id", "line_no", "h", "n")
-        .join(verdict, ["h", "n"])
-        .select(
-            "doc_id", "line_no", F.col("n").alias("n_words"),
-            ((_place() == F.col("first")) & F.col("near").isNull()).alias("kept"),
-            F.col("first.doc_id").alias("equal_doc_id"), F.col("first.line_no").alias("equal_line_no"),
-            F.col("near.doc_id").alias("near_doc_id"), F.col("near.line_no").alias("near_line_no"),
-        )
+    verdict = materialise(
+        distinct.select("h", "n", "first", "copies").join(verified, ["h", "n"], "left")
+        .filter((F.col("copies") > 1) | F.col("near").isNotNull()).drop("copies"),
+        "verdicts",
+    )
+    # A line that stands once and is near no earlier one is its own first: most lines, which need no join.
+    asked = _asked(hashed.select("doc_id", "line_no", "h", "n"), F.col("h"), _filter(verdict, F.col("h")), "asked")
+    alone = asked.filter(~F.col("asked")).select(
+        "*", F.lit(None).cast(verdict.schema["first"].dataType).alias("first"),
+        F.lit(None).cast(verdict.schema["near"].dataType).alias("near"),
+    )
+    found = asked.filter("asked").join(verdict, ["h", "n"], "left").select(*alone.columns)
+    own = F.col("first").isNull()
+    return alone.unionByName(found).select(
+        "doc_id", "line_no", F.col("n").alias("n_words"),
+        (own | ((_place() == F.col("first")) & F.col("near").isNull())).alias("kept"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("equal_doc_id"),
+        F.when(own, F.col("line_no")).otherwise(F.col("first.line_no")).alias("equal_line_no"),
+        F.col("near.doc_id").alias("near_doc_id"), F.col("near.line_no").alias("near_line_no"),
     )
 
 
