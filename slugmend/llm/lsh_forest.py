@@ -18,7 +18,11 @@ one of the trees. Scans of the orders emit candidates:
    crowded ones deeper. In it classes of different components are compared.
 3. *Crowded regions* with more than ``region`` classes at full depth and more than one
    component are not cut off: their classes are joined exactly, on the rarest
-   shingles of each set, of which similar sets share one (prefix filter).
+   shingles of each set. Of two similar sets of n <= m shingles the first common one,
+   rarest first, stands in the first ninth of the smaller set and the first fifth of
+   the larger one, and enough shingles are left behind it in both for the limit (prefix
+   and position filter). Within a shingle's sets nothing is paired inside a component,
+   nor inside the component that most of them belong to.
 
 A link inside a component cannot change it and is not looked for, so a group of near
 copies costs its neighbours, not its pairs. Candidates are first held against each
@@ -127,8 +131,10 @@ def _prefix_names(rules: ForestRules) -> list[str]:
 
 
 def forest(classes: DataFrame, rules: ForestRules) -> DataFrame:
-    """Of every class and tree a row: hashes of the prefixes from ``top`` values on, ``node``, and the two-bit hashes."""
+    """Of every class and tree a row: hashes of the prefixes from ``top`` values on, ``node``, the two-bit hashes
+    and, if the classes have one, ``root``."""
     prefixes = _prefix_names(rules)
+    labels = [c for c in classes.columns if c == "root"]
     sketch = [f"s{i}" for i in range(_SKETCH)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,10 +154,11 @@ def forest(classes: DataFrame, rules: ForestRules) -> DataFrame:
                 if d + 1 >= rules.top:
                     columns.append(pa.array(h.view(np.int64)))
             columns += [pa.array(node), *(pa.array(longs[:, i]) for i in range(_SKETCH))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*prefixes, "node", *sketch])
+            columns += [pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), rules.trees)) for c in labels]
+            yield pa.RecordBatch.from_arrays(columns, names=[*prefixes, "node", *sketch, *labels])
 
-    schema = ", ".join(f"{c} long" for c in [*prefixes, "node", *sketch])
-    return classes.select("node", "sig").transform(map_arrow, run, schema)
+    schema = ", ".join(f"{c} long" for c in [*prefixes, "node", *sketch, *labels])
+    return classes.select("node", "sig", *labels).transform(map_arrow, run, schema)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -288,8 +295,12 @@ def _best(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("of").agg(F.min(F.struct("apart", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _rarest(sets: DataFrame, rules: ForestRules) -> DataFrame:
-    """Pairs of sets that share one of their rarest shingles, as all similar sets do."""
+def _rarest(sets: DataFrame, roots: DataFrame, rules: ForestRules) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets of different components that share one of their rarest shingles, as all similar sets do.
+
+    ``at`` is a shingle's place in its set, rarest first. Similar sets share ``percent`` shares of
+    100 + ``percent`` of both sizes at least, and not more than stands in either from the first common one on."""
+    p = rules.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -302,17 +313,34 @@ def _rarest(sets: DataFrame, rules: ForestRules) -> DataFrame:
     often = materialise(every.groupBy("h").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "crowded-counts")
     # A shingle of one set only is the rarest there is, and pairs nobody: it counts, but needs no row.
     shared = every.join(often, "h")
-    room = F.col("n") - F.ceil(F.col("n") * rules.percent / 100) + 1
     own = shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("l"))
-    keys = own.withColumn("room", room - (F.col("n") - F.size("l"))).filter("room > 0").select(
-        "node", F.explode(F.slice("l.h", F.lit(1), F.col("room").cast("int"))).alias("h")
+    own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = own.select("node", "n", "root", F.size("l").alias("some"), F.posexplode("l").alias("no", "k"))
+    placed = placed.select("node", "n", "root", (F.col("n") - F.col("some") + F.col("no")).alias("at"), "k.h")
+    left = F.col("n") - F.col("at")
+    keys = materialise(placed.filter(100 * left >= p * F.col("n")), "crowded-keys")
+    parts = keys.groupBy("h", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("h")
+    mixed = materialise(
+        parts.agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("size", "root")).alias("most"))
+        .filter("parts > 1").select("h", "most"),
+        "mixed-keys",
+    )
+    met = materialise(keys.join(mixed, "h").withColumn("out", F.col("root") != F.col("most")).drop("most"), "mixed")
+    # The smaller set of two (by size, then node) is a; its first common shingle stands further ahead.
+    one = met.filter((100 + p) * left >= 2 * p * F.col("n")).select(
+        "h", "out", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), left.alias("la")
     )
-    keys = materialise(keys, "crowded-keys")
-    return (
-        keys.select("h", F.col("node").alias("a")).join(keys.select("h", F.col("node").alias("b")), "h")
-        .filter(F.col("a") < F.col("b")).select("a", "b").distinct()
+    two = met.select("h", "out", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), left.alias("lb"))
+    similar = (
+        (F.col("ra") != F.col("rb")) & (F.struct("na", "a") < F.struct("nb", "b")) & (100 * F.col("na") >= p * F.col("nb"))
+        & ((100 + p) * F.least("la", "lb") >= p * (F.col("na") + F.col("nb")))
     )
 
+    def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.drop("out").join(y.drop("out"), "h").filter(similar).select("a", "b")
+
+    return pairs(one.filter("out"), two).unionByName(pairs(one.filter(~F.col("out")), two.filter("out"))).distinct()
+
 
 def _joined(now: DataFrame, links: DataFrame) -> DataFrame:
     """The components with further links, looked for among their roots only."""
@@ -322,7 +350,6 @@ def _joined(now: DataFrame, links: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> DataFrame:
     """``node``, ``root`` of every class (``node``, ``t``, ``c``, ``sig``) that has a link."""
-    rows = materialise(forest(classes, rules), "forest")
     where = classes.select("node", "t", "c")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
@@ -331,15 +358,15 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
-    pairs = materialise(neighbours(rows, rules), "neighbours")
+    pairs = materialise(neighbours(forest(classes, rules), rules), "neighbours")
     sets = sets_of(ends(pairs))
     best = materialise(_best(pairs.withColumns({"ra": F.col("a"), "rb": F.col("b")})), "best")
     now = materialise(components(confirm(best, sets, rules), "a", "b"), "components")
     left = materialise(_between(pairs.join(best, ["a", "b"], "left_anti"), now), "candidates")
     now = _joined(now, confirm(left, sets, rules))
-    # Regions: only classes of different components are compared.
-    labelled = rows.join(now, "node", "left").withColumn("root", F.coalesce("root", "node")).select(*rows.columns, "root")
-    found = materialise(across_regions(labelled, rules), "regions")
+    # Regions: only classes of different components are compared. Classes are labelled, not their rows in every tree.
+    labelled = classes.select("node", "sig").join(now, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = materialise(across_regions(forest(labelled, rules), rules), "regions")
     met = materialise(
         found.filter(F.col("b").isNotNull()).select("a", "b").join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "met"
     )
@@ -348,7 +375,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, rules: ForestRules) -> Dat
     now = _joined(now, confirm(met, more, rules))
     if crowded.isEmpty():
         return now
-    rare = _between(_rarest(more.join(crowded.distinct(), "node", "left_semi"), rules), now)
+    rare = _rarest(more.join(crowded.distinct(), "node", "left_semi"), now, rules)
     return _joined(now, confirm(rare, more, rules))
 
 

@@ -87,6 +87,29 @@ def test_groups_chains_and_templates(spark):
     check(df, data, ForestRules(region=4))
 
 
+def test_a_crowded_group_is_not_paired_with_itself(spark, monkeypatch):
+    """Near copies of one text, some of them just too far from all others: few pairs, and no link is lost."""
+    rnd = random.Random(6)
+    base, data = [f"b{i}" for i in range(150)], []
+    for i in range(400):  # one to nine words changed: some are linked with many, some with none
+        w = list(base)
+        for at in rnd.sample(range(150), 1 if i < 300 else rnd.randint(5, 9)):
+            w[at] = f"n{i}x{at}"
+        data.append((i, " ".join(w)))
+    for i in range(60):  # of other sizes: the front or the back is cut off
+        w = base[rnd.randrange(40) :] if i % 2 else base[: 150 - rnd.randrange(40)]
+        data.append((400 + i, " ".join([*w, f"e{i}"])))
+    made = []
+
+    def rarest(*args, own=lsh_forest._rarest):
+        made.append(own(*args).cache())
+        return made[-1]
+
+    monkeypatch.setattr(lsh_forest, "_rarest", rarest)
+    check(spark.createDataFrame(data, "doc_id long, text string").repartition(3), data, ForestRules(region=4))
+    assert len(made) == 1 and made[0].count() < 20 * len(data)  # all pairs: 230 times
+
+
 def test_odd_rows(odd_docs, clashing_docs, no_docs):
     check(clashing_docs, [(r.doc_id, r.text) for r in odd_docs.collect()])
     check(no_docs, [])
