@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from slugmend.llm import graph
 from slugmend.sources.cuts import materialise
 
 
@@ -21,6 +22,21 @@ def test_stages(spark):
     assert sorted(got.select(pick).collect()) == sorted(last.select(pick).collect())
 
 
+def test_near_duplicate_stage_leaves_no_shuffle_files(spark, monkeypatch):
+    """Only the counts of the components' rounds leave some, of a few rows: two exchanges each."""
+    rounds = []
+    monkeypatch.setattr(graph, "_unsettled", lambda edges, own=graph._unsettled: rounds.append(1) or own(edges))
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n")
+        return {b.split("_")[1] for b in blocks.split("\n") if b.startswith("shuffle_")}
+
+    had = shuffles()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    corpus_pipeline.near_duplicates_stage(spark, docs, "")
+    assert rounds and len(shuffles() - had) <= 2 * len(rounds)
+
+
 def test_odd_rows(spark, odd_docs, clashing_docs, no_docs):
     for start in (odd_docs, clashing_docs, no_docs):
         docs = start
