@@ -193,12 +193,18 @@ def decide_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """One row per line of at least ``min_words`` words: ``doc_id``, ``line_no``, ``n_words``, ``kept``,
     the earliest equal line (``equal_doc_id``, ``equal_line_no``: itself if it is the first) and an earlier
     near-equal line of that first one, if any (``near_doc_id``, ``near_line_no``)."""
+    since = mark()
     hashed = materialise(_hashed_lines(docs, rules), "lines")
     distinct = materialise(
         hashed.groupBy("h", "n").agg(F.min(_place()).alias("first"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("copies")),
         "distinct-lines",
     )
     suspects = materialise(_suspects(distinct), "suspect-lines")
+    # The half-line hashes, most of both tables, have done their work: they go before variants are made.
+    wide = made(since)[:-1]
+    hashed = materialise(hashed.drop("halves"), "lines")
+    distinct = materialise(distinct.drop("halves"), "distinct-lines")
+    release(docs.sparkSession, only=wide)
     places = suspects.select("h", "n", "first", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
     at_place = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l"))
     # Rows that repeat an id have several lines at a place: the hash tells the one that is meant.

@@ -9,6 +9,7 @@ from llm_rows import documents, rows
 
 from slugmend.llm import line_dedup
 from slugmend.llm.queries import QUERIES
+from slugmend.sources import cuts
 
 
 def one_edit(a, b):
@@ -78,6 +79,21 @@ def test_odd_rows(odd_docs, clashing_docs, no_docs):
     assert line_dedup.decide_lines(no_docs).count() == 0 and line_dedup.drop_lines(no_docs).count() == 0
 
 
+def test_half_line_hashes_are_gone_when_variants_are_made(spark, monkeypatch):
+    """The tables that hold them are written without them and deleted before the largest joins."""
+    held = []
+
+    def variants(df, own=line_dedup._variants):
+        held.extend(c for path in cuts.made(since) for c in spark.read.parquet(path).columns)
+        return own(df)
+
+    monkeypatch.setattr(line_dedup, "_variants", variants)
+    since = cuts.mark()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert line_dedup.decide_lines(docs).count() > 0
+    assert "copies" in held and "halves" not in held and "half" not in held
+
+
 def test_drop_lines(odd_docs, clashing_docs):
     out = line_dedup.drop_lines(clashing_docs)
     assert out.schema.names == clashing_docs.schema.names
