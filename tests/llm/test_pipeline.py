@@ -23,18 +23,23 @@ def test_stages(spark):
 
 
 def test_near_duplicate_stage_leaves_no_shuffle_files(spark, monkeypatch):
-    """Only the counts of the components' rounds leave some, of a few rows: two exchanges each."""
-    rounds = []
-    monkeypatch.setattr(graph, "_unsettled", lambda edges, own=graph._unsettled: rounds.append(1) or own(edges))
+    """Only the counts of the components' rounds leave some, of a few rows."""
 
     def shuffles():
         blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n")
         return {b.split("_")[1] for b in blocks.split("\n") if b.startswith("shuffle_")}
 
-    had = shuffles()
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    def unsettled(edges, own=graph._unsettled):
+        before = shuffles()
+        found = own(edges)
+        counted.update(shuffles() - before)
+        return found
+
+    had, counted = shuffles(), set()
+    monkeypatch.setattr(graph, "_unsettled", unsettled)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
     corpus_pipeline.near_duplicates_stage(spark, docs, "")
-    assert rounds and len(shuffles() - had) <= 2 * len(rounds)
+    assert counted and not shuffles() - had - counted
 
 
 def test_odd_rows(spark, odd_docs, clashing_docs, no_docs):
