@@ -172,3 +172,70 @@ def test_names_around_and_inside_articles():
         assert kept(f"<div class='{alone}'>no</div>") == [], alone
     assert kept("<nav><article>no</article></nav><aside><main>no</main></aside>") == []
     assert kept("<article><header><h1>t</h1><span>by</span></header>b</article>") == ["t", "b"]
+
+
+def story(i):
+    """A page with an article: its heading outside, text of every page of the host inside."""
+    return (
+        f"<html><body><div class='wrap'><h1>Title {i}</h1><article><p>{' '.join(f'word{i}x{j}' for j in range(60))}</p><p>short {i}</p>"
+        f"<div class='tail'><p>Written for our readers</p><p>All text by the house</p></div></article></div>"
+        f"<div class='rail'><a href='/{i}'>link {i}</a></div></body></html>"
+    )
+
+
+def test_template_on_pages_with_articles(spark, monkeypatch):
+    """A declared article does not stand in for the template: with no templates found, results differ."""
+    pages = [(i, "http://story.example/", story(i)) for i in range(6)]
+    got = extracted(spark, pages)
+    texts = [f"{' '.join(f'word{i}x{j}' for j in range(60))}\nshort {i}" for i in range(6)]
+    assert [got[i] for i in range(6)] == [f"Title {i}\n{t}" for i, t in enumerate(texts)]
+    monkeypatch.setattr(ext, "templates", lambda found, own=ext.templates: own(found).filter("false"))
+    alone = extracted(spark, pages)
+    assert [alone[i] for i in range(6)] == [f"{t}\nWritten for our readers\nAll text by the house" for t in texts]
+
+
+def test_text_beside_small_articles(spark):
+    """Teasers declared as articles, or an article for browsers without scripts, beside a far longer text."""
+    page = "<body><div class='text'><p>{1}</p><p>end {0}</p></div><article><p>{2}</p></article></body>"
+    long = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(5)]
+    pages = [(i, "http://teaser.example/", page.format(i, long[i], f"teaser {i}")) for i in range(5)]
+    pages += [(10 + i, "http://script.example/", page.format(i, long[i], "Please turn on scripts")) for i in range(5)]
+    got = extracted(spark, pages)
+    assert [got[i] for i in range(5)] == [f"{long[i]}\nend {i}\nteaser {i}" for i in range(5)]
+    assert [got[10 + i] for i in range(5)] == [f"{long[i]}\nend {i}" for i in range(5)]
+
+
+def test_near_copies_of_articles_keep_their_text(spark):
+    """Versions of one article, and a passage of fewer than half of the host's articles."""
+    shared = [f"passage {k} of every version" for k in range(4)]
+    page = "<html><body><article>{}</article><footer>end</footer></body></html>"
+    paragraphs = [[*shared, f"version {i}"] for i in range(5)]
+    quoting = [[f"own {i} " + "text " * i, *(["a quoted passage", "in two parts"] if i < 4 else [])] for i in range(12)]
+    pages = [(i, "http://versions.example/", page.format("".join(f"<p>{p}</p>" for p in ps))) for i, ps in enumerate(paragraphs)]
+    pages += [(20 + i, "http://quoting.example/", page.format("".join(f"<p>{p}</p>" for p in ps))) for i, ps in enumerate(quoting)]
+    got = extracted(spark, pages)
+    assert [got[i] for i in range(5)] == ["\n".join(ps) for ps in paragraphs]
+    assert [got[20 + i] for i in range(12)] == ["\n".join(" ".join(p.split()) for p in ps) for ps in quoting]
+
+
+def test_page_without_the_region(spark):
+    """A page of another layout than its host's others, with a heading: all of its own text stays."""
+    pages = [(i, f"http://post.example/{i}", post(i)) for i in range(12)]
+    other = "<html><body><div class='top'><a href='/'>Start</a></div><h1>About us</h1><div class='about'><p>who we are</p></div></body></html>"
+    got = extracted(spark, [*pages, (50, "http://post.example/about", other)])
+    assert got[50] == "About us\nwho we are" and got[3].startswith("Title 3\n")
+
+
+def test_common_headings_of_articles(spark):
+    """Headings that every article has stay with the text under them, and go with nothing but template text under them."""
+    page = (
+        "<body><main><h1>Kitchen</h1><p>About {0}, {1}</p><h2>What <i>you</i> need</h2><p>Serves four</p><ul><li>item {0}</li></ul>"
+        "<table><tr><th>Time</th><th>Heat</th></tr><tr><td>{0} min</td><td>{0} C</td></tr></table>"
+        "<h2>Steps</h2><h3>First</h3><p>step {0}</p><h2>More</h2><p>Ask our cooks</p></main></body>"
+    )
+    long = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(5)]
+    got = extracted(spark, [(i, "http://cook.example/", page.format(i, long[i])) for i in range(5)])
+    for i in range(5):
+        assert got[i].split("\n") == [
+            f"About {i}, {long[i]}", "What you need", f"item {i}", "Time", "Heat", f"{i} min", f"{i} C", "Steps", "First", f"step {i}",
+        ]
